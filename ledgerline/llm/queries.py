@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import simhash
+from . import secrets, simhash, winnowing
 from .support import load
 
 
@@ -14,5 +15,19 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(load(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op1_simhash": op1_simhash}
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.spans(load(spark, sf_dir, "documents"))
+    # the rules are those of the contract, so all spans are base spans
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2(F.col("spans").cast("binary"), 256).alias("base_sha256"), "spans")
+
+
+def op9_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return winnowing.contamination(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_simhash": op1_simhash,
+    "op8_secrets": op8_secrets,
+    "op9_winnowing": op9_winnowing,
+}
 ORACLE_SQL: dict[str, str] = {}
