@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import secrets, simhash, winnowing
+from . import bpe, quality, secrets, simhash, winnowing
 from .support import load
 
 
@@ -15,6 +15,14 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(load(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.assess(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
+
+
+def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode(load(spark, sf_dir, "documents"))
+
+
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.spans(load(spark, sf_dir, "documents"))
     # the rules are those of the contract, so all spans are base spans
@@ -27,6 +35,8 @@ def op9_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
+    "op2_quality": op2_quality,
+    "op7_bpe": op7_bpe,
     "op8_secrets": op8_secrets,
     "op9_winnowing": op9_winnowing,
 }
