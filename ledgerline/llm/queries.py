@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, quality, secrets, simhash, winnowing
+from . import bpe, lsm_dedup, quality, secrets, simhash, suffix_array, winnowing
 from .support import load
 
 
@@ -19,6 +19,15 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.assess(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
 
 
+def op4_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_array.deduplicate(load(spark, sf_dir, "documents"), digest=True)
+
+
+def op5_lsm_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = lsm_dedup.deduplicate(load(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(load(spark, sf_dir, "documents"))
 
@@ -36,6 +45,8 @@ def op9_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_quality": op2_quality,
+    "op4_suffix_array": op4_suffix_array,
+    "op5_lsm_dedup": op5_lsm_dedup,
     "op7_bpe": op7_bpe,
     "op8_secrets": op8_secrets,
     "op9_winnowing": op9_winnowing,
