@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, lsm_dedup, quality, secrets, simhash, suffix_array, winnowing
+from . import bpe, lsm_dedup, quality, secrets, simhash, suffix_array, warc, winnowing
 from .support import load
 
 
@@ -19,6 +19,10 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.assess(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.page_records(load(spark, sf_dir, "pages"))
+
+
 def op4_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_array.deduplicate(load(spark, sf_dir, "documents"), digest=True)
 
@@ -45,6 +49,7 @@ def op9_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_quality": op2_quality,
+    "op3_warc": op3_warc,
     "op4_suffix_array": op4_suffix_array,
     "op5_lsm_dedup": op5_lsm_dedup,
     "op7_bpe": op7_bpe,
