@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, lsm_dedup, quality, secrets, simhash, suffix_array, warc, winnowing
+from . import bpe, lsm_dedup, pseudo_likelihood, quality, secrets, simhash, suffix_array, warc, winnowing
 from .support import load
 
 
@@ -32,6 +32,10 @@ def op5_lsm_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op6_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudo_likelihood.pseudo_likelihood(load(spark, sf_dir, "documents"))
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(load(spark, sf_dir, "documents"))
 
@@ -52,6 +56,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_warc": op3_warc,
     "op4_suffix_array": op4_suffix_array,
     "op5_lsm_dedup": op5_lsm_dedup,
+    "op6_pseudo_likelihood": op6_pseudo_likelihood,
     "op7_bpe": op7_bpe,
     "op8_secrets": op8_secrets,
     "op9_winnowing": op9_winnowing,
