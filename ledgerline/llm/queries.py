@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, lsm_dedup, pseudo_likelihood, quality, secrets, simhash, suffix_array, warc, winnowing
+from . import bpe, lsm_dedup, nn_descent, pseudo_likelihood, quality, secrets, simhash, suffix_array, warc, winnowing
 from .support import load
 
 
@@ -50,6 +50,10 @@ def op9_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnowing.contamination(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
 
 
+def op10_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nn_descent.near_duplicates(load(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_quality": op2_quality,
@@ -60,5 +64,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_bpe": op7_bpe,
     "op8_secrets": op8_secrets,
     "op9_winnowing": op9_winnowing,
+    "op10_nn_descent": op10_nn_descent,
 }
 ORACLE_SQL: dict[str, str] = {}
