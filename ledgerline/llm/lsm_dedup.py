@@ -31,6 +31,8 @@ from .support import SPACED, Words, as_bytes, discard, mix, new_path, pieces, re
 WINDOW = 13
 BATCHES = 4
 SLICES = 2
+#: Documents whose hits travel together (dealt by a hash of doc_id): hits are a row for each bucket and group.
+GROUP_DOCUMENTS = 1024
 _MERGE = pa.schema([("kind", pa.int32()), ("key", pa.int32()), ("a", pa.binary()), ("b", pa.binary())])
 
 
@@ -291,7 +293,7 @@ def deduplicate(documents: DataFrame, window: int = WINDOW, batches: int = BATCH
     One row per document: doc_id, n_words, n_removed, kept_text.
     """
     spark = documents.sparkSession
-    groups = 4 * shuffle_width(spark)
+    groups = max(8, documents.count() // GROUP_DOCUMENTS)
     parts = batches_of(documents, batches)
     hits = spark.createDataFrame([], "key int, a binary, b binary")
     for piece in range(slices):
