@@ -3,8 +3,441 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import asdict
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+from ..functions.scores import brier, calibration, discrimination
+from ..operators import contracts, default_model, diagnose, home_credit, master_record, migration, stability
+from ..operators.stability import Cohorts
+from ..sources.csv_ingest import read_csv
+from .mapping import sql_view, view
+
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
 ORACLE_SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None) -> Callable[[Query], Query]:
+    def register(f: Query) -> Query:
+        QUERIES[f.__name__] = f
+        if sql is not None:
+            ORACLE_SQL[f.__name__] = sql
+        return f
+
+    return register
+
+
+def _plain(df: DataFrame) -> DataFrame:
+    """Decimals as double."""
+    return df.select(*(F.col(c).cast("double").alias(c) if k.startswith("decimal") else F.col(c) for c, k in df.dtypes))
+
+
+def _rounded(df: DataFrame, *columns: str) -> DataFrame:
+    """Logarithms and means differ by an ulp between engines."""
+    return df.withColumns({c: F.round(c, 8) for c in columns})
+
+
+# ---------------------------------------------------------------------------------------------
+# Master record
+
+_BALANCE = f"select SK_ID_BUREAU, count(*) as bb_snapshot_months, max(coalesce(try_cast(STATUS as integer), 0)) as bb_max_status, cast(sum(case when try_cast(STATUS as integer) > 0 then 1 else 0 end) as bigint) as bb_delinquent_months from {sql_view('bureau_balance')} v group by SK_ID_BUREAU"
+_BUREAU = f"""select b.SK_ID_CURR, count(distinct b.SK_ID_BUREAU) as bureau_total_accounts,
+  cast(sum(case when CREDIT_ACTIVE = 'Active' then 1 else 0 end) as bigint) as bureau_active_accounts,
+  cast(sum(case when CREDIT_ACTIVE = 'Closed' then 1 else 0 end) as bigint) as bureau_closed_accounts,
+  cast(sum(coalesce(AMT_CREDIT_SUM_DEBT, 0)) as double) as bureau_sum_credit_sum_debt,
+  cast(sum(coalesce(AMT_CREDIT_SUM, 0)) as double) as bureau_sum_credit_sum,
+  cast(sum(coalesce(AMT_CREDIT_SUM_OVERDUE, 0)) as double) as bureau_total_overdue_balance,
+  cast(sum(coalesce(bb_delinquent_months, 0)) as bigint) as bureau_total_delinquent_months
+from {sql_view('bureau')} b left join ({_BALANCE}) bb on b.SK_ID_BUREAU = bb.SK_ID_BUREAU group by b.SK_ID_CURR"""
+_INSTALMENTS = f"""select SK_ID_CURR, max(DAYS_ENTRY_PAYMENT - DAYS_INSTALMENT) as ip_max_payment_delay_days,
+  cast(sum(coalesce(AMT_INSTALMENT - AMT_PAYMENT, 0)) as double) as ip_total_payment_deficit, count(*) as ip_total_payments,
+  cast(sum(case when DAYS_ENTRY_PAYMENT > DAYS_INSTALMENT then 1 else 0 end) as bigint) as ip_late_payments from {sql_view('installments_payments')} v group by SK_ID_CURR"""
+_PREVIOUS = f"""select SK_ID_CURR, count(*) as prev_total_applications, cast(sum(case when NAME_CONTRACT_STATUS = 'Approved' then 1 else 0 end) as bigint) as prev_approved_applications,
+  cast(sum(case when NAME_CONTRACT_STATUS = 'Refused' then 1 else 0 end) as bigint) as prev_refused_applications,
+  cast(sum(coalesce(AMT_APPLICATION, 0)) as double) / count(*) as prev_mean_amt_application from {sql_view('previous_application')} v group by SK_ID_CURR"""
+_ADDED = {
+    "bu": ["bureau_total_accounts", "bureau_active_accounts", "bureau_closed_accounts", "bureau_sum_credit_sum_debt", "bureau_sum_credit_sum", "bureau_total_overdue_balance", "bureau_total_delinquent_months"],
+    "ip": ["ip_max_payment_delay_days", "ip_total_payment_deficit", "ip_total_payments", "ip_late_payments"],
+    "pr": ["prev_total_applications", "prev_approved_applications", "prev_refused_applications", "prev_mean_amt_application"],
+}
+_MAR = f"select a.SK_ID_CURR, a.TARGET, a.SEGMENT, a.NATION, {', '.join(f'coalesce({t}.{c}, 0) as {c}' for t, cs in _ADDED.items() for c in cs)} from {sql_view('application')} a left join ({_BUREAU}) bu on a.SK_ID_CURR = bu.SK_ID_CURR left join ({_INSTALMENTS}) ip on a.SK_ID_CURR = ip.SK_ID_CURR left join ({_PREVIOUS}) pr on a.SK_ID_CURR = pr.SK_ID_CURR"
+
+
+@query(_BALANCE)
+def mar_bureau_balance_lv2(spark: SparkSession, sf: str) -> DataFrame:
+    return master_record.balance_by_account(view(spark, sf, "bureau_balance"))
+
+
+@query(_BUREAU)
+def mar_bureau_lv1(spark: SparkSession, sf: str) -> DataFrame:
+    return _plain(master_record.bureau_by_applicant(view(spark, sf, "bureau"), view(spark, sf, "bureau_balance")))
+
+
+@query(_INSTALMENTS)
+def mar_installments_lv2(spark: SparkSession, sf: str) -> DataFrame:
+    return _plain(master_record.instalments_by_applicant(view(spark, sf, "installments_payments")))
+
+
+@query(_PREVIOUS)
+def mar_previous_lv1(spark: SparkSession, sf: str) -> DataFrame:
+    return _plain(master_record.previous_by_applicant(view(spark, sf, "previous_application")))
+
+
+@query(_MAR)
+def mar_full(spark: SparkSession, sf: str) -> DataFrame:
+    parts = (view(spark, sf, n) for n in ("bureau", "bureau_balance", "installments_payments", "previous_application"))
+    return _plain(master_record.master_record(view(spark, sf, "application"), *parts))
+
+
+@query(f"select * exclude (TARGET) from ({_MAR}) m where SK_ID_CURR % 5 = 0")
+def mar_scoring_population(spark: SparkSession, sf: str) -> DataFrame:
+    """The scoring population is every fifth applicant: another table in the real data, not a sample of one."""
+    parts = (view(spark, sf, n) for n in ("bureau", "bureau_balance", "installments_payments", "previous_application"))
+    return _plain(master_record.master_record(view(spark, sf, "application").where("SK_ID_CURR % 5 = 0").drop("TARGET"), *parts))
+
+
+@query(f"select SK_ID_CURR, TARGET, SEGMENT, NATION, 0::bigint as bureau_total_delinquent_months from {sql_view('application')} a")
+def mar_without_history_tables(spark: SparkSession, sf: str) -> DataFrame:
+    """Tables that are missing add no columns; accounts without monthly statuses have no months in arrears."""
+    bare = master_record.master_record(view(spark, sf, "application"))
+    late = master_record.bureau_by_applicant(view(spark, sf, "bureau").limit(0)).select("SK_ID_CURR", "bureau_total_delinquent_months")
+    return bare.join(late, "SK_ID_CURR", "left").select(*bare.columns, F.coalesce("bureau_total_delinquent_months", F.lit(0).cast("long")).alias("bureau_total_delinquent_months"))
+
+
+@query(f"select SK_ID_CURR, TARGET, SEGMENT, NATION from {sql_view('application')} a where not exists (select 1 from {sql_view('bureau')} b where b.SK_ID_CURR = a.SK_ID_CURR) and not exists (select 1 from {sql_view('previous_application')} p where p.SK_ID_CURR = a.SK_ID_CURR)")
+def no_history_applicants(spark: SparkSession, sf: str) -> DataFrame:
+    return master_record.without_history(view(spark, sf, "application"), view(spark, sf, "bureau"), view(spark, sf, "previous_application"))
+
+
+# ---------------------------------------------------------------------------------------------
+# Migration
+
+_DAYS_BUCKET = "case when NAME_CONTRACT_STATUS = 'Completed' then 'CLOSED' when SK_DPD = 0 then 'CURRENT' when SK_DPD <= 30 then 'DPD_1_30' when SK_DPD <= 60 then 'DPD_31_60' when SK_DPD <= 90 then 'DPD_61_90' when SK_DPD <= 120 then 'DPD_91_120' else 'DPD_120_PLUS' end"
+_STATUS_BUCKET = "case STATUS when 'C' then 'CLOSED' when '0' then 'CURRENT' when '1' then 'DPD_1_30' when '2' then 'DPD_31_60' when '3' then 'DPD_61_90' when '4' then 'DPD_91_120' when '5' then 'DPD_120_PLUS' end"
+_SNAPSHOTS = {
+    "bureau": ("snapshot_bureau", f"select SK_ID_BUREAU as acct, MONTHS_BALANCE as m, {_STATUS_BUCKET} as bucket, STATUS in ('3','4','5') as bad, cast(null as double) as balance from {sql_view('snapshot_bureau')} v where STATUS <> 'X'"),
+    "credit_card": ("snapshot_card", f"select SK_ID_PREV as acct, MONTHS_BALANCE as m, {_DAYS_BUCKET} as bucket, SK_DPD > 60 as bad, greatest(coalesce(AMT_BALANCE, 0), 0) as balance from {sql_view('snapshot_card')} v where SK_DPD is not null"),
+    "pos_cash": ("snapshot_card", f"select SK_ID_PREV as acct, MONTHS_BALANCE as m, {_DAYS_BUCKET} as bucket, SK_DPD > 60 as bad, cast(null as double) as balance from {sql_view('snapshot_card')} v where SK_DPD is not null"),
+    "orders": ("snapshot_orders", f"select SK_ID_PREV as acct, MONTHS_BALANCE as m, {_DAYS_BUCKET} as bucket, SK_DPD > 60 as bad, cast(null as double) as balance from {sql_view('snapshot_orders')} v where SK_DPD is not null"),
+}
+
+
+def _snapshot(spark: SparkSession, sf: str, source: str) -> DataFrame:
+    return migration.SOURCES[source if source in migration.SOURCES else "pos_cash"].snapshot(view(spark, sf, _SNAPSHOTS[source][0]))
+
+
+def _roll_sql(source: str) -> str:
+    return f"select '{source}' as source, from_bucket, to_bucket, n as accounts, cast(n as double) / sum(n) over (partition by from_bucket) as roll_rate, balance, balance / nullif(sum(balance) over (partition by from_bucket), 0) as balance_roll_rate from (select c.bucket as from_bucket, x.bucket as to_bucket, count(*) as n, sum(c.balance) as balance from ({_SNAPSHOTS[source][1]}) c join ({_SNAPSHOTS[source][1]}) x on x.acct = c.acct and x.m = c.m + 1 group by 1, 2) t"
+
+
+def _vintage_sql(source: str, width: int, name: str) -> str:
+    return f"select '{name}' as source, cohort_start_month, cast(mob as integer) as mob, count(*) as accounts_observed, cast(sum(case when first_bad <= mob then 1 else 0 end) as bigint) as accounts_bad, cast(sum(case when first_bad <= mob then 1 else 0 end) as double) / count(*) as cumulative_bad_rate from (select acct, cast(floor(min(m) / {width}.0) * {width} as integer) as cohort_start_month, max(m) - min(m) as max_mob, min(case when bad then m end) - min(m) as first_bad from ({_SNAPSHOTS[source][1]}) s group by acct) a join range(0, 97) r(mob) on max_mob >= mob group by cohort_start_month, mob"
+
+
+@query(f"select source, from_bucket, to_bucket, accounts, roll_rate from ({_roll_sql('bureau')}) r")
+def roll_rate_counts(spark: SparkSession, sf: str) -> DataFrame:
+    return migration.roll_rates(_snapshot(spark, sf, "bureau"), "bureau").select("source", "from_bucket", "to_bucket", "accounts", "roll_rate")
+
+
+@query(f"select source, from_bucket, to_bucket, accounts, roll_rate from ({_roll_sql('bureau')}) r")
+def roll_rate_by_window(spark: SparkSession, sf: str) -> DataFrame:
+    """(account, month) is unique here, so a window does instead of the join."""
+    return migration.roll_rates(_snapshot(spark, sf, "bureau"), "bureau", unique_months=True).select("source", "from_bucket", "to_bucket", "accounts", "roll_rate")
+
+
+@query(_roll_sql("credit_card"))
+def roll_rate_balance(spark: SparkSession, sf: str) -> DataFrame:
+    return migration.roll_rates(_snapshot(spark, sf, "credit_card"), "credit_card")
+
+
+@query(_roll_sql("pos_cash"))
+def roll_rate_null_balance_source(spark: SparkSession, sf: str) -> DataFrame:
+    return migration.roll_rates(_snapshot(spark, sf, "pos_cash"), "pos_cash")
+
+
+@query(" union all ".join(f"select * from ({_roll_sql(s)}) {s}" for s in ("bureau", "credit_card", "pos_cash")))
+def roll_rate_stacked_sources(spark: SparkSession, sf: str) -> DataFrame:
+    one, two, three = (migration.roll_rates(_snapshot(spark, sf, s), s) for s in ("bureau", "credit_card", "pos_cash"))
+    return one.unionByName(two).unionByName(three)
+
+
+_BUCKETS = ("CLOSED", "CURRENT", "DPD_1_30", "DPD_31_60", "DPD_61_90", "DPD_91_120", "DPD_120_PLUS")
+
+
+@query(f"select source, from_bucket, {', '.join(f'''max(case when to_bucket = '{b}' then roll_rate end) as {b}''' for b in _BUCKETS)} from ({_roll_sql('credit_card')}) r group by source, from_bucket")
+def roll_rate_pivot(spark: SparkSession, sf: str) -> DataFrame:
+    return migration.roll_rate_matrix(migration.roll_rates(_snapshot(spark, sf, "credit_card"), "credit_card"))
+
+
+@query(_vintage_sql("orders", 3, "orders"))
+def vintage_curves(spark: SparkSession, sf: str) -> DataFrame:
+    return migration.vintage_curves(_snapshot(spark, sf, "orders"), "orders")
+
+
+@query(_vintage_sql("orders", 12, "orders"))
+def vintage_by_cohort_width(spark: SparkSession, sf: str) -> DataFrame:
+    return migration.vintage_curves(_snapshot(spark, sf, "orders"), "orders", 12)
+
+
+@query(f"""with c as ({_vintage_sql('orders', 3, 'orders')}), f as (select *, row_number() over (order by cohort_start_month desc) as k, avg(cumulative_bad_rate) over (order by cohort_start_month rows between 4 preceding and 1 preceding) as before,
+count(*) over (order by cohort_start_month rows between 4 preceding and 1 preceding) as n from c where mob = 12 and accounts_observed >= 20 and cohort_start_month > (select min(cohort_start_month) from c))
+select source, cohort_start_month, accounts_observed, accounts_bad, cumulative_bad_rate, round(before, 8) as trailing_bad_rate from f where k = 1 and n = 4""")
+def vintage_latest_vs_trailing(spark: SparkSession, sf: str) -> DataFrame:
+    return _rounded(migration.latest_against_trailing(migration.vintage_curves(_snapshot(spark, sf, "orders"), "orders"), least=20), "trailing_bad_rate")
+
+
+@query(f"""select source, {', '.join(f"round(coalesce(sum(case when {c} then {v} end), 0), 8) as {p}{n}" for v, p in (('roll_rate', ''), ('balance_roll_rate', 'balance_')) for n, c in (('roll_in', "from_bucket = 'CURRENT' and to_bucket like 'DPD%'"), ('forward', "from_bucket = 'DPD_1_30' and to_bucket like 'DPD%' and to_bucket <> 'DPD_1_30'"), ('cure', "from_bucket = 'DPD_1_30' and to_bucket = 'CURRENT'")))}, count(balance_roll_rate) > 0 as has_balance from ({_roll_sql('credit_card')}) r group by source""")
+def roll_check_breaches(spark: SparkSession, sf: str) -> DataFrame:
+    out = diagnose.roll_summary(migration.roll_rates(_snapshot(spark, sf, "credit_card"), "credit_card"))
+    return _rounded(out, *(c for c, k in out.dtypes if k == "double"))
+
+
+# ---------------------------------------------------------------------------------------------
+# Stability
+
+_SHARES = np.linspace(0, 1, 11)[1:-1].tolist()
+_ROWS = f"select * from {sql_view('cohort_rows')} v"
+
+
+def _csi_sql(column: str, kind: str) -> str:
+    """One feature's bins: position, shares, contribution."""
+    clean = f"select is_target, {column} as x from ({_ROWS}) r"
+    if kind == "numeric":
+        bins = f"select is_target, case when x is null then 1000 else len([z for z in e if z < x]) end as position from ({clean}) c, (select list_sort(list_distinct(quantile_cont(x, {_SHARES}))) as e from ({clean}) c where not is_target) q"
+        every = "select unnest(range(0, 10)) as position union all select 1000"
+    else:
+        bins = f"select is_target, case when x is null then 1000 else coalesce(k, 50) end as position from ({clean}) c left join (select x as y, row_number() over (order by count(*) desc, x) - 1 as k from ({clean}) c where not is_target and x is not null group by x qualify k < 50) t on x = y"
+        every = f"select distinct position from ({bins}) b union select 50"
+    return f"""select '{column}' as feature_name, '{kind}' as feature_type, cast(p.position as integer) as position,
+      coalesce(b, 0) / cast(sum(b) over () as double) as baseline_pct, coalesce(t, 0) / cast(sum(t) over () as double) as target_pct
+      from ({every}) p left join (select position, count(*) filter (not is_target) as b, count(*) filter (is_target) as t from ({bins}) x group by position) s on p.position = s.position where p.position < 1000 or coalesce(b, 0) + coalesce(t, 0) > 0"""
+
+
+def _contribution_sql(shares: str) -> str:
+    return f"select feature_name, feature_type, position, baseline_pct, target_pct, round((greatest(target_pct, 0.0001) - greatest(baseline_pct, 0.0001)) * ln(greatest(target_pct, 0.0001) / greatest(baseline_pct, 0.0001)), 8) as contribution from ({shares}) s"
+
+
+def _csi(spark: SparkSession, sf: str, *features: str) -> DataFrame:
+    rows = view(spark, sf, "cohort_rows")
+    cohorts = Cohorts.of(rows.where("not is_target"), rows.where("is_target"), list(features))
+    return _rounded(stability.csi(cohorts, list(features)), "contribution").drop("bin")
+
+
+@query(_contribution_sql(_csi_sql("o_totalprice", "numeric")))
+def psi_numeric(spark: SparkSession, sf: str) -> DataFrame:
+    return _csi(spark, sf, "o_totalprice")
+
+
+@query(_contribution_sql(_csi_sql("o_orderpriority", "categorical")))
+def psi_categorical(spark: SparkSession, sf: str) -> DataFrame:
+    return _csi(spark, sf, "o_orderpriority")
+
+
+@query(_contribution_sql(_csi_sql("weekish", "discrete")))
+def psi_discrete(spark: SparkSession, sf: str) -> DataFrame:
+    return _csi(spark, sf, "weekish")
+
+
+@query(_contribution_sql(_csi_sql("price_with_nulls", "numeric")))
+def psi_null_bin(spark: SparkSession, sf: str) -> DataFrame:
+    return _csi(spark, sf, "price_with_nulls")
+
+
+@query(_contribution_sql(_csi_sql("many", "categorical")))
+def psi_other_bin(spark: SparkSession, sf: str) -> DataFrame:
+    return _csi(spark, sf, "many")
+
+
+_FEATURES = {"o_totalprice": "numeric", "o_orderstatus": "categorical", "o_orderpriority": "categorical", "weekish": "discrete", "price_with_nulls": "numeric", "many": "categorical"}
+_ALL = " union all ".join(_contribution_sql(_csi_sql(c, k)) for c, k in _FEATURES.items())
+
+
+@query(_ALL)
+def csi_contributions(spark: SparkSession, sf: str) -> DataFrame:
+    return _csi(spark, sf, *_FEATURES)
+
+
+_COUNTS = f"(select count(*) filter (not is_target) as baseline_rows, count(*) filter (is_target) as target_rows from ({_ROWS}) r)"
+_UNROUNDED = _ALL.replace("round((greatest", "((greatest").replace(", 8) as contribution", ") as contribution")
+
+
+def _report(spark: SparkSession, sf: str) -> DataFrame:
+    rows = view(spark, sf, "cohort_rows")
+    return stability.psi_report("orders_by_half", Cohorts.of(rows.where("not is_target"), rows.where("is_target"), list(_FEATURES)), list(_FEATURES), scores=frozenset(["o_totalprice"]))
+
+
+@query(f"select 'orders_by_half' as analysis, feature_name, max(feature_type) as feature_type, case when feature_name = 'o_totalprice' then 'score' else 'characteristic' end as role, round(sum(contribution), 8) as psi_score, case when sum(contribution) < 0.1 then 'STABLE' when sum(contribution) < 0.25 then 'MODERATE_SHIFT' else 'SIGNIFICANT_DRIFT' end as drift_status, any_value(baseline_rows) as baseline_rows, any_value(target_rows) as target_rows, true as alerting from ({_UNROUNDED}) a, {_COUNTS} n group by feature_name")
+def psi_report_multi_feature(spark: SparkSession, sf: str) -> DataFrame:
+    return _rounded(_report(spark, sf).drop("top_driver"), "psi_score")
+
+
+@query("select 'price_with_nulls' as feature_name, '__NULL__' as top_driver")
+def psi_top_driver(spark: SparkSession, sf: str) -> DataFrame:
+    return _report(spark, sf).where("feature_name = 'price_with_nulls'").select("feature_name", "top_driver")
+
+
+@query("select psi, case when isnan(psi) then 'UNKNOWN' when psi < 0.1 then 'STABLE' when psi < 0.25 then 'MODERATE_SHIFT' else 'SIGNIFICANT_DRIFT' end as drift_status from (values (0.0::double), (0.0999), (0.1), (0.2499), (0.25), (3.0)) t(psi)")
+def drift_labels(spark: SparkSession, sf: str) -> DataFrame:
+    return spark.createDataFrame([(x,) for x in (0.0, 0.0999, 0.1, 0.2499, 0.25, 3.0)], "psi double").withColumn("drift_status", stability.drift_label(F.col("psi")))
+
+
+_LINES = "select DAYS(l_shipdate) as day from lineitem".replace("DAYS(l_shipdate)", "cast(cast(l_shipdate as date) - date '1970-01-01' as bigint)")
+
+
+@query(f"with t as ({_LINES}), c as (select day as cut from t order by day limit 1 offset (select cast(floor((count(*) - 1) * 0.7) as bigint) from t)) select cast(cut as bigint) as cut, count(*) filter (day <= cut) as baseline_rows, count(*) filter (day > cut) as target_rows from t, c group by cut")
+def time_split_lower_quantile(spark: SparkSession, sf: str) -> DataFrame:
+    df = spark.read.parquet(f"{sf}/lineitem.parquet").select(F.unix_date(F.col("l_shipdate").cast("date")).cast("long").alias("day"))
+    cut = stability.time_cut(df, "day", 0.7)
+    cohorts = Cohorts.by_time(df, "day", ["day"], 0.7)
+    return spark.createDataFrame([(cut, cohorts.baseline_rows, cohorts.target_rows)], "cut long, baseline_rows long, target_rows long")
+
+
+# ---------------------------------------------------------------------------------------------
+# Contracts
+
+_ORDER_COLUMNS = ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "price_with_nulls")
+
+
+@query("select * from (values ('price_with_nulls', (select count(*) from orders where month(o_orderdate) > 6 and o_orderkey % 3 = 0)), ('o_orderkey', 0::bigint), ('o_totalprice', 0::bigint)) t(column_name, nulls)")
+def schema_null_counts(spark: SparkSession, sf: str) -> DataFrame:
+    names = ["price_with_nulls", "o_orderkey", "o_totalprice"]
+    return spark.createDataFrame(list(contracts.null_counts(view(spark, sf, "cohort_rows"), names).items()), "column_name string, nulls long")
+
+
+@query("select 'lineitem' as table_name, count(*) - count(distinct (l_orderkey, l_linenumber)) as surplus from lineitem union all select 'orders', count(*) - count(distinct o_orderkey) from orders")
+def schema_pk_duplicates(spark: SparkSession, sf: str) -> DataFrame:
+    keys = {"lineitem": ["l_orderkey", "l_linenumber"], "orders": ["o_orderkey"]}
+    return spark.createDataFrame([(t, contracts.surplus_rows(spark.read.parquet(f"{sf}/{t}.parquet"), k)) for t, k in keys.items()], "table_name string, surplus long")
+
+
+@query("select * from (values ('SK_ID_CURR', 'int', false), ('TARGET', 'int', false), ('SEGMENT', 'string', false), ('NATION', 'int', false)) t(column_name, kind, nullable)")
+def schema_infer_profile(spark: SparkSession, sf: str) -> DataFrame:
+    found = contracts.infer_contract("application", view(spark, sf, "application"), ["SK_ID_CURR"])
+    return spark.createDataFrame([(c, s["type"], s["nullable"]) for c, s in found.columns.items()], "column_name string, kind string, nullable boolean")
+
+
+@query("select * from (values ('column_removed', 'STATUS', 'breaking'), ('column_added', 'CHANNEL', 'warning'), ('type_changed', 'MONTHS_BALANCE', 'warning'), ('primary_key_duplicates', 'SK_ID_BUREAU,MONTHS_BALANCE', 'breaking')) t(kind, \"column\", severity)")
+def drift_findings(spark: SparkSession, sf: str) -> DataFrame:
+    """Lineitem's monthly rows, with a column lost, one gained and one widened, against the contract of monthly statuses."""
+    df = view(spark, sf, "bureau_balance").select("SK_ID_BUREAU", F.col("MONTHS_BALANCE").cast("double").alias("MONTHS_BALANCE"), F.lit("web").alias("CHANNEL"))
+    base = contracts.Contract.from_dict(home_credit.contract("bureau_balance"))
+    found = contracts.diff_contracts(base, contracts.infer_contract("bureau_balance", df, base.primary_key))
+    if contracts.surplus_rows(df, base.primary_key):
+        found.append(contracts.DriftFinding("bureau_balance", "primary_key_duplicates", ",".join(base.primary_key), "unique", "", "breaking"))
+    return spark.createDataFrame([asdict(f) for f in found], contracts.DRIFT_REPORT.rsplit(",", 1)[0]).select("kind", "column", "severity")
+
+
+@query("select 1 as violations")
+def validate_frame_violations(spark: SparkSession, sf: str) -> DataFrame:
+    """The monthly rows keep to the contract but for the key."""
+    df = view(spark, sf, "bureau_balance").select("SK_ID_BUREAU", F.col("MONTHS_BALANCE").cast("long").alias("MONTHS_BALANCE"), "STATUS")
+    found = contracts.SchemaValidator.for_table("bureau_balance").validate_frame(df)
+    return spark.createDataFrame([(len(found),)], "violations int")
+
+
+# ---------------------------------------------------------------------------------------------
+# Exploration
+
+
+@query(f"select SEGMENT, count(*) as accounts, avg(TARGET) as default_rate from {sql_view('application')} a group by SEGMENT having count(*) >= 10")
+def default_rate_by_segment(spark: SparkSession, sf: str) -> DataFrame:
+    return view(spark, sf, "application").groupBy("SEGMENT").agg(F.count("*").alias("accounts"), F.avg("TARGET").alias("default_rate")).where("accounts >= 10")
+
+
+@query("select 'price_with_nulls' as column_name, cast((select count(*) from orders where month(o_orderdate) > 6 and o_orderkey % 3 = 0) as double) / count(*) as null_share from orders")
+def missingness_topk(spark: SparkSession, sf: str) -> DataFrame:
+    rows = view(spark, sf, "cohort_rows")
+    wide = rows.agg(*((F.count_if(F.col(c).isNull()).cast("double") / F.count("*")).alias(c) for c in rows.columns if c != "is_target"))
+    return wide.unpivot([], wide.columns, "column_name", "null_share").orderBy(F.desc("null_share"), "column_name").limit(1)
+
+
+@query(f"select count(*) as applications, avg(TARGET) as default_rate, cast(sum(TARGET) as bigint) as defaults from {sql_view('application')} a")
+def target_balance(spark: SparkSession, sf: str) -> DataFrame:
+    return view(spark, sf, "application").agg(F.count("*").alias("applications"), F.avg("TARGET").alias("default_rate"), F.sum("TARGET").alias("defaults"))
+
+
+@query(f"select least(greatest(ip_late_payments, 0), 10) as late_payments_capped, count(*) as accounts, avg(TARGET) as default_rate from ({_MAR}) m group by 1")
+def capped_late_payments(spark: SparkSession, sf: str) -> DataFrame:
+    capped = F.least(F.greatest("ip_late_payments", F.lit(0)), F.lit(10)).cast("long")
+    return mar_full(spark, sf).groupBy(capped.alias("late_payments_capped")).agg(F.count("*").alias("accounts"), F.avg("TARGET").alias("default_rate"))
+
+
+@query(f"select bureau_total_delinquent_months > 0 as any_bureau_delinquency, count(*) as accounts, avg(TARGET) as default_rate from ({_MAR}) m group by 1")
+def any_bureau_delinquency(spark: SparkSession, sf: str) -> DataFrame:
+    return mar_full(spark, sf).groupBy((F.col("bureau_total_delinquent_months") > 0).alias("any_bureau_delinquency")).agg(F.count("*").alias("accounts"), F.avg("TARGET").alias("default_rate"))
+
+
+# ---------------------------------------------------------------------------------------------
+# Scores
+
+_STEPS = f"(select score, sum(TARGET) as b, sum(1 - TARGET) as g from {sql_view('scored')} s group by score)"
+_ABOVE = f"(select score, b, g, sum(b) over (order by score desc) as cb, sum(g) over (order by score desc) as cg, sum(b) over () as tb, sum(g) over () as tg from {_STEPS} s)"
+
+
+@query(f"select round(sum((2.0 * (cb - b) + b) * g) / any_value(2.0 * tb * tg), 8) as auc, round(2 * sum((2.0 * (cb - b) + b) * g) / any_value(2.0 * tb * tg) - 1, 8) as gini from {_ABOVE} t")
+def auc_rank(spark: SparkSession, sf: str) -> DataFrame:
+    return _rounded(discrimination(view(spark, sf, "scored")).select("auc", "gini"), "auc", "gini")
+
+
+@query(f"select round(greatest(max(cast(cb as double) / tb - cast(cg as double) / tg), 0), 8) as ks from {_ABOVE} t")
+def ks_statistic(spark: SparkSession, sf: str) -> DataFrame:
+    return _rounded(discrimination(view(spark, sf, "scored")).select("ks"), "ks")
+
+
+@query(f"select round(avg((score - TARGET) * (score - TARGET)), 8) as brier, round(avg(score), 8) as mean_predicted, round(avg(TARGET), 8) as base_rate from {sql_view('scored')} s")
+def brier_score(spark: SparkSession, sf: str) -> DataFrame:
+    return _rounded(brier(view(spark, sf, "scored")), "brier", "mean_predicted", "base_rate")
+
+
+@query(f"select cast(bin as integer) as bin, count(*) as accounts, round(avg(score), 8) as mean_score, round(avg(TARGET), 8) as observed_rate from (select *, ntile(10) over (order by score, SK_ID_CURR) as bin from {sql_view('scored')} s) t group by bin")
+def calibration_deciles(spark: SparkSession, sf: str) -> DataFrame:
+    return _rounded(calibration(view(spark, sf, "scored")), "mean_score", "observed_rate")
+
+
+# ---------------------------------------------------------------------------------------------
+# Files and models (SQL has no twin for these)
+
+
+def _scratch(spark: SparkSession, name: str) -> str:
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir") or "file:///tmp/checkpoints/ledgerline"
+    return f"{base.rstrip('/')}/{name}"
+
+
+@query("select o_orderkey, o_totalprice, o_orderstatus from orders")
+def csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    path = _scratch(spark, "csv_roundtrip")
+    spark.read.parquet(f"{sf}/orders.parquet").select("o_orderkey", "o_totalprice", "o_orderstatus").write.mode("overwrite").option("header", True).csv(path)
+    return read_csv(spark, path)
+
+
+def _model(spark: SparkSession, sf: str) -> tuple[str, dict]:
+    path = _scratch(spark, "model")
+    record = mar_full(spark, sf)
+    metrics = default_model.train_model(spark, record, path, path, trees=5, importances=False)
+    return path, metrics
+
+
+@query()
+def score_population(spark: SparkSession, sf: str) -> DataFrame:
+    path, _ = _model(spark, sf)
+    return default_model.score_frame(mar_scoring_population(spark, sf), path)
+
+
+@query()
+def diagnose_status(spark: SparkSession, sf: str) -> DataFrame:
+    """Each check's verdict over the test tables."""
+    limits = diagnose.Thresholds()
+    verdicts = {
+        "stability": diagnose.check_stability(_report(spark, sf)),
+        "roll_rates": diagnose.check_roll_rates(roll_rate_stacked_sources(spark, sf), limits),
+        "vintage": diagnose.check_vintage(vintage_curves(spark, sf)),
+    }
+    return spark.createDataFrame([(k, v.status, len(v.findings)) for k, v in verdicts.items()], "name string, status string, findings int")
+
+
+@query("select TARGET, cast(round(0.2 * count(*)) as bigint) as held_out from (select case when c_acctbal < 0 then 1 else 0 end as TARGET from customer) c group by TARGET")
+def stratified_holdout(spark: SparkSession, sf: str) -> DataFrame:
+    return default_model.stratified_split(view(spark, sf, "application"))[1].groupBy("TARGET").agg(F.count("*").alias("held_out"))
