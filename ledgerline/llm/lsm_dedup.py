@@ -30,7 +30,7 @@ from .support import SPACED, Words, as_bytes, discard, mix, new_path, pieces, re
 
 WINDOW = 13
 BATCHES = 4
-SLICES = 2
+SLICES = 3
 #: Documents whose hits travel together (dealt by a hash of doc_id): hits are a row for each bucket and group.
 GROUP_DOCUMENTS = 1024
 _MERGE = pa.schema([("kind", pa.int32()), ("key", pa.int32()), ("a", pa.binary()), ("b", pa.binary())])
