@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .support import as_bytes, mix, pieces, powers, release, text_or_empty, written
+from .support import as_bytes, discard, mix, pieces, powers, release, text_or_empty, written
 
 LENGTH = 400
 GRAM = 16
@@ -386,7 +386,7 @@ def cleaned_texts(documents: DataFrame, length: int = LENGTH, contexts: int = CO
     if not crowded.isEmpty():
         marks = marks.unionByName(_counted(cut.join(crowded, "h", "left_semi"), length))
     marks = written(marks, "marks")
-    release(spark)
+    discard(spark, distinct, cut)
     spans = found.join(marks, ["h", "c"]).select("key", F.lit(0).alias("kind"), (F.col("place") + F.col("first")).alias("low"), (F.col("place") + F.col("last")).alias("high"), F.lit(None).cast("string").alias("text"))
     single = texts.mapInArrow(_first_of_each, "key binary, text string").select("key", F.lit(1).alias("kind"), null["low"], null["high"], "text")
     return spans.unionByName(single).repartition("key").sortWithinPartitions("key", "kind").mapInArrow(_cover(length), "key binary, n_bytes long, n_removed long, n_spans long, kept binary")
