@@ -27,8 +27,8 @@ from pyspark.sql import functions as F
 from .support import pieces as chunks
 
 WIDTHS = (2, 3, 4, 5, 6, 7, 8, 10, 12, 16, 24, 32, 64, 128)
-#: Rows of a matrix; pieces kept with their ids by each worker.
-MATRIX_ROWS, KEPT_PIECES = 1 << 15, 300_000
+#: Cells of a matrix; pieces kept with their ids by each worker.
+MATRIX_CELLS, KEPT_PIECES = 1 << 18, 200_000
 NONE = np.iinfo(np.int32).max
 
 
@@ -166,8 +166,9 @@ class Tables:
             else:
                 held.setdefault(WIDTHS[np.searchsorted(WIDTHS, len(piece))], []).append(k)
         for width, at in held.items():
-            for low in range(0, len(at), MATRIX_ROWS):
-                part = at[low : low + MATRIX_ROWS]
+            rows = MATRIX_CELLS // width
+            for low in range(0, len(at), rows):
+                part = at[low : low + rows]
                 for k, ids in zip(part, self.matrix([distinct[k] for k in part], width), strict=True):
                     out[k] = ids
         return out
