@@ -6,8 +6,13 @@ Intermediate results are written as Parquet under the folder that the session na
 
 from __future__ import annotations
 
+import atexit
+import shutil
+import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -18,7 +23,24 @@ from pyspark.sql import functions as F
 LOCAL_FOLDER = "file:///tmp/checkpoints/ledgerline"
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once a session, so their Python workers can import it wherever they run."""
+    context = spark.sparkContext
+    if getattr(context, "_ledgerline_shipped", False):
+        return
+    package = Path(__file__).resolve().parent.parent
+    folder = tempfile.mkdtemp()  # on the driver, which serves the file as long as the session lasts
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    name = f"{folder}/{package.name}.zip"
+    with zipfile.ZipFile(name, "w") as out:
+        for path in sorted(package.rglob("*.py")):
+            out.write(path, path.relative_to(package.parent))
+    context.addPyFile(name)
+    context._ledgerline_shipped = True
+
+
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
