@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .support import pieces as chunks
+from .support import small_batches
 
 WIDTHS = (2, 3, 4, 5, 6, 7, 8, 10, 12, 16, 24, 32, 64, 128)
 #: Cells of a matrix; pieces kept with their ids by each worker.
@@ -210,7 +211,7 @@ def encode(documents: DataFrame, ranks_path: str | None = None, pattern: str | N
     def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = held.value
         encoder = Encoder(tables)
-        for batch in batches:
+        for batch in small_batches(batches):
             texts = [x or "" for x in batch.column(1).to_pylist()]
             n, one, two = [], [], []
             for low, group in chunks(texts):
@@ -232,7 +233,7 @@ def with_tokens(documents: DataFrame, ranks_path: str | None = None, pattern: st
 
     def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(held.value)
-        for batch in batches:
+        for batch in small_batches(batches):
             done = 0
             for _, group in chunks([x or "" for x in batch.column(0).field("text").to_pylist()]):
                 ids = encoder.encode(group)
@@ -252,7 +253,7 @@ def decode(rows: DataFrame, ranks_path: str | None = None, column: str = "token_
 
     def back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = held.value
-        for batch in batches:
+        for batch in small_batches(batches):
             ids = batch.column(0).field(column).to_pylist()
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([None if x is None else tables.decode(np.array(x, np.int64)) for x in ids], pa.binary())], ["row", "bytes"])
 

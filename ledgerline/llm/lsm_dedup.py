@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .support import SPACED, Words, as_bytes, discard, mix, new_path, pieces, release, run_hashes, shuffle_width
+from .support import SPACED, Words, as_bytes, discard, mix, new_path, pieces, release, run_hashes, shuffle_width, small_batches
 
 WINDOW = 13
 BATCHES = 4
@@ -152,7 +152,7 @@ def _merge(groups: int, folded: int):
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, runs, blocks = None, [], []
-        for batch in batches:
+        for batch in small_batches(batches, 64):
             for row in batch.to_pylist():
                 if row["bucket"] != now:
                     if now is not None:
@@ -173,7 +173,7 @@ def _apply(window: int):
 
     def cover(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, ids, places, ready = None, [], [], None
-        for batch in batches:
+        for batch in small_batches(batches):
             names, counts, removed, kept = [], [], [], []
             for group, kind, doc_id, text, a, b in zip(*(batch.column(k).to_pylist() for k in (0, 1, 2)), as_bytes(batch.column(3)), *(batch.column(k).to_pylist() for k in (4, 5)), strict=True):
                 if group != now:

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .support import SPACED, Words, as_bytes, pieces, written
+from .support import SPACED, Words, as_bytes, pieces, small_batches, written
 
 CLASSES = 64
 BUCKETS = CLASSES * CLASSES
@@ -132,7 +132,7 @@ def tokenised(documents: DataFrame) -> DataFrame:
     """doc_id, tokens (packed 16-bit buckets by hash), n_tokens."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches):
             out, n = [], []
             for _, texts in pieces(x or b"" for x in as_bytes(batch.column(1))):
                 found = Words(texts, SPACED, lower=True)
@@ -240,7 +240,7 @@ def score(tokens: DataFrame, net: Network, number_of: np.ndarray) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         flat, numbers = held.value
         own = Network.unpacked(flat)
-        for batch in batches:
+        for batch in small_batches(batches):
             out = []
             for _, group in pieces(batch.column(1).to_pylist(), 1 << 17):
                 each = [numbers[np.frombuffer(x, "<u2")] for x in group]

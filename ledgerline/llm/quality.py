@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .support import as_bytes, written
+from .support import as_bytes, small_batches, written
 
 #: Labelled documents that the heads are fitted on, at most; their features (not texts) go to the driver.
 LABELLED_ROWS = 20_000
@@ -111,7 +111,7 @@ def train(documents: DataFrame, labels: DataFrame, rows: int = LABELLED_ROWS) ->
     joined = documents.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(sample), F.col("doc_id") == F.col("of"))  # at most ``rows`` small rows
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches):
             got = [features(x or b"") for x in as_bytes(batch.column(0))]
             arrays = [batch.column(1), batch.column(2), pa.array([d.tolist() for d, _ in got], pa.list_(pa.float64())), pa.array([b for _, b in got], pa.list_(pa.int32()))]
             yield pa.RecordBatch.from_arrays(arrays, ["quality", "toxic", "dense", "buckets"])
@@ -153,7 +153,7 @@ def _scored(rows: DataFrame, heads: tuple[Head, Head]) -> DataFrame:
     held = rows.sparkSession.sparkContext.broadcast(heads)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches):
             p = [probability(x or b"", held.value) for x in as_bytes(batch.column(0).field("text"))]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(p, pa.float64())], [*batch.schema.names, "p"])
 

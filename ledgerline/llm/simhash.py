@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .support import Forest, as_bytes, components, written
+from .support import Forest, as_bytes, components, small_batches, written
 
 SHINGLE = 4
 DISTANCE = 4
@@ -53,7 +53,7 @@ def fingerprints(documents: DataFrame, shingle: int = SHINGLE, seed: int = SEED)
     """doc_id, fp (the fingerprint as a signed long)."""
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches):
             values = [fingerprint(text or b"", shingle, seed) for text in as_bytes(batch.column(1))]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.array(values, np.uint64).view(np.int64))], ["doc_id", "fp"])
 

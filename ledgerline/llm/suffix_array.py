@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .support import as_bytes, discard, mix, pieces, powers, release, text_or_empty, written
+from .support import as_bytes, discard, mix, pieces, powers, release, small_batches, text_or_empty, written
 
 LENGTH = 400
 GRAM = 16
@@ -204,7 +204,7 @@ def _cut(length: int):
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, asked = None, []
-        for batch in batches:
+        for batch in small_batches(batches):
             out: list[tuple] = []
             for key, kind, place, low, high, h, c, n, text in zip(*(batch.column(k).to_pylist() for k in range(8)), as_bytes(batch.column(8)), strict=True):
                 if key != now:
@@ -300,7 +300,7 @@ def _sorted_contexts(length: int, symbols: int):
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
-        for batch in batches:
+        for batch in small_batches(batches):
             for row in batch.to_pylist():
                 if size >= symbols and row["h"] != held[-1]["h"]:
                     yield solve(held)
@@ -317,7 +317,7 @@ def _counted(contexts: DataFrame, length: int) -> DataFrame:
     """The same as _sorted_contexts, for anchors with too many contexts for one task: strings are counted by 128 bits of hash."""
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches, 256):
             for row in batch.to_pylist():
                 data = np.frombuffer(row["context"], np.uint8)
                 low = np.arange(row["before"] + row["after"] + 1)
@@ -337,7 +337,7 @@ def _cover(length: int):
 
     def cover(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, spans, over = None, [], False
-        for batch in batches:
+        for batch in small_batches(batches):
             out: list[tuple] = []
             for key, kind, low, high, text in zip(*(batch.column(k).to_pylist() for k in range(4)), as_bytes(batch.column(4)), strict=True):
                 if key != now:

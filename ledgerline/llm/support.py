@@ -94,6 +94,13 @@ def as_bytes(column: pa.Array) -> list[bytes | None]:
     return column.cast(kind).to_pylist()
 
 
+def small_batches(batches: Iterable[pa.RecordBatch], rows: int = 1024) -> Iterator[pa.RecordBatch]:
+    """Smaller batches (views of the large ones), so that Python holds the objects of few rows at a time."""
+    for batch in batches:
+        for low in range(0, batch.num_rows, rows):
+            yield batch.slice(low, rows)
+
+
 def pieces(items: Iterable[bytes], limit: int = 1 << 20) -> Iterator[tuple[int, list[bytes]]]:
     """Consecutive items with about ``limit`` bytes in all (a longer one alone), and the first one's place."""
     held, size, first = [], 0, 0

@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .support import as_bytes, new_path, written
+from .support import as_bytes, new_path, small_batches, written
 
 #: Fixed values of the formats.
 FIELDS = {1: "URL IP-address Archive-date Content-type Archive-length", 2: "URL IP-address Archive-date Content-type Result-code Checksum Location Offset Filename Archive-length"}
@@ -85,7 +85,7 @@ def arc_volumes(pages: DataFrame, date: str = "20010203040506", volume_bytes: in
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, count, volume = TaskContext.get().partitionId(), 0, None
         close = lambda v: pa.RecordBatch.from_arrays([pa.array([v.name]), pa.array([v.content()], pa.binary())], ["name", "content"])
-        for batch in batches:
+        for batch in small_batches(batches):
             for page_id, url, html in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), as_bytes(batch.column(2)), strict=True):
                 if volume is None:
                     seed = hashlib.sha1(f"{page_id} {url}".encode() + (html or b"")).hexdigest()[:16]

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .support import ALPHANUMERIC, Words, as_bytes, pieces, run_hashes, text_or_empty, written
+from .support import ALPHANUMERIC, Words, as_bytes, pieces, run_hashes, small_batches, text_or_empty, written
 
 WINDOW = 10
 GRAM = 4
@@ -57,7 +57,7 @@ def windows(benchmark: DataFrame, window: int = WINDOW, gram: int = GRAM) -> Dat
     """size, mark (the fingerprint), one, two (hashes of the whole window), item_id: the distinct windows of all items."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches):
             for first, texts in pieces(x or b"" for x in as_bytes(batch.column(1))):
                 found = Words(texts, ALPHANUMERIC, lower=True)
                 one, two = found.hashes(0), found.hashes(1)
@@ -145,7 +145,7 @@ def _scan(held, clean_only: bool):
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = held.value
-        for batch in batches:
+        for batch in small_batches(batches):
             row = batch.column(0)
             got = [x for _, texts in pieces(x or b"" for x in as_bytes(row.field("text"))) for x in measure(texts, index)]
             if clean_only:
@@ -164,7 +164,7 @@ def _by_shuffle(documents: DataFrame, table: DataFrame, gram: int) -> DataFrame:
     keyed = documents.select("doc_id", F.md5(text_or_empty().cast("binary")).alias("key"), text_or_empty().alias("text"))
 
     def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches):
             for first, texts in pieces(as_bytes(batch.column(1))):
                 found = Words(texts, ALPHANUMERIC, lower=True)
                 one = found.hashes(0)
@@ -178,7 +178,7 @@ def _by_shuffle(documents: DataFrame, table: DataFrame, gram: int) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([pa.array([batch.column(0)[first + k].as_py()] * len(size), pa.string()), pa.array(size), pa.array(mark.view(np.int64))], ["key", "size", "mark"])
 
     def extended(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches):
             for key, text, marks in zip(batch.column(0).to_pylist(), as_bytes(batch.column(1)), batch.column(2).to_pylist(), strict=True):
                 found = Words([text], ALPHANUMERIC, lower=True)
                 one, two, room = found.hashes(0), found.hashes(1), found.room()
@@ -189,7 +189,7 @@ def _by_shuffle(documents: DataFrame, table: DataFrame, gram: int) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([pa.array([key] * len(at), pa.string()), pa.array(np.full(len(at), length, np.int32)), *hashes, pa.array(at)], ["key", "size", "one", "two", "place"])
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches):
             n = [int(c) for _, texts in pieces(as_bytes(batch.column(2))) for c in np.diff(Words(texts, ALPHANUMERIC, lower=True).first)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n, pa.int64())], ["doc_id", "key", "n_words"])
 
