@@ -372,21 +372,23 @@ def cleaned_texts(documents: DataFrame, length: int = LENGTH, contexts: int = CO
     found = written(texts.mapInArrow(_anchored(length), "key binary, place long, low long, high long, h long, c long"), "anchors")
     distinct = found.groupBy("h", "c").agg(F.count("*").alias("n"), F.min(F.struct("key", "place", "low", "high")).alias("one"))
     distinct = written(distinct.select("h", "c", "n", "one.*"), "contexts")
+    release(spark)
     often = distinct.groupBy("h").agg(F.sum("n").alias("times"), F.count("*").alias("kinds")).where("times > 1").select("h", "kinds")
-    wanted = distinct.join(often, "h")
+    wanted = written(distinct.join(often, "h"), "wanted")
+    discard(spark, distinct)
     single = texts.where(F.length(F.col("text").cast("binary")) >= length).mapInArrow(_first_of_each, "key binary, text string")
     null = {c: F.lit(None).cast("long").alias(c) for c in ("place", "low", "high", "h", "c", "n", "kinds")}
     asked = wanted.select("key", F.lit(0).alias("kind"), "place", "low", "high", "h", "c", F.least("n", F.lit(2).cast("long")).alias("n"), F.lit(None).cast("string").alias("text"))
     given = single.select("key", F.lit(1).alias("kind"), *(null[c] for c in ("place", "low", "high", "h", "c", "n")), "text")
     cut = written(asked.unionByName(given).repartition("key").sortWithinPartitions("key", "kind").mapInArrow(_cut(length), "h long, c long, n long, before long, after long, context binary"), "cut")
     release(spark)
-    crowded = often.where(F.col("kinds") > contexts).select("h")
+    crowded = wanted.where(F.col("kinds") > contexts).select("h").distinct()
     usual = cut.join(crowded, "h", "left_anti")
     marks = usual.repartition("h").sortWithinPartitions("h").select("h", "c", "n", "before", "after", "context").mapInArrow(_sorted_contexts(length, symbols), _FOUND)
     if not crowded.isEmpty():
         marks = marks.unionByName(_counted(cut.join(crowded, "h", "left_semi"), length))
     marks = written(marks, "marks")
-    discard(spark, distinct, cut)
+    discard(spark, wanted, cut)
     spans = found.join(marks, ["h", "c"]).select("key", F.lit(0).alias("kind"), (F.col("place") + F.col("first")).alias("low"), (F.col("place") + F.col("last")).alias("high"), F.lit(None).cast("string").alias("text"))
     single = texts.mapInArrow(_first_of_each, "key binary, text string").select("key", F.lit(1).alias("kind"), null["low"], null["high"], "text")
     return spans.unionByName(single).repartition("key").sortWithinPartitions("key", "kind").mapInArrow(_cover(length), "key binary, n_bytes long, n_removed long, n_spans long, kept binary")
