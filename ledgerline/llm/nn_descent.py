@@ -32,7 +32,7 @@ from .support import Forest, components, release, written
 
 THRESHOLD = 0.93
 #: Neighbours in a list; cells of how many nodes the first graph comes from, and how many sets of cells.
-NEIGHBOURS, CELL, TABLES, ROUNDS = 8, 48, 3, 2
+NEIGHBOURS, CELL, TABLES, ROUNDS = 8, 48, 6, 2
 #: Rows of a block; neighbours that one task compares around a centre.
 BLOCK, CENTRE = 1024, 64
 #: Nodes compared with all vectors to measure recall (with their vectors, they are broadcast), and what must be found.
@@ -282,7 +282,7 @@ def link_counts(vectors: DataFrame, reached: DataFrame, kind: str, threshold: fl
 
 
 def measured_recall(vectors: DataFrame, counts: DataFrame, kind: str, threshold: float, audited: int = AUDITED) -> float:
-    """Of the links of a sample of nodes, compared with all vectors, the part that ``counts`` (node, n) has."""
+    """Of each sampled node's links, found by comparing it with all vectors, the part that ``counts`` (node, n) has; the mean over nodes, so that large groups do not hide small ones."""
     sample = vectors.orderBy(F.xxhash64("node")).limit(audited).select("node", "space", "vector").toArrow()
     if not sample.num_rows:
         return 1.0
@@ -301,8 +301,9 @@ def measured_recall(vectors: DataFrame, counts: DataFrame, kind: str, threshold:
         yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(total)], ["node", "n"])
 
     true = vectors.select("node", "space", "size", "vector").mapInArrow(audit, "node long, n long").groupBy("node").agg(F.sum("n").alias("all_links"))
-    both = true.where("all_links > 0").join(counts, "node", "left").agg(F.sum("all_links").alias("all_links"), F.sum(F.coalesce("n", F.lit(0))).alias("found")).first()
-    return both.found / both.all_links if both.all_links else 1.0
+    part = F.coalesce("n", F.lit(0)).cast("double") / F.col("all_links")
+    mean = true.where("all_links > 0").join(counts, "node", "left").agg(F.avg(part)).first()[0]
+    return 1.0 if mean is None else mean
 
 
 def near_duplicates(embeddings: DataFrame, threshold: float = THRESHOLD, neighbours: int = NEIGHBOURS, tables: int = TABLES, rounds: int = ROUNDS, recall: float = RECALL) -> DataFrame:
