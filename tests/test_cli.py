@@ -61,7 +61,7 @@ def test_steps(spark, data, capsys):
     run("stability")
     capsys.readouterr()
     run("diagnose", "--no-narrative")
-    assert capsys.readouterr().out.startswith("# Portfolio Stability Brief")
+    assert capsys.readouterr().out.startswith("# Portfolio brief")
     with pytest.raises(SystemExit, match="fail-on"):
         run("diagnose", "--fail-on", "warning")
     run("draft-schema", "--table", "bureau", "--key", "SK_ID_BUREAU")
