@@ -9,6 +9,7 @@ import posixpath
 
 from pyspark.sql import SparkSession
 
+from .logs import get_logger
 from .operators import contracts, default_model, diagnose, master_record, migration, stability
 from .plans.pipeline import execution_order
 from .session import get_session
@@ -127,5 +128,5 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None, narra
 
 
 if __name__ == "__main__":
-    logging.basicConfig(level=logging.INFO, format="%(asctime)s %(levelname)s %(message)s")
+    get_logger()
     main()

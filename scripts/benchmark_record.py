@@ -1,0 +1,83 @@
+"""The master record in Spark beside the same SQL in DuckDB: fresh processes, taking turns; medians of time and memory, and a comparison of the results.
+
+    python scripts/benchmark_record.py [--runs 3] [--sf-dir DIR] [--out FILE]
+"""
+
+from __future__ import annotations
+
+import argparse
+import json
+import resource
+import subprocess
+import sys
+import tempfile
+import time
+from pathlib import Path
+from statistics import median
+
+sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
+
+
+def run_spark(sf_dir: str, out: str) -> float:
+    from pyspark.sql import SparkSession
+
+    from ledgerline.plans import contract
+
+    spark = SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", "8").config("spark.ui.enabled", "false").config("spark.driver.memory", "8g").getOrCreate()
+    began = time.perf_counter()
+    contract.QUERIES["mar_full"](spark, sf_dir).write.mode("overwrite").parquet(out)
+    return time.perf_counter() - began
+
+
+def run_duckdb(sf_dir: str, out: str) -> float:
+    import duckdb
+
+    from ledgerline.plans import contract
+
+    con = duckdb.connect()
+    for t in ("customer", "orders", "lineitem"):
+        con.sql(f"create view {t} as select * from read_parquet('{sf_dir}/{t}.parquet')")
+    began = time.perf_counter()
+    con.sql(f"copy ({contract.ORACLE_SQL['mar_full']}) to '{out}' (format parquet)")
+    return time.perf_counter() - began
+
+
+def equal(one: str, two: str) -> bool:
+    """To a part in a million, or a hundredth of a cent."""
+    import numpy as np
+    import pyarrow.dataset as ds
+
+    a, b = (ds.dataset(x).to_table().to_pandas().sort_values("SK_ID_CURR").reset_index(drop=True) for x in (one, two))
+    if len(a) != len(b) or set(a.columns) != set(b.columns):
+        return False
+    return all(np.allclose(a[c], b[c], rtol=1e-6, atol=1e-4) if a[c].dtype.kind in "if" else (a[c] == b[c]).all() for c in a.columns)
+
+
+def main() -> None:
+    cli = argparse.ArgumentParser()
+    cli.add_argument("--runs", type=int, default=3)
+    cli.add_argument("--sf-dir", default="/root/testdata/sf0.1")
+    cli.add_argument("--out")
+    cli.add_argument("--child", nargs=2)
+    args = cli.parse_args()
+    if args.child:
+        took = {"spark": run_spark, "duckdb": run_duckdb}[args.child[0]](args.sf_dir, args.child[1])
+        print(json.dumps({"s": took, "mb": (resource.getrusage(resource.RUSAGE_SELF).ru_maxrss + resource.getrusage(resource.RUSAGE_CHILDREN).ru_maxrss) / 1024}))
+        return
+    with tempfile.TemporaryDirectory() as folder:
+        paths = {"spark": f"{folder}/spark.parquet", "duckdb": f"{folder}/duckdb.parquet"}
+        seen: dict[str, list[dict]] = {k: [] for k in paths}
+        for _ in range(args.runs):
+            for engine, path in paths.items():
+                said = subprocess.run([sys.executable, __file__, "--sf-dir", args.sf_dir, "--child", engine, path], capture_output=True, text=True, check=True)
+                seen[engine].append(json.loads(said.stdout.strip().splitlines()[-1]))
+        result = {k: {"median_s": round(median(x["s"] for x in v), 3), "median_mb": round(median(x["mb"] for x in v), 1)} for k, v in seen.items()}
+        result["equal"] = equal(paths["spark"], paths["duckdb"])
+    text = json.dumps(result, indent=2)
+    if args.out:
+        Path(args.out).write_text(text)
+    print(text)
+
+
+if __name__ == "__main__":
+    main()
