@@ -62,3 +62,17 @@ def test_damaged_and_empty(spark, tmp_path):
     assert [r.page_id for r in warc.read_warc(spark, f"{tmp_path}/a").collect() if r.record_type == "response"] == [1]
     empty = spark.createDataFrame([], SCHEMA)
     assert warc.page_records(empty, f"{tmp_path}/b").count() == 0
+
+
+def test_archives_from_files(spark, tmp_path):
+    for k, version in enumerate((1, 2)):
+        volume = warc.ArcVolume(f"v{k}.arc", version, "19990102030405")
+        volume.add_page(k, f"http://h/{k}", b"equal")
+        (tmp_path / "in").mkdir(exist_ok=True)
+        (tmp_path / f"in/v{k}.arc.gz").write_bytes(gzip.compress(volume.content()))
+    records, problems = warc.convert(warc.read_arc(spark, f"{tmp_path}/in"))
+    warc.write_warc(records, f"{tmp_path}/out")
+    found = {r.page_id: r for r in warc.read_warc(spark, f"{tmp_path}/out").collect() if r.record_type != "warcinfo"}
+    assert problems.count() == 0 and found[1].record_type == "response" and bytes(found[1].payload) == b"equal"
+    assert found[0].record_type == "revisit" and found[0].refers_to_id == found[1].record_id and found[0].payload_bytes == 5
+    assert found[0].date == "1999-01-02T03:04:05Z"
