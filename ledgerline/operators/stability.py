@@ -34,7 +34,6 @@ OTHER_BIN, NULL_BIN = "__OTHER__", "__NULL__"
 MODERATE, SIGNIFICANT = 0.1, 0.25
 DEFAULT_CONFIG = Path(__file__).resolve().parent.parent / "conf" / "stability.yaml"
 REPORT = "analysis string, feature_name string, feature_type string, role string, psi_score double, drift_status string, baseline_rows long, target_rows long, top_driver string, alerting boolean"
-BINS = "feature_name string, feature_type string, position int, bin string, baseline_pct double, target_pct double, contribution double"
 
 
 def drift_label(psi):

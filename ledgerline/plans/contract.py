@@ -298,9 +298,6 @@ def time_split_lower_quantile(spark: SparkSession, sf: str) -> DataFrame:
 # ---------------------------------------------------------------------------------------------
 # Contracts
 
-_ORDER_COLUMNS = ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "price_with_nulls")
-
-
 @query("select * from (values ('price_with_nulls', (select count(*) from orders where month(o_orderdate) > 6 and o_orderkey % 3 = 0)), ('o_orderkey', 0::bigint), ('o_totalprice', 0::bigint)) t(column_name, nulls)")
 def schema_null_counts(spark: SparkSession, sf: str) -> DataFrame:
     names = ["price_with_nulls", "o_orderkey", "o_totalprice"]
