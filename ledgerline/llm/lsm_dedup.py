@@ -8,9 +8,10 @@ bucket's piece of every run; a window that history holds, or a smaller doc_id of
 are new become the batch's run, and runs of equal age are compacted into one as it is written, so a
 batch meets about log2 of the number of batches.
 
-Hashes go through shuffles as packed arrays, a row for each bucket and megabyte of text. The hash space
-is worked off in slices, so shuffle files and runs of one slice only take room at a time. Buckets are
-even, as they are dealt by hash and equal windows are few bytes; a window that many documents share is met in one bucket as one array.
+A batch's hashes go through one shuffle as packed arrays, a row for each bucket and megabyte of text, to
+where the bucketed table of runs has its buckets; the history itself is not shuffled. The hash space is
+worked off in slices, so files of one slice only take room at a time. Buckets are even, as they are dealt
+by hash; a window that many documents share is some bytes for each in one bucket.
 
 Defined results: a null text has no words; documents with a null doc_id have no place in the order, so
 nothing is removed from them and they are no history; rows that repeat a doc_id are one document for the
@@ -19,6 +20,7 @@ order, and each returns a row; an empty table returns none; other columns are ig
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -82,7 +84,7 @@ def held_by(run: tuple[np.ndarray, np.ndarray], one: np.ndarray, two: np.ndarray
 
 
 def _windows(window: int, slices: int, piece: int, buckets: int):
-    """bucket, kind 1, run -1, and packed arrays: doc_id, place, first hash, second hash of each window in the slice."""
+    """bucket, and packed arrays: doc_id, place, first hash, second hash of each window in the slice."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -104,30 +106,31 @@ def _windows(window: int, slices: int, piece: int, buckets: int):
                 for low, high in zip(cuts, np.append(cuts[1:], len(order)), strict=True):
                     for out, values in zip(rows, columns, strict=True):
                         out.append(values[low:high].tobytes())
-                n = len(cuts)
-                yield pa.RecordBatch.from_arrays([pa.array(bucket[order][cuts]), pa.array(np.ones(n, np.int32)), pa.array(np.full(n, -1, np.int32)), *(pa.array(x, pa.binary()) for x in rows)], ["bucket", "kind", "run", "ids", "places", "a", "b"])
+                yield pa.RecordBatch.from_arrays([pa.array(bucket[order][cuts]), *(pa.array(x, pa.binary()) for x in rows)], ["bucket", "ids", "places", "a", "b"])
 
     return cut
 
 
-def _merge(groups: int, folded: int):
-    """Rows sorted by bucket and kind: runs (kind 0), then the batch. Gives the new run (kind 0, key bucket) and hits (kind 1, key group of doc_id: ids, places).
+def _merge(groups: int, folded: int, keep: bool):
+    """One bucket of a batch beside the bucket's piece of every run. Gives hits (kind 1, key group of doc_id: ids, places) and, if the batch is to be kept, its run (kind 0, key bucket).
 
     Runs with a number of at least ``folded`` go into the new one.
     """
 
-    def finish(bucket: int, runs: list, blocks: list) -> Iterator[pa.RecordBatch]:
+    def merge(batch: pa.Table, history: pa.Table) -> pa.Table:
         kinds, keys, a, b = [], [], [], []
-        fold = [(one, two) for number, one, two in runs if number >= folded]
-        if blocks:
-            ids, places, one, two = (np.concatenate([np.frombuffer(x[k], kind) for x in blocks]) for k, kind in enumerate((np.int64, np.uint32, np.uint64, np.uint32)))
+        runs = [(row["run"], unpack(row["a"], row["b"])) for row in history.to_pylist()]
+        fold = [run for number, run in runs if number >= folded]
+        bucket = (batch if batch.num_rows else history).column("bucket" if batch.num_rows else "key")[0].as_py()
+        if batch.num_rows:
+            ids, places, one, two = (np.concatenate([np.frombuffer(x, kind) for x in batch.column(c).to_pylist()]) for c, kind in (("ids", np.int64), ("places", np.uint32), ("a", np.uint64), ("b", np.uint32)))
             order = np.lexsort((ids, two, one))
             ids, places, one, two = ids[order], places[order], one[order], two[order]
             head = np.r_[True, (one[1:] != one[:-1]) | (two[1:] != two[:-1])]
             starts = np.flatnonzero(head)
             known = np.zeros(len(starts), bool)
-            for _, *run in runs:
-                known |= held_by(tuple(run), one[starts], two[starts])
+            for _, run in runs:
+                known |= held_by(run, one[starts], two[starts])
             group = np.cumsum(head) - 1
             hit = np.flatnonzero(known[group] | (ids > ids[starts][group]))  # the smallest doc_id stands first
             fold.append((one[starts][~known], two[starts][~known]))
@@ -140,30 +143,15 @@ def _merge(groups: int, folded: int):
                 keys.append(int(dealt[low]))
                 a.append(ids[hit[low:high]].tobytes())
                 b.append(places[hit[low:high]].tobytes())
-        one, two = (np.concatenate([x[k] for x in fold]) if fold else np.zeros(0, kind) for k, kind in enumerate((np.uint64, np.uint32)))
-        if len(one):
+        if keep and fold and sum(len(one) for one, _ in fold):
+            one, two = (np.concatenate([x[k] for x in fold]) for k in (0, 1))
             order = np.lexsort((two, one))
             first, second = pack(one[order], two[order])
             kinds.append(0)
             keys.append(bucket)
             a.append(first)
             b.append(second)
-        yield pa.RecordBatch.from_arrays([pa.array(kinds, pa.int32()), pa.array(keys, pa.int32()), pa.array(a, pa.binary()), pa.array(b, pa.binary())], schema=_MERGE)
-
-    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, runs, blocks = None, [], []
-        for batch in small_batches(batches, 64):
-            for row in batch.to_pylist():
-                if row["bucket"] != now:
-                    if now is not None:
-                        yield from finish(now, runs, blocks)
-                    now, runs, blocks = row["bucket"], [], []
-                if row["kind"] == 0:
-                    runs.append((row["run"], *unpack(row["a"], row["b"])))
-                else:
-                    blocks.append((row["ids"], row["places"], row["a"], row["b"]))
-        if now is not None:
-            yield from finish(now, runs, blocks)
+        return pa.Table.from_arrays([pa.array(kinds, pa.int32()), pa.array(keys, pa.int32()), pa.array(a, pa.binary()), pa.array(b, pa.binary())], schema=_MERGE)
 
     return merge
 
@@ -212,49 +200,71 @@ def _apply(window: int):
 # The index
 
 
+_ROWS = "key int, a binary, b binary"
+
+
 class Index:
-    """Runs of one slice of the hash space, oldest first: (folder, batches it stands for).
+    """Runs of one slice of the hash space, oldest first: (number, batches it stands for).
 
-    ``manifest()`` and ``Index(..., runs=...)`` carry an index from one session to the next.
+    The runs are partitions of one table that is bucketed by hash bucket in the shared folder, so a batch
+    is dealt to where the runs lie: history is read in place and never shuffled again, except for runs
+    that are compacted. ``manifest()`` and ``Index(spark, **manifest)`` carry an index to another session.
     """
 
-    def __init__(self, spark: SparkSession, piece: int = 0, slices: int = 1, buckets: int | None = None, window: int = WINDOW, runs: list[tuple[str, int]] | None = None) -> None:
+    def __init__(self, spark: SparkSession, piece: int = 0, slices: int = 1, buckets: int | None = None, window: int = WINDOW, runs: list[tuple[int, int]] | None = None, path: str | None = None) -> None:
         self.spark, self.piece, self.slices, self.window = spark, piece, slices, window
-        self.buckets = buckets or max(16, 2 * shuffle_width(spark))
-        self.runs = list(runs or [])
+        self.buckets = buckets or max(16, shuffle_width(spark))
+        self.runs = [tuple(x) for x in runs or []]
+        self.path, self.name = path or new_path(spark, "index"), f"window_index_{uuid.uuid4().hex}"
+        spark.sql(f"CREATE TABLE {self.name} (key INT, a BINARY, b BINARY, run INT) USING parquet OPTIONS (compression 'zstd') PARTITIONED BY (run) CLUSTERED BY (key) INTO {self.buckets} BUCKETS LOCATION '{self.path}'")
+        if self.runs:
+            spark.catalog.recoverPartitions(self.name)
 
     def manifest(self) -> dict:
-        return {"piece": self.piece, "slices": self.slices, "buckets": self.buckets, "window": self.window, "runs": self.runs}
+        return {"piece": self.piece, "slices": self.slices, "buckets": self.buckets, "window": self.window, "runs": self.runs, "path": self.path}
 
-    def add(self, documents: DataFrame, groups: int) -> DataFrame:
-        """Merge-join a batch, all of whose doc_ids are larger than those before; hits as (key, a, b): group, doc_ids, places."""
+    def history(self) -> DataFrame:
+        """key (the bucket), run, a, b of all live runs."""
+        return self.spark.table(self.name).where(F.col("run").isin([number for number, _ in self.runs])).select("key", "run", "a", "b")
+
+    def add(self, documents: DataFrame, groups: int, keep: bool = True) -> DataFrame:
+        """Merge-join a batch, all of whose doc_ids are larger than those before; hits as (key, a, b): group, doc_ids, places. Without ``keep``, the index stays as it was."""
         named = documents.where("doc_id is not null").select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-        rows = named.mapInArrow(_windows(self.window, self.slices, self.piece, self.buckets), "bucket int, kind int, run int, ids binary, places binary, a binary, b binary")
-        for number, (path, _) in enumerate(self.runs):
-            run = self.spark.read.schema("key int, a binary, b binary").parquet(path)
-            empty = F.lit(None).cast("binary")
-            rows = rows.unionByName(run.select(F.col("key").alias("bucket"), F.lit(0).alias("kind"), F.lit(number).alias("run"), empty.alias("ids"), empty.alias("places"), "a", "b"))
+        batch = named.mapInArrow(_windows(self.window, self.slices, self.piece, self.buckets), "bucket int, ids binary, places binary, a binary, b binary")
         age, folded = 1, len(self.runs)
         while folded and self.runs[folded - 1][1] <= age:
             folded -= 1
             age += self.runs[folded][1]
-        path = new_path(self.spark, "run")
-        out = rows.repartition("bucket").sortWithinPartitions("bucket", "kind").mapInArrow(_merge(groups, folded), "kind int, key int, a binary, b binary")
-        out.write.partitionBy("kind").option("compression", "zstd").parquet(path)
-        old, self.runs = self.runs[folded:], self.runs[:folded]
-        if self._exists(f"{path}/kind=0"):
-            self.runs.append((f"{path}/kind=0", age))
-        discard(self.spark, *(x for x, _ in old))
-        schema = "key int, a binary, b binary"
-        return self.spark.read.schema(schema).parquet(f"{path}/kind=1") if self._exists(f"{path}/kind=1") else self.spark.createDataFrame([], schema)
+        old = self.runs[folded:]
+        least = old[0][0] if old else 1 << 30
+        met = batch.groupBy("bucket").cogroup(self.history().groupBy("key")).applyInArrow(_merge(groups, least, keep), "kind int, key int, a binary, b binary")
+        path = new_path(self.spark, "merged")
+        met.write.partitionBy("kind").option("compression", "zstd").parquet(path)
+        if keep and self._exists(f"{path}/kind=0"):
+            self._append(f"{path}/kind=0", old, folded, age)
+        return self.spark.read.schema(_ROWS).parquet(f"{path}/kind=1") if self._exists(f"{path}/kind=1") else self.spark.createDataFrame([], _ROWS)
+
+    def _append(self, path: str, old: list[tuple[int, int]], folded: int, age: int) -> None:
+        """The new run joins the table as a whole partition; those it has taken in go."""
+        number = 1 + max((n for n, _ in self.runs), default=0)
+        rows = self.spark.read.schema(_ROWS).parquet(path).repartition(self.buckets, "key").withColumn("run", F.lit(number))
+        rows.write.mode("append").format("parquet").partitionBy("run").bucketBy(self.buckets, "key").option("path", self.path).option("compression", "zstd").saveAsTable(self.name)
+        self.runs = [*self.runs[:folded], (number, age)]
+        for gone, _ in old:
+            self.spark.sql(f"ALTER TABLE {self.name} DROP IF EXISTS PARTITION (run = {gone})")
+        discard(self.spark, path, *(f"{self.path}/run={n}" for n, _ in old))
 
     def _exists(self, path: str) -> bool:
         at = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         return at.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(at)
 
+    def close(self) -> None:
+        """Forget the table; its files stay."""
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
+
     def drop(self) -> None:
-        discard(self.spark, *(x for x, _ in self.runs))
-        self.runs = []
+        self.close()
+        discard(self.spark, self.path)
 
 
 def batches_of(documents: DataFrame, batches: int) -> list[DataFrame]:
@@ -295,11 +305,12 @@ def deduplicate(documents: DataFrame, window: int = WINDOW, batches: int = BATCH
     spark = documents.sparkSession
     groups = max(8, documents.count() // GROUP_DOCUMENTS)
     parts = batches_of(documents, batches)
-    hits = spark.createDataFrame([], "key int, a binary, b binary")
+    hits = spark.createDataFrame([], _ROWS)
     for piece in range(slices):
         index = Index(spark, piece, slices, window=window)
         for part in parts:
-            hits = hits.unionByName(index.add(part, groups))
+            # nothing is merge-joined with the last batch, and the index of a single pass goes
+            hits = hits.unionByName(index.add(part, groups, keep=part is not parts[-1]))
             release(spark)
         index.drop()
     return apply_hits(documents, hits, groups, window)

@@ -36,13 +36,20 @@ def test_index_is_compacted_and_resumes(spark):
     frame = spark.createDataFrame(brute.documents(), brute.SCHEMA)
     index, ages = lsm_dedup.Index(spark, buckets=8), []
     for part in lsm_dedup.batches_of(frame, 6):
-        index = lsm_dedup.Index(spark, **index.manifest())
+        manifest = index.manifest()
+        index.close()
+        index = lsm_dedup.Index(spark, **manifest)
         index.add(part, 4)
         ages.append([age for _, age in index.runs])
     assert ages == [[1], [2], [2, 1], [4], [4, 1], [4, 2]]
-    hashes = [h for path, _ in index.runs for r in spark.read.parquet(path).collect() for h in zip(*(x.tolist() for x in lsm_dedup.unpack(bytes(r.a), bytes(r.b))), strict=True)]
+    hashes = [h for r in index.history().collect() for h in zip(*(x.tolist() for x in lsm_dedup.unpack(bytes(r.a), bytes(r.b))), strict=True)]
     words = {tuple(w[i : i + 13]) for r in brute.documents() for w in [re.findall("[^\x20\x09-\x0d]+", r[1] or "")] for i in range(len(w) - 12)}
     assert len(hashes) == len(set(hashes)) == len(words)
+    before = index.manifest()
+    assert index.add(frame, 4, keep=False).count() > 0 and index.manifest() == before
+    plan = spark._jvm.PythonSQLUtils.explainString(index.history().groupBy("key").count()._jdf.queryExecution(), "simple")
+    assert "Bucketed: true" in plan and "Exchange" not in plan
+    index.drop()
 
 
 def test_packing_and_second_hash():
