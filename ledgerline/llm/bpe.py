@@ -17,6 +17,7 @@ import base64
 import hashlib
 import heapq
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +31,8 @@ from .support import small_batches
 WIDTHS = (2, 3, 4, 5, 6, 7, 8, 10, 12, 16, 24, 32, 64, 128)
 #: Cells of a matrix; pieces kept with their ids by each worker.
 MATRIX_CELLS, KEPT_PIECES = 1 << 18, 200_000
+#: Characters from which on a text is encoded in parts.
+LONG_TEXT = 1 << 20
 NONE = np.iinfo(np.int32).max
 
 
@@ -182,10 +185,10 @@ class Encoder:
     """Encodes texts with a bounded memory of pieces it has met."""
 
     def __init__(self, tables: Tables) -> None:
-        self.tables, self.find, self.known = tables, regex.compile(tables.pattern).findall, {}
+        pattern = regex.compile(tables.pattern)
+        self.tables, self.find, self.each, self.known = tables, pattern.findall, pattern.finditer, {}
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        cut = [self.find(text) for text in texts]
+    def _ids(self, cut: list[list[str]]) -> list[bytes]:
         fresh = list({piece for one in cut for piece in one if piece not in self.known})
         self.known.update(zip(fresh, self.tables.pieces([x.encode() for x in fresh]), strict=True))
         out = [b"".join(map(self.known.__getitem__, one)) for one in cut]
@@ -193,6 +196,15 @@ class Encoder:
             self.known.clear()
         return out
 
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text; a long text's pieces are taken some at a time."""
+        if len(texts) == 1 and len(texts[0]) > LONG_TEXT:
+            found, parts = self.each(texts[0]), []
+            while block := [m[0] for m in islice(found, LONG_TEXT >> 2)]:
+                parts += self._ids([block])
+            return [b"".join(parts)]
+        return self._ids([self.find(text) for text in texts])
+
 
 def read_ranks(path: str) -> dict[bytes, int]:
     with open(path, "rb") as lines:
@@ -218,7 +230,10 @@ def encode(documents: DataFrame, ranks_path: str | None = None, pattern: str | N
                 for ids in encoder.encode(group):
                     n.append(len(ids) // 4)
                     one.append(hashlib.sha256(ids).hexdigest())
-                    two.append(hashlib.sha256(tables.decode(np.frombuffer(ids, "<u4"))).hexdigest())
+                    decoded, numbers = hashlib.sha256(), np.frombuffer(ids, "<u4")
+                    for k in range(0, len(numbers), LONG_TEXT):
+                        decoded.update(tables.decode(numbers[k : k + LONG_TEXT]))
+                    two.append(decoded.hexdigest())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(one, pa.string()), pa.array(two, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     kind = documents.schema["doc_id"].dataType.simpleString()

@@ -16,6 +16,7 @@ return a row; an empty table returns none; other columns are ignored.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,20 +34,38 @@ SEED = 42
 SEGMENTS = ((0, 21), (21, 42), (42, 64))
 #: Fingerprints under one key that one task compares; keys with more are dealt as pairs of blocks.
 BUCKET_ROWS = 4096
+_SPACE = re.compile(rb"[\x09-\x0d\x20]")
+
+
+def word_blocks(text: bytes, size: int = 1 << 20) -> Iterator[list[bytes]]:
+    """Words in order, about ``size`` bytes at a time."""
+    low = 0
+    while low < len(text):
+        cut = _SPACE.search(text, low + size)
+        high = cut.start() if cut else len(text)
+        yield text[low:high].split()  # at the six ASCII spaces
+        low = high
 
 
 def fingerprint(text: bytes, shingle: int = SHINGLE, seed: int = SEED) -> int:
-    """Of UTF-8 bytes; unsigned. Hashes go through numpy in slices, so a long text needs little memory."""
-    words = text.lower().split()
-    if not words:
-        return 0
-    count = max(1, len(words) - shingle + 1)
-    hashed, votes, step = xxhash.xxh64_intdigest, np.zeros(64, np.int64), 1 << 14
-    for low in range(0, count, step):
-        grams = [hashed(b" ".join(words[i : i + shingle]), seed) for i in range(low, min(count, low + step))]
+    """Of UTF-8 bytes; unsigned. Words are hashed block by block, so a long text needs little memory."""
+    hashed, votes, count, held = xxhash.xxh64_intdigest, np.zeros(64, np.int64), 0, []
+
+    def vote(grams: list[int]) -> None:
         octets = np.array(grams, np.uint64).view(np.uint8).reshape(-1, 8)
-        votes += np.unpackbits(octets, axis=1, bitorder="little").sum(0, dtype=np.int64)
-    return int(np.packbits(2 * votes > count, bitorder="little").view(np.uint64)[0])
+        votes[:] += np.unpackbits(octets, axis=1, bitorder="little").sum(0, dtype=np.int64)
+
+    for block in word_blocks(text.lower()):
+        words = held + block
+        for low in range(0, len(words) - shingle + 1, 1 << 14):
+            grams = [hashed(b" ".join(words[i : i + shingle]), seed) for i in range(low, min(len(words) - shingle + 1, low + (1 << 14)))]
+            vote(grams)
+            count += len(grams)
+        held = words[-(shingle - 1) :] if shingle > 1 else []
+    if not count and held:
+        vote([hashed(b" ".join(held), seed)])
+        count = 1
+    return int(np.packbits(2 * votes > count, bitorder="little").view(np.uint64)[0]) if count else 0
 
 
 def fingerprints(documents: DataFrame, shingle: int = SHINGLE, seed: int = SEED) -> DataFrame:

@@ -29,6 +29,12 @@ def test_pieces_equal_the_library(tables):
         assert tables.decode(np.frombuffer(ids, "<u4")) == text.encode()
 
 
+def test_long_text_in_parts(tables, monkeypatch):
+    text = "".join(ODD) * 3
+    monkeypatch.setattr(bpe, "LONG_TEXT", 64)
+    assert np.frombuffer(bpe.Encoder(tables).encode([text])[0], "<u4").tolist() == REFERENCE.encode_ordinary(text)
+
+
 def test_long_pieces_equal_the_matrix(tables):
     r = random.Random(2)
     for n in (1, 2, 3, 60, 128):

@@ -15,6 +15,18 @@ def plain(text):
     return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
 
 
+def test_long_text_in_blocks():
+    text = " ".join(f"w{i % 977}\t" for i in range(3000))
+    blocks = list(simhash.word_blocks(text.encode(), 50))
+    assert len(blocks) > 50 and [w for b in blocks for w in b] == text.encode().split()
+    whole = simhash.fingerprint(text.encode())
+    before, simhash.word_blocks.__defaults__ = simhash.word_blocks.__defaults__, (50,)
+    try:
+        assert simhash.fingerprint(text.encode()) == whole == plain(text)
+    finally:
+        simhash.word_blocks.__defaults__ = before
+
+
 @pytest.mark.parametrize("bucket_rows", [4096, 3])
 def test_equals_brute_force(spark, bucket_rows):
     rows = brute.documents()
