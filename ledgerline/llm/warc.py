@@ -28,6 +28,7 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -170,9 +171,10 @@ META = "record_id string, kind string, uri string, ip string, date string, mime
 
 
 def arc_records(volumes: DataFrame, payload: bool) -> DataFrame:
-    """One row per record, with what WARC needs; with its payload if asked for."""
+    """One row per record, with what WARC needs; with its payload, compressed for the way through a shuffle, if asked for."""
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pack = zstandard.ZstdCompressor(level=1).compress if payload else None
         for batch in batches:
             for name, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 rows = []
@@ -180,7 +182,7 @@ def arc_records(volumes: DataFrame, payload: bool) -> DataFrame:
                     row = {"record_id": identifier(name, r["offset"]), "problem": r["problem"]}
                     if not r["problem"]:
                         head, body = split_block(r["block"])
-                        row |= {"kind": record_type(r["uri"], r["block"]), "uri": r["uri"], "ip": r["ip"], "date": timestamp(r["date"]), "mime": r["mime"], "head": head, "page_id": page_number(head), "payload_bytes": len(body), "payload_digest": digest(body), "block_digest": digest(r["block"]), "payload": body}
+                        row |= {"kind": record_type(r["uri"], r["block"]), "uri": r["uri"], "ip": r["ip"], "date": timestamp(r["date"]), "mime": r["mime"], "head": head, "page_id": page_number(head), "payload_bytes": len(body), "payload_digest": digest(body), "block_digest": digest(r["block"]), "payload": pack(body) if pack else None}
                     rows.append(row)
                 yield pa.RecordBatch.from_arrays([pa.array([r.get(f.name) for r in rows], f.type) for f in shape], schema=shape)
 
@@ -221,9 +223,10 @@ def convert(volumes: DataFrame) -> tuple[DataFrame, DataFrame]:
     again = told.where("refers_to is not null").withColumn("payload", F.lit(None).cast("binary"))
 
     def formatted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for low in range(0, batch.num_rows, 256):
-                yield pa.RecordBatch.from_arrays([pa.array([warc_record(r) for r in batch.slice(low, 256).to_pylist()], pa.binary())], ["value"])
+        unpack = zstandard.ZstdDecompressor().decompress
+        for batch in small_batches(batches, 256):
+            rows = [r | {"payload": unpack(r["payload"]) if r["payload"] is not None else None} for r in batch.to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array([warc_record(r) for r in rows], pa.binary())], ["value"])
 
     columns = ["record_id", "kind", "uri", "ip", "date", "mime", "head", "payload_digest", "refers_to", "refers_uri", "refers_date", "payload"]
     records = first.select(columns).unionByName(again.select(columns)).mapInArrow(formatted, "value binary")
