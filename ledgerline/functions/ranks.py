@@ -6,11 +6,19 @@ are taken within buckets, and a window over the buckets' totals, which are few,
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-BUCKETS = 128
+#: Buckets of a feature at most, and values that a bucket should have at least.
+BUCKETS, BUCKET_VALUES = 128, 20_000
+
+
+def cut_marks(value: Column) -> Column:
+    """An aggregate: values that cut the range into buckets, the fewer the fewer rows there are."""
+    marks = F.array_distinct(F.percentile_approx(value, [k / BUCKETS for k in range(1, BUCKETS)], 10_000))
+    step = F.greatest(F.lit(1), F.ceil(F.lit(BUCKETS * BUCKET_VALUES) / F.count(value)))
+    return F.filter(marks, lambda _, k: F.pmod(k + 1, step) == 0)
 
 
 def values_at_ranks(counts: DataFrame, ranks: dict[str, list[int]]) -> dict[str, dict[int, object]]:
@@ -20,7 +28,7 @@ def values_at_ranks(counts: DataFrame, ranks: dict[str, list[int]]) -> dict[str,
     if not wanted:
         return {}
     number = F.col("value").cast("double")
-    marks = counts.groupBy("feature").agg(F.array_distinct(F.percentile_approx(number, [k / BUCKETS for k in range(1, BUCKETS)], 10_000)).alias("marks"))
+    marks = counts.groupBy("feature").agg(cut_marks(number).alias("marks"))
     asked = spark.createDataFrame(list(wanted.items()), "feature string, ranks array<long>")  # a row per feature
     dealt = counts.join(F.broadcast(marks.join(asked, "feature")), "feature").withColumn("bucket", F.size(F.filter("marks", lambda m: m < number)))
     totals = dealt.groupBy("feature", "bucket").agg(F.sum("n").alias("total"))

@@ -3,7 +3,7 @@ import json
 import numpy as np
 import pytest
 
-from ledgerline.functions import scores
+from ledgerline.functions import ranks, scores
 from ledgerline.operators import default_model as dm
 
 SCHEMA = "SK_ID_CURR long, signal double, noise double, segment string, TARGET int"
@@ -62,7 +62,9 @@ def test_known_discrimination(spark):
     assert measured(spark, [1, 1], [0.1, 0.2]).auc is None
 
 
-def test_against_brute_force(spark):
+@pytest.mark.parametrize("bucket_values", [1, 20_000])
+def test_against_brute_force(spark, monkeypatch, bucket_values):
+    monkeypatch.setattr(ranks, "BUCKET_VALUES", bucket_values)
     r = np.random.default_rng(1)
     y, s = r.integers(0, 2, 500), np.round(r.random(500), 2)
     auc = np.mean([1.0 if a > b else 0.5 if a == b else 0.0 for a in s[y == 1] for b in s[y == 0]])
@@ -71,7 +73,9 @@ def test_against_brute_force(spark):
     assert out.auc == pytest.approx(auc, abs=1e-12) and out.ks == pytest.approx(ks, abs=1e-12)
 
 
-def test_calibration_groups(spark):
+@pytest.mark.parametrize("bucket_values", [1, 20_000])
+def test_calibration_groups(spark, monkeypatch, bucket_values):
+    monkeypatch.setattr(ranks, "BUCKET_VALUES", bucket_values)
     r = np.random.default_rng(2)
     s = np.round(r.random(1003), 3)
     df = spark.createDataFrame([(i, float(x), int(i % 3 == 0)) for i, x in enumerate(s)], "SK_ID_CURR long, score double, TARGET int")
