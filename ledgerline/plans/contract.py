@@ -413,14 +413,15 @@ def csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
 def _model(spark: SparkSession, sf: str) -> tuple[str, dict]:
     path = _scratch(spark, "model")
     record = mar_full(spark, sf)
-    metrics = default_model.train_model(spark, record, path, path, trees=5, importances=False)
+    metrics = default_model.train_model(spark, record, path, path, importances=False)
     return path, metrics
 
 
 @query()
 def score_population(spark: SparkSession, sf: str) -> DataFrame:
+    """Every applicant, without the target, by a model of the default number of trees."""
     path, _ = _model(spark, sf)
-    return default_model.score_frame(mar_scoring_population(spark, sf), path)
+    return default_model.score_frame(mar_full(spark, sf).drop("TARGET"), path)
 
 
 @query()
