@@ -6,8 +6,8 @@ over all its tokens of the log-probability of each, given both sides.
 
 Tokens are words between ASCII white space, A-Z lowered, hashed to ``CLASSES`` squared buckets. Buckets
 are numbered by how often they occur in the whole corpus, so classes hold tokens of like frequency.
-Every document takes part in the fit: each round masks another set of places, one in ``MASKED`` of all
-tokens. In a round, every task trains its own copy by minibatches on its documents, and the copies'
+Every token of every document takes part in the fit: each round masks another set of places, one in
+``MASKED`` of all tokens, and there are as many rounds, so each place is a target once. In a round, every task trains its own copy by minibatches on its documents, and the copies'
 mean, weighted by what each has seen, starts the next round. The mean is formed by chunks of the
 weights in a shuffle, so the driver gets one model however many tasks there were.
 
@@ -31,8 +31,9 @@ BUCKETS = CLASSES * CLASSES
 SIDE = 2
 EMBEDDING = 8
 HIDDEN = 16
-MASKED = 16
+#: One place in MASKED is a target in a round; as many rounds take every place.
 ROUNDS = 2
+MASKED = ROUNDS
 BATCH = 2048
 RATE = 0.15
 _SHAPES = {"embed": (BUCKETS + 1, EMBEDDING), "w1": (2 * SIDE * EMBEDDING, HIDDEN), "b1": (HIDDEN,), "wc": (HIDDEN, CLASSES), "bc": (CLASSES,), "ww": (CLASSES, HIDDEN, CLASSES), "bw": (CLASSES, CLASSES)}

@@ -1,6 +1,7 @@
 import math
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from ledgerline.llm import pseudo_likelihood as pl
@@ -80,3 +81,19 @@ def test_awkward_inputs(spark):
     out = pl.pseudo_likelihood(frame).collect()
     assert len(out) == 19 and all((r.mean_log_probability is None) == (r.n_tokens == 0) for r in out)
     assert pl.pseudo_likelihood(frame.limit(0)).count() == 0
+
+
+def test_every_place_is_a_target(spark, monkeypatch):
+    """Each token is a target once over the default rounds, those of the shortest texts too."""
+    lengths = [1, 1, 2, 3, 5, 7, 40, 101]
+    made = [np.arange(n) + 300 * k for k, n in enumerate(lengths)]  # no token twice
+    met = []
+    monkeypatch.setattr(pl.Network, "learn", lambda self, context, token, squares, rate: met.extend(token.tolist()))
+
+    class Held:
+        value = (pl.Network.start(np.ones(pl.BUCKETS)).packed(), np.arange(pl.BUCKETS))
+
+    batch = pa.RecordBatch.from_arrays([pa.array([x.astype("<u2").tobytes() for x in made])], ["tokens"])
+    for k in range(pl.ROUNDS):
+        list(pl._round(Held, k, pl.ROUNDS, pl.MASKED, 16, 0.1)([batch]))
+    assert sorted(met) == np.concatenate(made).tolist()
