@@ -11,7 +11,8 @@ is exact within components, and only counts and a spanning forest leave a task.
 compared with all vectors; while less than ``recall`` of their links are found, more cells and rounds follow.
 
 Cosines are formed in double precision from the values as stored. Copies are one node with a count, so
-they need no pairs. Centres with many neighbours are dealt in parts; blocks have a bounded size.
+they need no pairs. Crowded cells are compared in pairs of parts; centres with many neighbours are dealt
+in parts, anew each round; blocks have a bounded size.
 
 Defined results: vectors that are null, empty or zero, or hold null or non-finite components, and rows
 without a label, link with nothing (component_id is their own vec_id); vectors of unlike length do not
@@ -126,14 +127,14 @@ def _spanning(ids: np.ndarray, a: np.ndarray, b: np.ndarray, similar: np.ndarray
     return np.rec.fromarrays([np.r_[ids[a], ids[b]], np.r_[ids[b], ids[a]], np.r_[s, s]], names="a,b,s")
 
 
-def _compare(k: int, limit: int, kind: str, threshold: float):
-    """Rows sorted by group (group, node, floor, vector): at most ``limit`` of a group are compared at a time."""
+def _compare(k: int, limit: int | None, kind: str, threshold: float):
+    """Rows sorted by group (group, node, floor, vector): all of a group, or at most ``limit`` of it, are compared at a time."""
 
     def groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list, list]]:
         now, ids, floors, rows = None, [], [], []
         for batch in batches:
             for group, node, floor, row in zip(*(batch.column(c).to_pylist() for c in range(4)), strict=True):
-                if group != now or len(ids) >= limit:
+                if group != now or limit and len(ids) >= limit:
                     if len(ids) > 1:
                         yield ids, floors, rows
                     now, ids, floors, rows = group, [], [], []
@@ -175,17 +176,21 @@ def _cells(tables: range, kind: str):
 
 
 def _together(rows: DataFrame) -> DataFrame:
-    """Sorted by group, and by a hash within, so that what is compared at a time is a fair part of a large group."""
-    return rows.repartition("group").withColumn("turn", F.xxhash64("node")).sortWithinPartitions("group", "turn").select("group", "node", "floor", "vector")
+    """Sorted by group, and by a hash within that differs from group to group, so that what is compared at a time is a fair part of a large group."""
+    return rows.repartition("group").withColumn("turn", F.xxhash64("node", "group")).sortWithinPartitions("group", "turn").select("group", "node", "floor", "vector")
 
 
 def cells(vectors: DataFrame, tables: range, k: int, kind: str, threshold: float) -> DataFrame:
-    """Pairs from cells of about ``CELL`` nodes; a larger cell is dealt at random in parts of ten times as many."""
+    """Pairs from cells of about ``CELL`` nodes. A crowded cell is cut into parts, and each two of them meet, so all its pairs are compared."""
     sizes = vectors.groupBy("space").agg(F.greatest(F.lit(0), F.ceil(F.log2(F.count("*") / CELL))).cast("int").alias("bits"))
     dealt = vectors.join(sizes, "space").select("space", "bits", "node", "vector").mapInArrow(_cells(tables, kind), "group long, node long, floor double, vector binary")
     counted = dealt.groupBy("group").agg(F.ceil(F.count("*") / (10 * CELL)).cast("int").alias("parts"))
-    lots = dealt.join(counted, "group").withColumn("group", F.when(F.col("parts") > 1, F.xxhash64("group", F.pmod(F.xxhash64("node"), F.col("parts")))).otherwise(F.col("group")))
-    return _together(lots).mapInArrow(_compare(k, 10 * CELL, kind, threshold), EDGE)
+    lots = dealt.join(counted, "group")
+    crowded = lots.where("parts > 1").withColumn("own", F.pmod(F.xxhash64("node", "group"), F.col("parts")).cast("int"))
+    met = crowded.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).where("own <> other")
+    pairs = met.select(F.xxhash64("group", F.least("own", "other"), F.greatest("own", "other")).alias("group"), "node", "floor", "vector")
+    # two parts by hash have about 20 * CELL nodes, so none needs a limit
+    return _together(lots.where("parts = 1").select("group", "node", "floor", "vector").unionByName(pairs)).mapInArrow(_compare(k, None, kind, threshold), EDGE)
 
 
 def _best(k: int, threshold: float):
@@ -217,14 +222,14 @@ def merged(pairs: DataFrame, k: int, threshold: float) -> DataFrame:
     return written(pairs.repartition("a").sortWithinPartitions("a", "b").mapInArrow(_best(k, threshold), f"kind int, {EDGE}"), "graph")
 
 
-def refined(vectors: DataFrame, graph: DataFrame, k: int, kind: str, threshold: float) -> DataFrame:
-    """One round: around each node, its neighbours (of either direction) meet."""
+def refined(vectors: DataFrame, graph: DataFrame, k: int, kind: str, threshold: float, turn: int = 0) -> DataFrame:
+    """One round: around each node, its neighbours (of either direction) meet; each ``turn`` deals those around a hub anew."""
     lists = graph.where("kind = 0")
     around = lists.select(F.col("a").alias("centre"), F.col("b").alias("node")).unionByName(lists.select(F.col("b").alias("centre"), F.col("a").alias("node"))).distinct()
     parts = around.groupBy("centre").agg(F.ceil(F.count("*") / CENTRE).cast("int").alias("parts"))
     floors = lists.groupBy("a").agg(F.min("s").alias("floor"), F.count("*").alias("n"))
     known = vectors.join(floors.select(F.col("a").alias("node"), F.when(F.col("n") < k, -1.5).otherwise(F.col("floor")).alias("floor")), "node").select("node", "floor", "vector")
-    dealt = around.join(parts, "centre").select(F.when(F.col("parts") > 1, F.xxhash64("centre", F.pmod(F.xxhash64("node"), F.col("parts")))).otherwise(F.col("centre")).alias("group"), "node").join(known, "node")
+    dealt = around.join(parts, "centre").select(F.when(F.col("parts") > 1, F.xxhash64("centre", F.pmod(F.xxhash64("node", "centre", F.lit(turn)), F.col("parts")))).otherwise(F.col("centre")).alias("group"), "node").join(known, "node")
     found = _together(dealt).mapInArrow(_compare(k, 2 * CENTRE, kind, threshold), EDGE)
     links = graph.where("kind = 1").select("a", "b", "s")
     both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"), "s"))
@@ -318,8 +323,8 @@ def near_duplicates(embeddings: DataFrame, threshold: float = THRESHOLD, neighbo
             pairs = pairs.unionByName(links).unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"), "s"))
         done += tables
         graph = merged(pairs, neighbours, threshold)
-        for _ in range(rounds):
-            graph = refined(vectors, graph, neighbours, kind, threshold)
+        for turn in range(rounds):
+            graph = refined(vectors, graph, neighbours, kind, threshold, attempt * rounds + turn)
             release(spark)
         reached = written(components(graph.where("kind = 1").select(F.col("a").alias("src"), F.col("b").alias("dst"))), "reached")
         counts = written(link_counts(vectors, reached, kind, threshold), "counts")

@@ -61,3 +61,16 @@ def test_null_ids_and_empty(spark):
     out = sorted(((r.vec_id, r.n_links, r.component_id, r.kept) for r in nn.near_duplicates(frame).collect()), key=str)
     assert out == [(5, 2, 5, True), (5, 2, 5, True), (None, 0, None, True), (None, 2, 5, True)]
     assert nn.near_duplicates(frame.limit(0)).count() == 0
+
+
+def test_tight_group_beyond_one_cell(spark):
+    """A group of 1000 distinct, nearly equal vectors is one component by the first cells alone."""
+    r = np.random.default_rng(5)
+    centre = r.standard_normal(64)
+    made = [*r.standard_normal((1000, 64)), *(centre + 1e-4 * r.standard_normal((1000, 64)))]
+    frame = spark.createDataFrame([(i, v.tolist(), 1, "", "") for i, v in enumerate(made)], SCHEMA)
+    vectors, _, kind = nn.nodes(frame)
+    found = nn.cells(vectors, range(nn.TABLES), nn.NEIGHBOURS, kind, 0.93).where("s >= 0.93").select("a", "b").collect()
+    least = {r.node: r.least for r in vectors.select("node", "least").collect()}
+    root = brute.roots(2000, [(least[x.a], least[x.b]) for x in found])
+    assert len({root[k] for k in range(1000, 2000)}) == 1
