@@ -9,6 +9,8 @@ Where a list is saturated (it is full of links), it is enlarged to all nodes tha
 one linked component are compared in pairs of blocks, which adds the links that no list had room for. That
 is exact within components, and only counts and a spanning forest leave a task. A sample of nodes is then
 compared with all vectors; while less than ``recall`` of their links are found, more cells and rounds follow.
+The sample grows until it holds ``LINKED`` linked nodes; where even ``AUDITED_MOST`` nodes hold fewer, rounds
+follow until none adds a link. Sets of cells grow with the cells' hyperplanes. A recall that stays low raises.
 
 Cosines are formed in double precision from the values as stored. Copies are one node with a count, so
 they need no pairs. Crowded cells are compared in pairs of parts; centres with many neighbours are dealt
@@ -22,6 +24,8 @@ component's id only if it has no other; an empty table returns none; other colum
 
 from __future__ import annotations
 
+import logging
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,7 +33,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .support import Forest, components, release, written
+from .support import Forest, components, release, small_batches, written
+
+logger = logging.getLogger(__name__)
 
 THRESHOLD = 0.93
 #: Neighbours in a list; cells of how many nodes the first graph comes from, and how many sets of cells.
@@ -38,6 +44,8 @@ NEIGHBOURS, CELL, TABLES, ROUNDS = 8, 48, 6, 2
 BLOCK, CENTRE = 1024, 64
 #: Nodes compared with all vectors to measure recall (with their vectors, they are broadcast), and what must be found.
 AUDITED, RECALL = 256, 0.98
+#: Linked nodes that a sample should hold, for which it grows up to so many nodes.
+LINKED, AUDITED_MOST = 64, 1 << 16
 #: Times that more cells and rounds may follow an audit.
 RETRIES = 4
 
@@ -286,36 +294,68 @@ def link_counts(vectors: DataFrame, reached: DataFrame, kind: str, threshold: fl
     return counts.groupBy("node").agg(F.sum("n").alias("n"))
 
 
-def measured_recall(vectors: DataFrame, counts: DataFrame, kind: str, threshold: float, audited: int = AUDITED) -> float:
-    """Of each sampled node's links, found by comparing it with all vectors, the part that ``counts`` (node, n) has; the mean over nodes, so that large groups do not hide small ones."""
+def tables_for(bits: int, threshold: float, missed: float = 0.02) -> int:
+    """Sets of cells of so many hyperplanes after which a pair at the threshold has met but for a chance of ``missed``."""
+    meets = (1 - math.acos(max(-1.0, min(1.0, threshold))) / math.pi) ** bits
+    return 1 if meets >= 1 else math.ceil(math.log(missed) / math.log1p(-meets))
+
+
+def _audit(vectors: DataFrame, counts: DataFrame, kind: str, threshold: float, audited: int) -> tuple[float | None, int, int]:
+    """The mean part of their links that ``counts`` has for the linked nodes in a sample, how many those are, and the sample's size."""
     sample = vectors.orderBy(F.xxhash64("node")).limit(audited).select("node", "space", "vector").toArrow()
     if not sample.num_rows:
-        return 1.0
+        return None, 0, 0
     held = vectors.sparkSession.sparkContext.broadcast((sample["node"].to_numpy(), sample["space"].to_numpy(), sample["vector"].to_pylist()))
 
     def audit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, spaces, rows = held.value
+        places = {s: np.flatnonzero(spaces == s) for s in np.unique(spaces)}
+        ready = {s: unit([rows[k] for k in at], kind) for s, at in places.items()}
         total = np.zeros(len(ids), np.int64)
-        for batch in batches:
+        for batch in small_batches(batches, 2048):
             node, space, size, mine = batch.column(0).to_numpy(), batch.column(1).to_numpy(), batch.column(2).to_numpy(), batch.column(3).to_pylist()
             for s in np.intersect1d(spaces, space):
-                one, two = np.flatnonzero(spaces == s), np.flatnonzero(space == s)
-                hit = unit([rows[k] for k in one], kind) @ unit([mine[k] for k in two], kind).T >= threshold
-                hit &= ids[one][:, None] != node[two][None, :]
-                total[one] += hit @ size[two]
-        yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(total)], ["node", "n"])
+                two = np.flatnonzero(space == s)
+                other = unit([mine[k] for k in two], kind).T
+                for low in range(0, len(places[s]), 2048):
+                    one = places[s][low : low + 2048]
+                    hit = ready[s][low : low + 2048] @ other >= threshold
+                    hit &= ids[one][:, None] != node[two][None, :]
+                    total[one] += hit @ size[two]
+        some = total > 0
+        yield pa.RecordBatch.from_arrays([pa.array(ids[some]), pa.array(total[some])], ["node", "n"])
 
     true = vectors.select("node", "space", "size", "vector").mapInArrow(audit, "node long, n long").groupBy("node").agg(F.sum("n").alias("all_links"))
     part = F.coalesce("n", F.lit(0)).cast("double") / F.col("all_links")
-    mean = true.where("all_links > 0").join(counts, "node", "left").agg(F.avg(part)).first()[0]
+    mean, linked = true.join(counts, "node", "left").agg(F.avg(part), F.count("*")).first()
+    held.unpersist()
+    return mean, linked, sample.num_rows
+
+
+def audit(vectors: DataFrame, counts: DataFrame, kind: str, threshold: float, audited: int = AUDITED, most: int = AUDITED_MOST) -> tuple[float | None, bool]:
+    """Recall (None: no linked node was met), and whether it rests on ``LINKED`` linked nodes or on the whole table; the sample grows until then."""
+    while True:
+        mean, linked, taken = _audit(vectors, counts, kind, threshold, audited)
+        if linked >= LINKED or taken < audited:
+            return mean, True
+        if audited >= most:
+            return mean, False
+        audited = min(most, 4 * audited)
+
+
+def measured_recall(vectors: DataFrame, counts: DataFrame, kind: str, threshold: float, audited: int = AUDITED) -> float:
+    """Of each sampled node's links, found by comparing it with all vectors, the part that ``counts`` (node, n) has; the mean over nodes, so that large groups do not hide small ones."""
+    mean, _ = audit(vectors, counts, kind, threshold, audited)
     return 1.0 if mean is None else mean
 
 
 def near_duplicates(embeddings: DataFrame, threshold: float = THRESHOLD, neighbours: int = NEIGHBOURS, tables: int = TABLES, rounds: int = ROUNDS, recall: float = RECALL) -> DataFrame:
-    """One row per row: vec_id, n_links, component_id, kept."""
+    """One row per row: vec_id, n_links, component_id, kept. Raises if the recall measured stays below ``recall``."""
     spark = embeddings.sparkSession
     vectors, rows, kind = nodes(embeddings)
-    graph, done = None, 0
+    largest = vectors.groupBy("space").count().agg(F.max("count")).first()[0] or 0
+    tables = max(tables, tables_for(max(0, math.ceil(math.log2(max(1, largest) / CELL))), threshold))
+    graph, done, before = None, 0, None
     for attempt in range(RETRIES + 1):
         pairs = cells(vectors, range(done, done + tables), neighbours, kind, threshold)
         if graph is not None:
@@ -328,8 +368,16 @@ def near_duplicates(embeddings: DataFrame, threshold: float = THRESHOLD, neighbo
             release(spark)
         reached = written(components(graph.where("kind = 1").select(F.col("a").alias("src"), F.col("b").alias("dst"))), "reached")
         counts = written(link_counts(vectors, reached, kind, threshold), "counts")
-        if attempt == RETRIES or measured_recall(vectors, counts, kind, threshold) >= recall:
+        total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+        found, sure = audit(vectors, counts, kind, threshold)
+        enough = found is None or found >= recall
+        if enough and (sure or total == before):  # where links are too rare to be measured, until no new one appears
             break
+        if attempt == RETRIES:
+            if not enough:
+                raise RuntimeError(f"op10: recall {found:.4f} after {done} sets of cells, below {recall}")
+            logger.warning("links were too few to measure recall (%s), and new ones still appeared after %d sets of cells", found, done)
+        before = total
         tables *= 2
     joined = vectors.select("node", "size", "least").join(reached, "node", "left").withColumn("component", F.coalesce("component", "node"))
     heads = joined.groupBy("component").agg(F.min("least").alias("head"))

@@ -74,3 +74,27 @@ def test_tight_group_beyond_one_cell(spark):
     least = {r.node: r.least for r in vectors.select("node", "least").collect()}
     root = brute.roots(2000, [(least[x.a], least[x.b]) for x in found])
     assert len({root[k] for k in range(1000, 2000)}) == 1
+
+
+def test_audit_meets_rare_links(spark):
+    """Two linked nodes of 1500, the last in the order of the sample, are not taken for full recall."""
+    order = [r.node for r in spark.range(1500).withColumnRenamed("id", "node").orderBy(nn.F.xxhash64("node")).collect()]
+    made = np.random.default_rng(3).standard_normal((1500, 64)).astype("<f4")
+    made[order[-1]] = made[order[-2]] * 1.5
+    rows = [(k, 1, 1, k, bytearray(v.tobytes())) for k, v in enumerate(made)]
+    vectors = spark.createDataFrame(rows, "node long, space long, size long, least long, vector binary")
+    empty = spark.createDataFrame([], "node long, n long")
+    assert nn.measured_recall(vectors, empty, "<f4", 0.93) == 0.0
+
+
+def test_low_recall_raises(spark, monkeypatch):
+    monkeypatch.setattr(nn, "RETRIES", 0)
+    monkeypatch.setattr(nn, "audit", lambda *a: (0.5, True), raising=False)
+    monkeypatch.setattr(nn, "measured_recall", lambda *a: 0.5)
+    frame = spark.createDataFrame([(k, [1.0, k / 10], 1, "", "") for k in range(4)], SCHEMA)
+    with pytest.raises(RuntimeError, match="recall 0.5"):
+        nn.near_duplicates(frame)
+
+
+def test_sets_of_cells_grow_with_their_hyperplanes():
+    assert nn.tables_for(0, 0.93) == 1 and nn.tables_for(15, 0.93) >= 24
