@@ -7,7 +7,7 @@ import logging
 import os
 import posixpath
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from .logs import get_logger
 from .operators import contracts, default_model, diagnose, master_record, migration, stability
@@ -88,7 +88,8 @@ def parser() -> argparse.ArgumentParser:
     return out
 
 
-def _print_findings(findings) -> None:
+def _print_findings(report: DataFrame) -> None:
+    findings = report.collect()  # a row for each column that differs
     for f in findings:
         print(f"[{f.severity}] {f.kind} {f.column}: {f.baseline} -> {f.observed}")
     print(f"{len(findings)} difference(s)")
@@ -102,7 +103,7 @@ def draft_schema(spark: SparkSession, data: str, folder: str, table: str, key: l
     path = registry.write_version(contracts.infer_contract(table, read_table(spark, posixpath.join(data, "processed"), table), key), bump)
     print(path)
     if bump:
-        _print_findings(contracts.compare_versions(table, folder=folder))
+        _print_findings(contracts.compare_versions(spark, table, folder=folder))
 
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None, narrator=None) -> None:
@@ -110,13 +111,13 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None, narra
     args = cli.parse_args(argv)
     if args.command in ("schema-diff", "draft-schema") and not args.table:
         cli.error(f"{args.command} requires --table")
+    spark = spark or get_session()
     if args.command == "schema-diff":
         try:
-            _print_findings(contracts.compare_versions(args.table, args.from_version, args.to_version, args.schemas))
+            _print_findings(contracts.compare_versions(spark, args.table, args.from_version, args.to_version, args.schemas))
         except (ValueError, FileNotFoundError) as why:
             cli.error(str(why))
         return
-    spark = spark or get_session()
     if args.command == "draft-schema":
         draft_schema(spark, args.data_dir, args.schemas or posixpath.join(args.data_dir, "schemas"), args.table, args.key, args.bump)
         return

@@ -25,6 +25,8 @@ from ..sources.tables import read_table, read_text, write_table, write_text
 logger = logging.getLogger(__name__)
 
 ID, TARGET, SEED = "SK_ID_CURR", "TARGET", 42
+#: Parts of a class that are ordered on their own in the split.
+SPLIT_BUCKETS = 4096
 MODEL, METRICS = "pd_model", "model_metrics.json"
 DEVELOPMENT_SCORES, TEST_SCORES = "model_scores_development", "model_scores_test"
 
@@ -39,10 +41,15 @@ def _shuffled(seed: int):
 
 def stratified_split(df: DataFrame, fraction: float = 0.2, seed: int = SEED) -> tuple[DataFrame, DataFrame]:
     """(rest, hold-out): of each class, the rounded share with the least hashes of the id, so row order does not matter."""
-    order = Window.partitionBy(TARGET).orderBy(_shuffled(seed), ID)
-    sizes = df.groupBy(TARGET).agg(F.round(F.count("*") * fraction).cast("long").alias("__take"))
-    ranked = df.withColumn("__rank", F.row_number().over(order)).join(F.broadcast(sizes), TARGET)  # a row per class
-    held = F.col("__rank") <= F.col("__take")
+    marked = df.withColumn("__turn", _shuffled(seed))
+    # hashes are even, so ranges of them are buckets of like size; a window runs within a bucket, never over a class
+    marked = marked.withColumn("__bucket", F.pmod(F.shiftright("__turn", 48), F.lit(SPLIT_BUCKETS)))
+    counted = marked.groupBy(TARGET, "__bucket").agg(F.count("*").alias("__n"))
+    up = Window.partitionBy(TARGET).orderBy("__bucket")  # over the buckets
+    starts = counted.select(TARGET, "__bucket", (F.sum("__n").over(up) - F.col("__n")).alias("__before"), F.round(F.sum("__n").over(Window.partitionBy(TARGET)) * fraction).cast("long").alias("__take"))
+    within = Window.partitionBy(TARGET, "__bucket").orderBy("__turn", ID)
+    ranked = marked.withColumn("__rank", F.row_number().over(within)).join(F.broadcast(starts), [TARGET, "__bucket"])  # a row per class and bucket
+    held = F.col("__before") + F.col("__rank") <= F.col("__take")
     return ranked.where(~held).select(df.columns), ranked.where(held).select(df.columns)
 
 
@@ -59,6 +66,11 @@ def _prepared(df: DataFrame, features: list[str], strings: set[str]) -> DataFram
     return df.select(*out)
 
 
+def encoder(texts: list[str]) -> StringIndexer:
+    """Codes by falling frequency (ties: the smaller string); a value not seen in the fit gets a code of its own."""
+    return StringIndexer(inputCols=texts, outputCols=[f"{c}__index" for c in texts], handleInvalid="keep")
+
+
 def build_pipeline(train: DataFrame, features: list[str], strings: set[str], seed: int, trees: int) -> Pipeline:
     """Strings become ordinals (unseen ones a value of their own), missing numbers the median beside their flag."""
     numbers, texts = [c for c in features if c not in strings], [c for c in features if c in strings]
@@ -67,7 +79,7 @@ def build_pipeline(train: DataFrame, features: list[str], strings: set[str], see
     stages: list[Any] = []
     most = 0
     if texts:
-        stages.append(StringIndexer(inputCols=texts, outputCols=[f"{c}__index" for c in texts], handleInvalid="keep"))
+        stages.append(encoder(texts))
         row = train.agg(*(F.approx_count_distinct(f"`{c}`").alias(c) for c in texts)).first()
         most = max(row) * 12 // 10
     if usable:
@@ -147,7 +159,7 @@ def score_frame(df: DataFrame, models: str) -> DataFrame:
     """SK_ID_CURR, score. Raises ValueError if the model's features are missing; other columns are ignored."""
     kept = json.loads(read_text(df.sparkSession, posixpath.join(models, MODEL + ".json")))
     if missing := [c for c in kept["features"] if c not in df.columns]:
-        raise ValueError(f"Cannot score: {len(missing)} feature columns missing, e.g. {missing[:5]}")
+        raise ValueError(f"the model was fitted on columns that are not there: {', '.join(missing)}")
     model = PipelineModel.load(posixpath.join(models, MODEL))
     return _scores(model, _prepared(df.drop(TARGET), kept["features"], set(kept["strings"])))
 

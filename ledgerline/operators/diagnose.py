@@ -1,16 +1,19 @@
 """A verdict on the portfolio from the reports of the other operators.
 
-Reports are aggregated by Spark; only figures and the few rows that a brief names come to the driver,
-where plain rules turn them into a status, findings and recommendations.
+Every report is turned into facts of one shape: topic, scope (a source, a table, an analysis), item, measure,
+value, support (the cases behind it) and a note. A table of rules says which value of a measure is a breach,
+how grave it is, and what it calls for; rules may hold for one scope only. Facts and rules meet in one join,
+whatever the report. Only the breaches that a brief names, and counts, come to the driver.
 """
 
 from __future__ import annotations
 
+import functools
 import json
 import logging
 import posixpath
-from collections.abc import Callable
-from dataclasses import dataclass, field
+from collections.abc import Callable, Iterable
+from dataclasses import dataclass, field, replace
 from pathlib import Path
 from typing import Any
 
@@ -25,214 +28,267 @@ from .stability import MODERATE, SIGNIFICANT
 
 logger = logging.getLogger(__name__)
 
-#: Limits that hold unless the thresholds file sets others.
-ROLL_LIMITS = {"roll_in_max": 0.05, "forward_max": 0.15}
-MODEL_LIMITS = {"min_auc": 0.70, "min_ks": 0.30, "max_calibration_error": 0.10}
-VINTAGE_MOB, VINTAGE_ACCOUNTS, VINTAGE_TRAILING, VINTAGE_RATIO, VINTAGE_BAD = 12, 1000, 4, 1.25, 30
 LEVELS = {"ok": 0, "warning": 1, "critical": 2, "error": 2}
 DEFAULT_THRESHOLDS = Path(__file__).resolve().parent.parent / "conf" / "thresholds.yaml"
+FACTS = "topic string, scope string, item string, measure string, value double, support double, note string"
+
+
+@dataclass(frozen=True)
+class Rule:
+    """A value beyond ``limit`` is a breach (``side`` 1: above, -1: below; ``at``: at the limit too), given ``support`` cases. scope None: any scope without a rule of its own."""
+
+    measure: str
+    level: str
+    limit: float
+    advice: str
+    side: int = 1
+    at: bool = False
+    support: float = 0.0
+    scope: str | None = None
+
+
+#: Limits that hold unless a thresholds file sets others.
+VINTAGE_MOB, VINTAGE_ACCOUNTS, VINTAGE_TRAILING = 12, 1000, 4
+RULES = (
+    Rule("psi", "critical", SIGNIFICANT, "refit", at=True),
+    Rule("psi", "warning", MODERATE, "trace", at=True),
+    Rule("roll_in_max", "warning", 0.05, "grant"),
+    Rule("forward_max", "warning", 0.15, "collect"),
+    Rule("balance_roll_in_max", "warning", 0.05, "grant"),
+    Rule("balance_forward_max", "warning", 0.15, "collect"),
+    Rule("vintage_ratio", "warning", 1.25, "lend", support=30),
+    Rule("min_auc", "warning", 0.70, "separate", side=-1),
+    Rule("min_ks", "warning", 0.30, "separate", side=-1),
+    Rule("max_calibration_error", "warning", 0.10, "calibrate"),
+    Rule("contract_breaking", "critical", 0.0, "mend"),
+    Rule("contract_warning", "warning", 0.0, "revise"),
+)
+_FOLLOWS = {"balance_roll_in_max": "roll_in_max", "balance_forward_max": "forward_max"}
+
+ADVICE = {
+    "trace": "Trace the drifted features back to the tables they come from, and measure another cohort",
+    "refit": "List the models and scorecards that use a drifted feature; refit those that suffer",
+    "grant": "Look at whom credit is granted, and at the first months of accounts: too many fall behind",
+    "collect": "Start collections sooner: accounts that fall behind stay behind",
+    "lend": "Go through recent lending by rule, channel and kind of applicant: its accounts go bad sooner",
+    "separate": "Fit the default model anew: it tells defaulters from others too poorly",
+    "calibrate": "Calibrate the default model: its level is not what occurred",
+    "mend": "Mend the feed, or agree on a new contract version, before any metric is trusted",
+    "revise": "Look through the changed columns; where a change is meant, add a contract version",
+}
+#: How a fact reads, by topic.
+_READS = {
+    "stability": "{item}: PSI {value:.4f}{note}",
+    "contracts": "{item}: {note}",
+    "model": "{item} {value:.3f}",
+    "rolls": "{item}: {value:.1%}",
+    "vintages": "{note}",
+}
+
+
+def rules_of(path: str | Path | None = DEFAULT_THRESHOLDS) -> list[Rule]:
+    """The built-in rules under the limits of a file (roll_rates: default, and sources by name; model). A balance limit that is not set follows the limit by accounts."""
+    given = (yaml.safe_load(Path(path).read_text()) or {}) if path and Path(path).is_file() else {}
+    rolls = given.get("roll_rates", {})
+    layers: list[tuple[str | None, dict[str, float]]] = [(None, rolls.get("default", {}) | given.get("model", {}))]
+    layers += [(source, rolls.get("default", {}) | limits) for source, limits in rolls.get("sources", {}).items()]
+    out = []
+    for scope, limits in layers:
+        for rule in RULES:
+            key = rule.measure if rule.measure in limits else _FOLLOWS.get(rule.measure, rule.measure)
+            if scope is None or key in limits:
+                out.append(replace(rule, scope=scope, limit=float(limits.get(key, rule.limit))))
+    return out
 
 
-@dataclass
-class Verdict:
-    status: str = "ok"
-    findings: list[str] = field(default_factory=list)
-    recommendations: list[str] = field(default_factory=list)
-    narrative: str | None = None
-    breaches: list[dict[str, Any]] = field(default_factory=list)
+# ---------------------------------------------------------------------------------------------
+# Facts
 
-    def raise_to(self, status: str) -> None:
-        self.status = max(self.status, status, key=LEVELS.__getitem__)
 
-    def advise(self, text: str) -> None:
-        if text not in self.recommendations:
-            self.recommendations.append(text)
+def _facts(df: DataFrame, topic: str, **columns) -> DataFrame:
+    as_column = {k: v if not isinstance(v, str) else F.lit(v) for k, v in columns.items()}
+    kinds = [x.split() for x in FACTS.split(", ")]
+    return df.select(*(F.lit(topic).alias("topic") if c == "topic" else as_column.get(c, F.lit(None)).cast(kind).alias(c) for c, kind in kinds))
 
-    def add(self, other: Verdict, prefix: str = "") -> None:
-        self.raise_to(other.status)
-        self.findings += [prefix + x for x in other.findings]
-        for x in other.recommendations:
-            self.advise(x)
 
-    def to_markdown(self) -> str:
-        bullets = lambda lines: "\n".join(f"- {x}" for x in lines)
-        sections = [f"# Portfolio brief\n\nStatus: **{self.status.upper()}**"]
-        if self.narrative:
-            sections.append(f"## Summary\n\n{self.narrative}")
-        sections += [f"## Findings\n\n{bullets(self.findings)}", f"## Recommendations\n\n{bullets(self.recommendations)}"]
-        return "\n\n".join(sections) + "\n"
+def with_missing(df: DataFrame, **defaults) -> DataFrame:
+    """Reports of an older layout get the columns they lack."""
+    return df.withColumns({c: v for c, v in defaults.items() if c not in df.columns})
+
+
+def stability_facts(report: DataFrame) -> DataFrame:
+    """A fact per feature; those of analyses without alerts are ``psi_quiet``, which no rule judges. Identifiers and undefined features go."""
+    report = with_missing(report, analysis=F.lit("portfolio"), top_driver=F.lit(None).cast("string"), alerting=F.lit(True))
+    known = report.where(F.col("psi_score").isNotNull() & ~F.isnan("psi_score") & ~F.col("feature_name").startswith("SK_ID"))
+    note = F.concat(F.lit(", "), F.col("drift_status"), F.coalesce(F.concat(F.lit(", most of it in bin "), F.col("top_driver")), F.lit("")))
+    return _facts(known, "stability", scope=F.col("analysis"), item=F.col("feature_name"), measure=F.when(F.col("alerting"), "psi").otherwise("psi_quiet"), value=F.col("psi_score"), note=note)
 
 
-class Thresholds:
-    """Built-in limits, overridden by the file's defaults, overridden by a source's own."""
+def contract_facts(report: DataFrame) -> DataFrame:
+    place = F.concat_ws(".", "table", F.when(F.col("column") != "", F.col("column")))
+    note = F.concat(F.col("baseline"), F.lit(" -> "), F.col("observed"))
+    return _facts(report, "contracts", scope=F.col("table"), item=F.concat_ws(" ", "kind", place), measure=F.concat(F.lit("contract_"), F.col("severity")), value=F.lit(1.0), note=note)
 
-    def __init__(self, path: str | Path | None = DEFAULT_THRESHOLDS) -> None:
-        found = Path(path).is_file() if path else False
-        self.settings = (yaml.safe_load(Path(path).read_text()) or {}) if found else {}
 
-    def roll(self, source: str) -> dict[str, float]:
-        given = self.settings.get("roll_rates", {})
-        limits = ROLL_LIMITS | given.get("default", {}) | given.get("sources", {}).get(source, {})
-        return {f"balance_{k}": limits[k] for k in ROLL_LIMITS} | limits
+def model_facts(spark: SparkSession, metrics: dict[str, Any]) -> DataFrame:
+    rate = metrics["base_rate"]
+    gap = abs(metrics["mean_predicted"] / rate - 1) if rate else float("inf")
+    told = [("AUC", "min_auc", metrics["auc"]), ("KS", "min_ks", metrics["ks"]), ("Gini", "gini", metrics["gini"]), ("Distance from the observed level", "max_calibration_error", gap)]
+    return spark.createDataFrame([("model", "default model", item, measure, float(value), float(metrics["n_holdout"]), None) for item, measure, value in told], FACTS)
 
-    def model(self) -> dict[str, float]:
-        return MODEL_LIMITS | self.settings.get("model", {})
+
+#: Share of a bucket's accounts (or balance) that moves to certain buckets.
+_MOVES = {
+    "roll_in_max": ("current accounts that turn delinquent", "CURRENT", DELINQUENT),
+    "forward_max": ("1-30 days late that get later", DELINQUENT[0], DELINQUENT[1:]),
+    "cure": ("1-30 days late that cure", DELINQUENT[0], ("CURRENT",)),
+}
+
+
+def roll_summary(rates: DataFrame) -> DataFrame:
+    """Per source: roll_in, forward and cure, by accounts and by balance, and whether there are balances."""
+    rates = with_missing(rates, source=F.lit("bureau"), balance_roll_rate=F.lit(None).cast("double"))
+    shares = []
+    for value, mark in (("roll_rate", ""), ("balance_roll_rate", "balance_")):
+        for measure, (_, start, ends) in _MOVES.items():
+            moved = F.when((F.col("from_bucket") == start) & F.col("to_bucket").isin(*ends), F.col(value))
+            shares.append(F.coalesce(F.sum(moved), F.lit(0.0)).alias(mark + measure.removesuffix("_max")))
+    return rates.groupBy("source").agg(*shares, (F.count("balance_roll_rate") > 0).alias("has_balance"))
+
+
+def roll_facts(rates: DataFrame) -> DataFrame:
+    told = []
+    for mark, words in (("", ""), ("balance_", "by balance, ")):
+        for measure, (item, _, _) in _MOVES.items():
+            told.append(F.struct(F.lit(words + item).alias("item"), F.lit(mark + measure).alias("measure"), F.col(mark + measure.removesuffix("_max")).alias("value"), F.lit(bool(mark)).alias("by_balance")))
+    long = roll_summary(rates).select("source", "has_balance", F.explode(F.array(*told)).alias("x")).select("source", "has_balance", "x.*").where("has_balance or not by_balance")
+    return _facts(long, "rolls", scope=F.col("source"), item=F.col("item"), measure=F.col("measure"), value=F.col("value"))
+
+
+def vintage_facts(curves: DataFrame, mob: int = VINTAGE_MOB, least: int = VINTAGE_ACCOUNTS, trailing: int = VINTAGE_TRAILING) -> DataFrame:
+    """Of each source, how many times the mean of the cohorts before it the newest one's bad rate is; no value where too few have come that far."""
+    curves = with_missing(curves, source=F.lit("bureau"))
+    latest = latest_against_trailing(curves, mob, least, trailing)
+    rate, before = F.col("cumulative_bad_rate"), F.col("trailing_bad_rate")
+    ratio = F.when(before != 0, rate / before).when(rate > 0, F.lit(float("inf"))).when(rate.isNotNull(), F.lit(1.0))
+    told = F.format_string(f"cohort %d: %.2f%% bad by month {mob}, where the {trailing} cohorts before had %.2f%%; %d accounts", "cohort_start_month", rate * 100, before * 100, "accounts_bad")
+    joined = curves.select("source").distinct().join(latest, "source", "left")
+    return _facts(joined, "vintages", scope=F.col("source"), item="newest cohort", measure="vintage_ratio", value=ratio, support=F.col("accounts_bad"), note=F.when(F.col("cohort_start_month").isNotNull(), told).otherwise(f"too few cohorts have reached month {mob} for a trend"))
 
 
 # ---------------------------------------------------------------------------------------------
-# Checks: each takes a frame or figures and gives a verdict of its own
-
-
-def stability_summary(report: DataFrame) -> DataFrame:
-    """Features scored, drifted and shifted, by analysis."""
-    psi = F.col("psi_score")
-    return report.groupBy("analysis", "alerting").agg(F.count("*").alias("scored"), F.count_if(psi >= SIGNIFICANT).alias("significant"), F.count_if((psi >= MODERATE) & (psi < SIGNIFICANT)).alias("moderate"), F.max("psi_score").alias("worst"))
-
-
-def completed(report: DataFrame) -> DataFrame:
-    """Reports of an older layout get the columns they lack; identifiers and undefined features go."""
-    for name, value in (("analysis", F.lit("portfolio")), ("top_driver", F.lit(None).cast("string")), ("alerting", F.lit(True))):
-        if name not in report.columns:
-            report = report.withColumn(name, value)
-    return report.where(F.col("psi_score").isNotNull() & ~F.isnan("psi_score") & ~F.col("feature_name").startswith("SK_ID"))
-
-
-def check_stability(report: DataFrame, top: int = 10) -> Verdict:
-    report, out = completed(report).persist(), Verdict()
-    summary = stability_summary(report).orderBy(F.desc("worst"), "analysis").collect()
-    for r in (x for x in summary if x.alerting):
-        out.findings.append(f"[{r.analysis}] of {r.scored} features, {r.significant} drifted (PSI {SIGNIFICANT} or more), {r.moderate} shifted, {r.scored - r.significant - r.moderate} held")
-        out.raise_to("critical" if r.significant else "warning" if r.moderate else "ok")
-    worst = report.where(F.col("alerting") & (F.col("psi_score") >= MODERATE)).orderBy(F.desc("psi_score"), "analysis", "feature_name").limit(top)
-    out.breaches = [r.asDict() for r in worst.collect()]
-    for b in out.breaches:
-        driver = f", most of it in bin {b['top_driver']}" if b["top_driver"] else ""
-        out.findings.append(f"[{b['analysis']}] {b['feature_name']}: PSI {b['psi_score']:.4f}, {b['drift_status']}{driver}")
-    quiet = [x for x in summary if not x.alerting]
-    if quiet:
-        out.findings.append(f"Without alerts: {sum(x.scored for x in quiet)} features of {len(quiet)} analyses by recency, {sum(x.significant for x in quiet)} of them drifted")
-    if out.status != "ok":
-        out.advise("Find out what changed in the tables that the drifted features come from")
-        if any(b["psi_score"] >= SIGNIFICANT for b in out.breaches):
-            out.advise("Check each model and scorecard that uses a drifted feature, and refit it if need be")
-        out.advise("Measure other cohorts too, to see whether the shift lasts")
-    report.unpersist()
-    return out
+# Judgement
 
 
-def check_model(metrics: dict[str, Any], limits: dict[str, float]) -> Verdict:
-    m, out = metrics, Verdict()
-    gap = abs(m["mean_predicted"] / m["base_rate"] - 1) if m["base_rate"] else float("inf")
-    out.findings.append(f"Model on {m['n_holdout']:,} held-out accounts: AUC {m['auc']:.3f}, Gini {m['gini']:.3f}, KS {m['ks']:.3f}; predicts {m['mean_predicted']:.2%} defaults where {m['base_rate']:.2%} occurred")
-    if m["auc"] < limits["min_auc"] or m["ks"] < limits["min_ks"]:
-        out.raise_to("warning")
-        out.findings.append(f"The model separates too little (AUC of {limits['min_auc']} and KS of {limits['min_ks']} are required)")
-        out.advise("Fit the default model anew: it tells defaulters from others too poorly")
-    if gap > limits["max_calibration_error"]:
-        out.raise_to("warning")
-        out.findings.append(f"The model's level is off by {gap:.0%} (at most {limits['max_calibration_error']:.0%} is allowed)")
-        out.advise("Calibrate the default model: its level does not match what occurred")
-    return out
+def judged(facts: DataFrame, rules: Iterable[Rule] = RULES) -> DataFrame:
+    """Each fact with the gravest rule that it breaks: level ("ok" if none), limit, advice."""
+    rules = list(rules)
+    own = {r.scope for r in rules} - {None}
+    rows = [(r.measure, r.scope, sorted(s for s in own if any(x.scope == s and x.measure == r.measure for x in rules)), LEVELS[r.level], r.level, r.limit, r.side, r.at, float(r.support), r.advice) for r in rules]
+    table = facts.sparkSession.createDataFrame(rows, "rule string, only string, others array<string>, rank int, level string, limit double, side int, at boolean, least double, advice string")
+    beyond = (F.col("value") - F.col("limit")) * F.col("side")
+    broken = (beyond > 0) | (F.col("at") & (beyond == 0))
+    meant = F.coalesce(F.col("only") == F.col("scope"), ~F.array_contains("others", F.col("scope")), F.lit(True))
+    enough = F.coalesce(F.col("support") >= F.col("least"), F.lit(True))
+    met = facts.join(F.broadcast(table), (F.col("measure") == F.col("rule")) & meant & enough & broken, "left")  # a row per rule
+    columns = [x.split()[0] for x in FACTS.split(", ")]
+    worst = F.max(F.struct("rank", "level", "limit", "advice"))
+    return met.groupBy(*columns).agg(worst.alias("w")).select(*columns, F.coalesce("w.level", F.lit("ok")).alias("level"), "w.limit", "w.advice")
 
 
-def check_schema_drift(report: DataFrame, top: int = 10) -> Verdict:
-    n = {r.severity: r.n for r in report.groupBy("severity").agg(F.count("*").alias("n")).collect()}
-    breaking, warning = n.get("breaking", 0), n.get("warning", 0)
-    out = Verdict(findings=[f"Contracts: {breaking} breaches, {warning} changes to review, {sum(n.values()) - breaking - warning} notes"])
-    order = F.when(F.col("severity") == "breaking", 0).otherwise(1)
-    for r in report.where("severity in ('breaking', 'warning')").orderBy(order, "table", "kind", "column").limit(top).collect():
-        place = r["table"] + (f".{r['column']}" if r["column"] else "")
-        out.findings.append(f"[{r['severity']}] {r['kind']} {place}: {r['baseline']} -> {r['observed']}")
-    if breaking:
-        out.raise_to("critical")
-        out.advise("Mend the feed, or agree on a new contract version, before any metric is trusted")
-    elif warning:
-        out.raise_to("warning")
-        out.advise("Look through the changed columns; where a change is meant, add a contract version")
-    return out
+def level_counts(told: DataFrame) -> DataFrame:
+    """Facts by topic, scope, measure and level."""
+    return told.groupBy("topic", "scope", "measure", "level").agg(F.count("*").alias("facts"))
 
 
-def roll_summary(rates: DataFrame) -> DataFrame:
-    """Per source: share of current accounts that turn delinquent, of early delinquents that get worse or cure; by accounts and by balance."""
-    if "source" not in rates.columns:
-        rates = rates.withColumn("source", F.lit("bureau"))
-    if "balance_roll_rate" not in rates.columns:
-        rates = rates.withColumn("balance_roll_rate", F.lit(None).cast("double"))
-    start, end = F.col("from_bucket"), F.col("to_bucket")
-    cells = {"roll_in": (start == "CURRENT") & end.isin(*DELINQUENT), "forward": (start == DELINQUENT[0]) & end.isin(*DELINQUENT[1:]), "cure": (start == DELINQUENT[0]) & (end == "CURRENT")}
-    total = lambda c, cell: F.coalesce(F.sum(F.when(cell, F.col(c))), F.lit(0.0))
-    return rates.groupBy("source").agg(*(total("roll_rate", x).alias(k) for k, x in cells.items()), *(total("balance_roll_rate", x).alias(f"balance_{k}") for k, x in cells.items()), (F.count("balance_roll_rate") > 0).alias("has_balance"))
-
-
-def check_roll_rates(rates: DataFrame, thresholds: Thresholds) -> Verdict:
-    out = Verdict()
-    for r in roll_summary(rates).orderBy("source").collect():
-        one, limits = Verdict(), thresholds.roll(r.source)
-        one.findings.append(f"Of current accounts {r.roll_in:.1%} turn delinquent in a month; of those 1-30 days late {r.forward:.1%} get later and {r.cure:.1%} cure")
-        checks = [("Roll into delinquency", r.roll_in, "roll_in_max"), ("Forward roll from 1-30 days", r.forward, "forward_max")]
-        if r.has_balance:
-            checks += [("Roll of balances into delinquency", r.balance_roll_in, "balance_roll_in_max"), ("Forward roll of balances from 1-30 days", r.balance_forward, "balance_forward_max")]
-        for k, (label, value, limit) in enumerate(checks):
-            if k == 2:
-                one.findings.append(f"By balance, {r.balance_roll_in:.1%} turn delinquent and {r.balance_forward:.1%} of the 1-30 days late get later")
-            if value > limits[limit]:
-                one.raise_to("warning")
-                one.findings.append(f"{label}: {value:.1%}, above the limit of {limits[limit]:.1%}")
-                one.advise("Look at whom credit is granted and at the first months of accounts: too many fall behind" if "roll_in" in limit else "Collect earlier: accounts that fall behind do not recover")
-        out.add(one, f"[{r.source}] ")
-    return out
+def breaches(told: DataFrame, top: int = 10) -> DataFrame:
+    """The gravest breaches of each topic, then the largest values."""
+    rank = F.when(F.col("level") == "critical", 0).otherwise(1)
+    order = [F.col("topic"), rank, F.desc("value"), F.col("scope"), F.col("item")]
+    wanted = told.where("level <> 'ok'")
+    parts = [wanted.where(F.col("topic") == t).orderBy(*order[1:]).limit(top) for t in _READS]
+    return functools.reduce(DataFrame.unionByName, parts)
 
 
-def check_vintage(curves: DataFrame) -> Verdict:
-    if "source" not in curves.columns:
-        curves = curves.withColumn("source", F.lit("bureau"))
-    latest = {r.source: r for r in latest_against_trailing(curves, VINTAGE_MOB, VINTAGE_ACCOUNTS, VINTAGE_TRAILING).collect()}
-    out = Verdict()
-    for (source,) in curves.select("source").distinct().orderBy("source").collect():
-        if source not in latest:
-            out.findings.append(f"[{source}] not enough cohorts have reached month {VINTAGE_MOB} for a vintage trend")
-            continue
-        r = latest[source]
-        rate, before = r.cumulative_bad_rate, r.trailing_bad_rate
-        ratio = rate / before if before else float("inf") if rate else 1.0
-        text = f"[{source}] cohort {r.cohort_start_month}: {rate:.2%} bad by month {VINTAGE_MOB}, {ratio:.2f} times the {before:.2%} of the {VINTAGE_TRAILING} cohorts before"
-        if ratio > VINTAGE_RATIO and r.accounts_bad < VINTAGE_BAD:
-            text += f"; no alert, as only {r.accounts_bad} accounts went bad"
-        elif ratio > VINTAGE_RATIO:
-            text += "; newer vintages are worse"
-            out.raise_to("warning")
-            out.advise("Review recent lending (rules, channels, mix of applicants): its accounts go bad sooner")
-        out.findings.append(text)
+@dataclass
+class Verdict:
+    status: str = "ok"
+    findings: list[str] = field(default_factory=list)
+    recommendations: list[str] = field(default_factory=list)
+    narrative: str | None = None
+    breaches: list[dict[str, Any]] = field(default_factory=list)
+
+    def to_markdown(self) -> str:
+        parts = [f"# Portfolio brief\n\nStatus: **{self.status.upper()}**"]
+        if self.narrative:
+            parts.append(f"## Summary\n\n{self.narrative}")
+        for title, lines in (("Findings", self.findings), ("Recommendations", self.recommendations)):
+            parts.append("\n".join([f"## {title}\n", *(f"- {x}" for x in lines)]))
+        return "\n\n".join(parts) + "\n"
+
+
+def _line(row: dict[str, Any]) -> str:
+    text = f"[{row['scope']}] " + _READS[row["topic"]].format(**{**row, "note": row["note"] or ""})
+    if row["level"] == "ok":
+        return text
+    limit = "" if row["topic"] == "contracts" else f" at a limit of {row['limit']:g}"
+    return f"{row['level']}: {text}{limit}"
+
+
+def verdict(facts: DataFrame, rules: Iterable[Rule] = RULES, top: int = 10) -> Verdict:
+    told = judged(facts, rules).persist()
+    try:
+        counts = level_counts(told).orderBy("topic", "scope", "measure", "level").collect()  # a row per source or analysis and measure
+        worst = [r.asDict() for r in breaches(told, top).collect()]
+        # of the topics with a few facts for each source, all are told
+        calm = [r.asDict() for r in told.where("topic in ('model', 'rolls', 'vintages') and level = 'ok'").orderBy("topic", "scope", "measure").collect()]
+    finally:
+        told.unpersist()
+    out = Verdict(breaches=worst)
+    out.status = max((r.level for r in counts), key=LEVELS.__getitem__, default="ok")
+    for topic in _READS:
+        here = [r for r in counts if r.topic == topic]
+        if here:
+            n = {level: sum(r.facts for r in here if r.level == level) for level in ("critical", "warning", "ok")}
+            out.findings.append(f"{topic}: {n['critical']} critical, {n['warning']} to watch, {n['ok']} in order")
+        out.findings += [_line(r) for r in worst + calm if r["topic"] == topic]
+    broken = {r["advice"] for r in worst} | ({"trace"} if any(r["advice"] == "refit" for r in worst) else set())
+    out.recommendations = [text for key, text in ADVICE.items() if key in broken]
     return out
 
 
 class DiagnosticAgent:
-    """Reads the reports in a folder; those that are missing are said to be skipped. ``narrator`` may turn findings into prose; if it fails, the brief goes without."""
+    """Reads the reports in a folder; those that are missing are said to be left out. ``narrator`` may turn findings into prose; if it fails, the brief goes without."""
+
+    #: report, the step that writes it, and how it becomes facts
+    REPORTS = {
+        "portfolio_stability_report": ("stability", stability_facts),
+        "schema_drift_report": ("drift", contract_facts),
+        "roll_rate_matrix": ("vintage", roll_facts),
+        "vintage_curves": ("vintage", vintage_facts),
+    }
 
     def __init__(self, spark: SparkSession, processed: str, models: str | None = None, thresholds: str | Path | None = DEFAULT_THRESHOLDS, narrator: Callable[[list[str]], str] | None = None, top: int = 10) -> None:
         self.spark, self.processed, self.top, self.narrator = spark, processed, top, narrator
         self.metrics = posixpath.join(models or posixpath.join(posixpath.dirname(processed.rstrip("/")), "models"), "model_metrics.json")
-        self.thresholds = Thresholds(thresholds)
-
-    def _report(self, name: str) -> DataFrame | None:
-        path = posixpath.join(self.processed, f"{name}.parquet")
-        return self.spark.read.parquet(path) if exists(self.spark, path) else None
+        self.rules = rules_of(thresholds)
 
     def run(self) -> Verdict:
-        stability = self._report("portfolio_stability_report")
-        if stability is None:
-            return Verdict("error", [f"no stability report in {self.processed}"], ["Run `stability` or `run-all` first"])
-        out = check_stability(stability, self.top)
-        drift = self._report("schema_drift_report")
-        out.add(check_schema_drift(drift, self.top) if drift is not None else Verdict(findings=["No contract drift report (step `drift`); left out"]))
+        facts, absent = [], []
+        for name, (step, make) in self.REPORTS.items():
+            path = posixpath.join(self.processed, f"{name}.parquet")
+            if exists(self.spark, path):
+                facts.append(make(self.spark.read.parquet(path)))
+            elif step == "stability":
+                return Verdict("error", [f"{self.processed} holds no stability report"], ["The steps up to `stability` have to run first"])
+            else:
+                absent.append(f"{name} is not there (step `{step}`); left out")
         if exists(self.spark, self.metrics):
-            out.add(check_model(json.loads(read_text(self.spark, self.metrics)), self.thresholds.model()))
+            facts.append(model_facts(self.spark, json.loads(read_text(self.spark, self.metrics))))
         else:
-            out.findings.append("No model metrics (step `train`); left out")
-        rates = self._report("roll_rate_matrix")
-        out.add(check_roll_rates(rates, self.thresholds) if rates is not None else Verdict(findings=["No roll rates (step `vintage`); left out"]))
-        curves = self._report("vintage_curves")
-        out.add(check_vintage(curves) if curves is not None else Verdict(findings=["No vintage curves (step `vintage`); left out"]))
+            absent.append("No model metrics (step `train`); left out")
+        out = verdict(functools.reduce(DataFrame.unionByName, facts), self.rules, self.top)
+        out.findings += absent
         if out.status == "ok":
             out.recommendations = ["Nothing to do but to keep watching"]
         elif self.narrator is not None:

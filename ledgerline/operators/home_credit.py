@@ -1,68 +1,36 @@
-"""Built-in contracts of the eight tables.
-
-Fixed values: column names, types and nullability of the public Home Credit tables. ``?`` marks a column
-that may be null. Families of columns come from rules.
-"""
+"""The built-in contracts, from ``conf/contracts.yaml``."""
 
 from __future__ import annotations
 
+import functools
+from pathlib import Path
 from typing import Any
 
-_KINDS = {"i": "int", "f": "float", "s": "string"}
-_BUILDING = ("APARTMENTS", "BASEMENTAREA", "YEARS_BEGINEXPLUATATION", "YEARS_BUILD", "COMMONAREA", "ELEVATORS", "ENTRANCES", "FLOORSMAX", "FLOORSMIN", "LANDAREA", "LIVINGAPARTMENTS", "LIVINGAREA", "NONLIVINGAPARTMENTS", "NONLIVINGAREA")
+import yaml
+
+FILE = Path(__file__).resolve().parent.parent / "conf" / "contracts.yaml"
+#: Of the scoring population, which has no target, these columns hold no nulls.
+SCORING, FULL_WHEN_SCORING = "application_test", ("AMT_GOODS_PRICE", "CNT_FAM_MEMBERS", "DAYS_LAST_PHONE_CHANGE")
 
 
-def _application(train: bool) -> str:
-    """The scoring population has no target, and fewer columns with nulls."""
-    null = "?" if train else ""
-    parts = [
-        "SK_ID_CURR:i",
-        "TARGET:i" if train else "",
-        "NAME_CONTRACT_TYPE:s CODE_GENDER:s FLAG_OWN_CAR:s FLAG_OWN_REALTY:s CNT_CHILDREN:i AMT_INCOME_TOTAL:f AMT_CREDIT:f AMT_ANNUITY:f?",
-        f"AMT_GOODS_PRICE:f{null}",
-        "NAME_TYPE_SUITE:s? NAME_INCOME_TYPE:s NAME_EDUCATION_TYPE:s NAME_FAMILY_STATUS:s NAME_HOUSING_TYPE:s REGION_POPULATION_RELATIVE:f",
-        "DAYS_BIRTH:i DAYS_EMPLOYED:i DAYS_REGISTRATION:f DAYS_ID_PUBLISH:i OWN_CAR_AGE:f?",
-        " ".join(f"FLAG_{x}:i" for x in ("MOBIL", "EMP_PHONE", "WORK_PHONE", "CONT_MOBILE", "PHONE", "EMAIL")),
-        f"OCCUPATION_TYPE:s? CNT_FAM_MEMBERS:f{null}",
-        "REGION_RATING_CLIENT:i REGION_RATING_CLIENT_W_CITY:i WEEKDAY_APPR_PROCESS_START:s HOUR_APPR_PROCESS_START:i",
-        " ".join(f"{a}_{p}_NOT_{b}_{p}:i" for p in ("REGION", "CITY") for a, b in (("REG", "LIVE"), ("REG", "WORK"), ("LIVE", "WORK"))),
-        "ORGANIZATION_TYPE:s",
-        " ".join(f"EXT_SOURCE_{k}:f?" for k in (1, 2, 3)),
-        " ".join(f"{x}_{how}:f?" for how in ("AVG", "MODE", "MEDI") for x in _BUILDING),
-        "FONDKAPREMONT_MODE:s? HOUSETYPE_MODE:s? TOTALAREA_MODE:f? WALLSMATERIAL_MODE:s? EMERGENCYSTATE_MODE:s?",
-        " ".join(f"{x}_{days}_CNT_SOCIAL_CIRCLE:f?" for days in (30, 60) for x in ("OBS", "DEF")),
-        f"DAYS_LAST_PHONE_CHANGE:f{null}",
-        " ".join(f"FLAG_DOCUMENT_{k}:i" for k in range(2, 22)),
-        " ".join(f"AMT_REQ_CREDIT_BUREAU_{x}:f?" for x in ("HOUR", "DAY", "WEEK", "MON", "QRT", "YEAR")),
-    ]
-    return " ".join(parts)
+@functools.cache
+def _tables() -> dict[str, dict[str, Any]]:
+    stated = yaml.safe_load(FILE.read_text())
+    train = stated["application_train"]
+    columns = {c: s | ({"nullable": False} if c in FULL_WHEN_SCORING else {}) for c, s in train["columns"].items() if c != "TARGET"}
+    out = {}
+    for table, spec in stated.items():
+        out[table] = spec
+        if table == "application_train":
+            out[SCORING] = {"primary_key": train["primary_key"], "columns": columns}
+    return out
 
 
-#: table: columns, primary key
-TABLES: dict[str, tuple[str, list[str]]] = {
-    "application_train": (_application(True), ["SK_ID_CURR"]),
-    "application_test": (_application(False), ["SK_ID_CURR"]),
-    "bureau": (
-        "SK_ID_CURR:i SK_ID_BUREAU:i CREDIT_ACTIVE:s CREDIT_CURRENCY:s DAYS_CREDIT:i CREDIT_DAY_OVERDUE:i DAYS_CREDIT_ENDDATE:f? DAYS_ENDDATE_FACT:f? AMT_CREDIT_MAX_OVERDUE:f? CNT_CREDIT_PROLONG:i AMT_CREDIT_SUM:f? AMT_CREDIT_SUM_DEBT:f? AMT_CREDIT_SUM_LIMIT:f? AMT_CREDIT_SUM_OVERDUE:f CREDIT_TYPE:s DAYS_CREDIT_UPDATE:i AMT_ANNUITY:f?",
-        ["SK_ID_BUREAU"],
-    ),
-    "bureau_balance": ("SK_ID_BUREAU:i MONTHS_BALANCE:i STATUS:s", ["SK_ID_BUREAU", "MONTHS_BALANCE"]),
-    "credit_card_balance": (
-        "SK_ID_PREV:i SK_ID_CURR:i MONTHS_BALANCE:i AMT_BALANCE:f AMT_CREDIT_LIMIT_ACTUAL:i AMT_DRAWINGS_ATM_CURRENT:f? AMT_DRAWINGS_CURRENT:f AMT_DRAWINGS_OTHER_CURRENT:f? AMT_DRAWINGS_POS_CURRENT:f? AMT_INST_MIN_REGULARITY:f? AMT_PAYMENT_CURRENT:f? AMT_PAYMENT_TOTAL_CURRENT:f AMT_RECEIVABLE_PRINCIPAL:f AMT_RECIVABLE:f AMT_TOTAL_RECEIVABLE:f CNT_DRAWINGS_ATM_CURRENT:f? CNT_DRAWINGS_CURRENT:i CNT_DRAWINGS_OTHER_CURRENT:f? CNT_DRAWINGS_POS_CURRENT:f? CNT_INSTALMENT_MATURE_CUM:f? NAME_CONTRACT_STATUS:s SK_DPD:i SK_DPD_DEF:i",
-        ["SK_ID_PREV", "MONTHS_BALANCE"],
-    ),
-    "POS_CASH_balance": ("SK_ID_PREV:i SK_ID_CURR:i MONTHS_BALANCE:i CNT_INSTALMENT:f? CNT_INSTALMENT_FUTURE:f? NAME_CONTRACT_STATUS:s SK_DPD:i SK_DPD_DEF:i", ["SK_ID_PREV", "MONTHS_BALANCE"]),
-    "installments_payments": ("SK_ID_PREV:i SK_ID_CURR:i NUM_INSTALMENT_VERSION:f NUM_INSTALMENT_NUMBER:i DAYS_INSTALMENT:f DAYS_ENTRY_PAYMENT:f? AMT_INSTALMENT:f AMT_PAYMENT:f?", []),
-    "previous_application": (
-        "SK_ID_PREV:i SK_ID_CURR:i NAME_CONTRACT_TYPE:s AMT_ANNUITY:f? AMT_APPLICATION:f AMT_CREDIT:f? AMT_DOWN_PAYMENT:f? AMT_GOODS_PRICE:f? WEEKDAY_APPR_PROCESS_START:s HOUR_APPR_PROCESS_START:i FLAG_LAST_APPL_PER_CONTRACT:s NFLAG_LAST_APPL_IN_DAY:i RATE_DOWN_PAYMENT:f? RATE_INTEREST_PRIMARY:f? RATE_INTEREST_PRIVILEGED:f? NAME_CASH_LOAN_PURPOSE:s NAME_CONTRACT_STATUS:s DAYS_DECISION:i NAME_PAYMENT_TYPE:s CODE_REJECT_REASON:s NAME_TYPE_SUITE:s? NAME_CLIENT_TYPE:s NAME_GOODS_CATEGORY:s NAME_PORTFOLIO:s NAME_PRODUCT_TYPE:s CHANNEL_TYPE:s SELLERPLACE_AREA:i NAME_SELLER_INDUSTRY:s CNT_PAYMENT:f? NAME_YIELD_GROUP:s PRODUCT_COMBINATION:s? DAYS_FIRST_DRAWING:f? DAYS_FIRST_DUE:f? DAYS_LAST_DUE_1ST_VERSION:f? DAYS_LAST_DUE:f? DAYS_TERMINATION:f? NFLAG_INSURED_ON_APPROVAL:f?",
-        ["SK_ID_PREV"],
-    ),
-}
+TABLES = tuple(_tables())
 
 
 def contract(table: str) -> dict[str, Any]:
     """In the layout of a contract file."""
-    text, key = TABLES[table]
-    pairs = (x.split(":") for x in text.split())
-    columns = {c: {"type": _KINDS[k[0]], "nullable": k.endswith("?")} for c, k in pairs}
-    return {"table_name": table, "version": 1, "strict_schema": {"required_columns": [c for c, s in columns.items() if not s["nullable"]], "columns": columns, "primary_key": key}}
+    spec = _tables()[table]
+    columns = {c: dict(s) for c, s in spec["columns"].items()}
+    return {"table_name": table, "version": 1, "strict_schema": {"required_columns": [c for c, s in columns.items() if not s["nullable"]], "columns": columns, "primary_key": list(spec["primary_key"])}}

@@ -10,6 +10,7 @@ and one bin for all others. Missing values (null, NaN, infinite) get a bin of th
 
 from __future__ import annotations
 
+import functools
 import logging
 import math
 from dataclasses import dataclass, field
@@ -33,6 +34,7 @@ MAX_CATEGORIES = 50
 OTHER_BIN, NULL_BIN = "__OTHER__", "__NULL__"
 MODERATE, SIGNIFICANT = 0.1, 0.25
 DEFAULT_CONFIG = Path(__file__).resolve().parent.parent / "conf" / "stability.yaml"
+_BINS = "feature string, feature_type string, position int, bin string, b long, t long"
 REPORT = "analysis string, feature_name string, feature_type string, role string, psi_score double, drift_status string, baseline_rows long, target_rows long, top_driver string, alerting boolean"
 
 
@@ -117,13 +119,14 @@ def bin_counts(cohorts: Cohorts, features: list[str], bins: int = 10) -> DataFra
     kinds = {f: frame.schema[f].dataType for f in features}
     numbers, strings = [f for f in features if _numeric(kinds[f])], [f for f in features if not _numeric(kinds[f])]
     if not features or not cohorts.baseline_rows or not cohorts.target_rows:
-        return spark.createDataFrame([], "feature string, feature_type string, position int, bin string, b long, t long")
+        return spark.createDataFrame([], _BINS)
     whole = [f for f in numbers if isinstance(kinds[f], T.IntegralType)]
-    parts, edges = [], {}
+    parts, edges, held = [], {}, []
     missing = F.col("value").isNull()
     finite = F.when(F.isnan("value") | (F.abs("value") == float("inf")), None).otherwise(F.col("value"))
     if numbers:
         counts = _counted(_stacked(frame, numbers, "double").withColumn("value", finite)).persist()
+        held.append(counts)
         stats = {r.feature: r for r in counts.where(~missing).groupBy("feature").agg(F.count_if(F.col("b") > 0).alias("kinds"), F.sum("b").alias("n")).collect()}
         wide = {f: stats[f].n for f in numbers if f in stats and stats[f].kinds > bins}
         cuts = quantiles(counts.where(~missing & (F.col("b") > 0)).select("feature", "value", F.col("b").alias("n")), wide, np.linspace(0, 1, bins + 1)[1:-1].tolist())
@@ -141,19 +144,22 @@ def bin_counts(cohorts: Cohorts, features: list[str], bins: int = 10) -> DataFra
         parts.append(_missing(counts))
     if strings:
         counts = _counted(_stacked(frame, strings, "string")).persist()
+        held.append(counts)
         parts.append(_by_value(counts.where(~missing), F.col("value"), "categorical"))
         parts.append(_missing(counts))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
     whole_type = F.first("feature_type", ignorenulls=True).over(Window.partitionBy("feature"))
-    return out.withColumn("feature_type", whole_type).where("feature_type is not null")
+    out = functools.reduce(DataFrame.unionByName, parts).withColumn("feature_type", whole_type).where("feature_type is not null")
+    rows = out.select("feature", "feature_type", "position", "bin", "b", "t").collect()  # some fifty rows per feature at most
+    for frame in held:
+        frame.unpersist()
+    return spark.createDataFrame(rows, _BINS)
 
 
 def _by_value(counts: DataFrame, label, kind: str) -> DataFrame:
     """The baseline's most frequent values (ties: the smaller value) and one bin for the rest; features that the baseline lacks give nothing."""
     top = Window.partitionBy("feature").orderBy(F.desc("b"), "value")
-    head = counts.where("b > 0").withColumn("position", F.row_number().over(top) - 1).where(F.col("position") < MAX_CATEGORIES)
+    # the filter is on the rank itself, so Spark keeps the best of each task before it shuffles
+    head = counts.where("b > 0").withColumn("rank", F.row_number().over(top)).where(F.col("rank") <= MAX_CATEGORIES).withColumn("position", F.col("rank") - 1)
     head = head.select("feature", F.lit(kind).alias("feature_type"), "position", label.alias("bin"), "b", "t")
     held = head.groupBy("feature").agg(F.sum("b").alias("hb"), F.sum("t").alias("ht"))
     rest = counts.groupBy("feature").agg(F.sum("b").alias("b"), F.sum("t").alias("t")).join(held, "feature")
@@ -247,14 +253,13 @@ def run_analysis(spark: SparkSession, folder: str, spec: Analysis, bins: int, na
     return psi_report(spec.name, cohorts, features, bins, frozenset(spec.score_columns), spec.alert)
 
 
-def run_stability(spark: SparkSession, folder: str, config: str | Path = DEFAULT_CONFIG) -> DataFrame:
-    """All analyses of the configuration; the report is written even if it is empty."""
-    settings = yaml.safe_load(Path(config).read_text())
+def run_stability(spark: SparkSession, folder: str, config: str | Path | dict = DEFAULT_CONFIG) -> DataFrame:
+    """All analyses of the configuration (a file, or what it holds); the report is written even if it is empty."""
+    settings = config if isinstance(config, dict) else yaml.safe_load(Path(config).read_text())
     report = spark.createDataFrame([], REPORT)
     for entry in settings["analyses"]:
         part = run_analysis(spark, folder, Analysis(**entry), settings.get("bins", 10), set(settings.get("exclude_columns", [])), tuple(settings.get("exclude_prefixes", [])))
         report = report if part is None else report.unionByName(part)
     report = report.orderBy("analysis", F.desc("psi_score"))
     write_report(report, folder, "portfolio_stability_report")
-    spark.catalog.clearCache()
     return spark.read.parquet(f"{folder}/portfolio_stability_report.parquet")

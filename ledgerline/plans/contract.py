@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
+import re
+import shutil
+import tempfile
 from collections.abc import Callable
-from dataclasses import asdict
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scores import brier, calibration, discrimination
-from ..operators import contracts, default_model, diagnose, home_credit, master_record, migration, stability
+from ..operators import contracts, diagnose, home_credit, master_record, migration, stability
 from ..operators.stability import Cohorts
-from ..sources.csv_ingest import read_csv
 from .mapping import sql_view, view
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -220,10 +221,23 @@ def _contribution_sql(shares: str) -> str:
     return f"select feature_name, feature_type, position, baseline_pct, target_pct, round((greatest(target_pct, 0.0001) - greatest(baseline_pct, 0.0001)) * ln(greatest(target_pct, 0.0001) / greatest(baseline_pct, 0.0001)), 8) as contribution from ({shares}) s"
 
 
-def _csi(spark: SparkSession, sf: str, *features: str) -> DataFrame:
+def _bins(spark: SparkSession, sf: str, *features: str) -> DataFrame:
     rows = view(spark, sf, "cohort_rows")
-    cohorts = Cohorts.of(rows.where("not is_target"), rows.where("is_target"), list(features))
-    return _rounded(stability.csi(cohorts, list(features)), "contribution").drop("bin")
+    return stability.csi(Cohorts.of(rows.where("not is_target"), rows.where("is_target"), list(features)), list(features))
+
+
+def _csi(spark: SparkSession, sf: str, *features: str) -> DataFrame:
+    return _rounded(_bins(spark, sf, *features), "contribution").drop("bin")
+
+
+_EDGES = f"(select list_sort(list_distinct(quantile_cont(o_totalprice, {_SHARES}))) as e from ({_ROWS}) r where not is_target)"
+_LABEL = "case when i = 0 then '<= ' || printf('%.4g', e[1]) when i = len(e) then '> ' || printf('%.4g', e[i]) else '(' || printf('%.4g', e[i]) || ', ' || printf('%.4g', e[i + 1]) || ']' end"
+
+
+@query(f"select cast(i as integer) as position, {_LABEL} as bin from (select e, unnest(range(0, len(e) + 1)) as i from {_EDGES} q) x union all select cast(k as integer), x from (select o_orderpriority as x, row_number() over (order by count(*) desc, o_orderpriority) - 1 as k from ({_ROWS}) r where not is_target group by 1) t union all select 50, '__OTHER__'")
+def bin_labels(spark: SparkSession, sf: str) -> DataFrame:
+    """The names of a numeric feature's bins, to four digits, and of a categorical one's."""
+    return _bins(spark, sf, "o_totalprice", "o_orderpriority").select("position", "bin")
 
 
 @query(_contribution_sql(_csi_sql("o_totalprice", "numeric")))
@@ -274,14 +288,22 @@ def psi_report_multi_feature(spark: SparkSession, sf: str) -> DataFrame:
     return _rounded(_report(spark, sf).drop("top_driver"), "psi_score")
 
 
-@query("select 'price_with_nulls' as feature_name, '__NULL__' as top_driver")
+_FIRST = f"select feature_name, position, contribution, row_number() over (partition by feature_name order by contribution desc, position) as k from ({_UNROUNDED}) a"
+
+
+@query(f"select feature_name, cast(position as integer) as position from ({_FIRST}) f where k = 1")
 def psi_top_driver(spark: SparkSession, sf: str) -> DataFrame:
-    return _report(spark, sf).where("feature_name = 'price_with_nulls'").select("feature_name", "top_driver")
+    """The place of the bin that contributes most, of every feature; of bins alike, the first."""
+    bins = _bins(spark, sf, *_FEATURES)
+    top = _report(spark, sf).select("feature_name", F.col("top_driver").alias("bin"))
+    return bins.select("feature_name", "bin", "position").join(top, ["feature_name", "bin"]).select("feature_name", "position")
 
 
-@query("select psi, case when isnan(psi) then 'UNKNOWN' when psi < 0.1 then 'STABLE' when psi < 0.25 then 'MODERATE_SHIFT' else 'SIGNIFICANT_DRIFT' end as drift_status from (values (0.0::double), (0.0999), (0.1), (0.2499), (0.25), (3.0)) t(psi)")
+@query("select o_orderkey, l_discount * 4 as psi, case when l_discount is null or isnan(l_discount) then 'UNKNOWN' when l_discount * 4 < 0.1 then 'STABLE' when l_discount * 4 < 0.25 then 'MODERATE_SHIFT' else 'SIGNIFICANT_DRIFT' end as drift_status from (select l_orderkey as o_orderkey, cast(l_discount as double) as l_discount from lineitem) l")
 def drift_labels(spark: SparkSession, sf: str) -> DataFrame:
-    return spark.createDataFrame([(x,) for x in (0.0, 0.0999, 0.1, 0.2499, 0.25, 3.0)], "psi double").withColumn("drift_status", stability.drift_label(F.col("psi")))
+    """Of figures on either side of both limits."""
+    lines = spark.read.parquet(f"{sf}/lineitem.parquet").select(F.col("l_orderkey").alias("o_orderkey"), (F.col("l_discount").cast("double") * 4).alias("psi"))
+    return lines.withColumn("drift_status", stability.drift_label(F.col("psi")))
 
 
 _LINES = "select DAYS(l_shipdate) as day from lineitem".replace("DAYS(l_shipdate)", "cast(cast(l_shipdate as date) - date '1970-01-01' as bigint)")
@@ -310,29 +332,89 @@ def schema_pk_duplicates(spark: SparkSession, sf: str) -> DataFrame:
     return spark.createDataFrame([(t, contracts.surplus_rows(spark.read.parquet(f"{sf}/{t}.parquet"), k)) for t, k in keys.items()], "table_name string, surplus long")
 
 
-@query("select * from (values ('SK_ID_CURR', 'int', false), ('TARGET', 'int', false), ('SEGMENT', 'string', false), ('NATION', 'int', false)) t(column_name, kind, nullable)")
+def _profile_sql(table: str, columns: dict[str, str], rows: str) -> str:
+    """What DuckDB finds: type by its own name, and whether there are nulls."""
+    kind = "case when typeof(any_value({c})) in ('TINYINT', 'SMALLINT', 'INTEGER', 'BIGINT') then 'int' when typeof(any_value({c})) in ('FLOAT', 'DOUBLE') then 'float' else 'string' end"
+    return " union all ".join(f"select '{table}' as \"table\", '{name}' as \"column\", {kind.format(c=c)} as s_type, count(*) filter ({c} is null) > 0 as s_nullable from {rows}" for name, c in columns.items())
+
+
+_APPLICATION = {c: c for c in ("SK_ID_CURR", "TARGET", "SEGMENT", "NATION")}
+
+
+@query(f"select \"column\" as column_name, s_type as kind, s_nullable as nullable from ({_profile_sql('application', _APPLICATION, sql_view('application') + ' v')}) p")
 def schema_infer_profile(spark: SparkSession, sf: str) -> DataFrame:
     found = contracts.infer_contract("application", view(spark, sf, "application"), ["SK_ID_CURR"])
     return spark.createDataFrame([(c, s["type"], s["nullable"]) for c, s in found.columns.items()], "column_name string, kind string, nullable boolean")
 
 
-@query("select * from (values ('column_removed', 'STATUS', 'breaking'), ('column_added', 'CHANNEL', 'warning'), ('type_changed', 'MONTHS_BALANCE', 'warning'), ('primary_key_duplicates', 'SK_ID_BUREAU,MONTHS_BALANCE', 'breaking')) t(kind, \"column\", severity)")
+def _agreed_sql(*tables: str) -> str:
+    """Built-in contracts as rows."""
+    rows = [f"('{t}', '{c}', '{s['type']}', {str(s['nullable']).lower()})" for t in tables for c, s in home_credit.contract(t)["strict_schema"]["columns"].items()]
+    return f"(values {', '.join(rows)}) a(\"table\", \"column\", a_type, a_nullable)"
+
+
+def _drift_sql(agreed: str, seen: str) -> str:
+    """In a contract here, a column is required if it holds no nulls."""
+    return f"""select * from (select "table", "column",
+      case when s_type is null then 'column_removed' when a_type is null then 'column_added' when a_type <> s_type then 'type_changed' end as kind,
+      case when s_type is null then 'present' when a_type is null then 'absent' else a_type end as baseline, coalesce(s_type, 'absent') as observed,
+      case when s_type is null and not a_nullable then 'breaking' when s_type is null or a_type is null or (a_type = 'int' and s_type = 'float') then 'warning' else 'breaking' end as severity
+      from {agreed} full join ({seen}) s using ("table", "column")) x where kind is not null
+    union all select "table", "column", case when s_nullable then 'nulls_introduced' else 'nulls_absent' end, case when s_nullable then 'non-nullable' else 'nullable' end,
+      case when s_nullable then 'nullable' else 'no nulls observed' end, case when s_nullable then 'breaking' else 'info' end
+      from {agreed} join ({seen}) s using ("table", "column") where a_nullable <> s_nullable"""
+
+
+_SEEN = {
+    "bureau_balance": ({"SK_ID_BUREAU": "SK_ID_BUREAU", "MONTHS_BALANCE": "cast(MONTHS_BALANCE as double)", "CHANNEL": "STATUS"}, f"{sql_view('bureau_balance')} v"),
+    "installments_payments": ({c: c for c in ("SK_ID_CURR", "DAYS_INSTALMENT", "DAYS_ENTRY_PAYMENT", "AMT_INSTALMENT", "AMT_PAYMENT")}, f"(select * replace (cast(AMT_INSTALMENT as double) as AMT_INSTALMENT, cast(AMT_PAYMENT as double) as AMT_PAYMENT) from {sql_view('installments_payments')} i) v"),
+}
+_SEEN_SQL = " union all ".join(_profile_sql(t, c, rows) for t, (c, rows) in _SEEN.items())
+_REPEATED = f"select 'bureau_balance' as \"table\", 'SK_ID_BUREAU,MONTHS_BALANCE' as \"column\", 'primary_key_duplicates' as kind, 'unique' as baseline, n || ' duplicate rows' as observed, 'breaking' as severity from (select count(*) - count(distinct (SK_ID_BUREAU, MONTHS_BALANCE)) as n from {sql_view('bureau_balance')} v) x where n > 0"
+
+
+def _drifted(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    """Monthly rows with one column lost, one gained and one widened, and payments as they are."""
+    months = view(spark, sf, "bureau_balance").select("SK_ID_BUREAU", F.col("MONTHS_BALANCE").cast("double").alias("MONTHS_BALANCE"), F.col("STATUS").alias("CHANNEL"))
+    return {"bureau_balance": months, "installments_payments": _plain(view(spark, sf, "installments_payments"))}
+
+
+_DRIFT_SQL = f"select * from ({_drift_sql(_agreed_sql(*_SEEN), _SEEN_SQL)}) d union all {_REPEATED}"
+
+
+@query(f"select *, 1::bigint as schema_version from ({_DRIFT_SQL}) d")
 def drift_findings(spark: SparkSession, sf: str) -> DataFrame:
-    """Lineitem's monthly rows, with a column lost, one gained and one widened, against the contract of monthly statuses."""
-    df = view(spark, sf, "bureau_balance").select("SK_ID_BUREAU", F.col("MONTHS_BALANCE").cast("double").alias("MONTHS_BALANCE"), F.lit("web").alias("CHANNEL"))
-    base = contracts.Contract.from_dict(home_credit.contract("bureau_balance"))
-    found = contracts.diff_contracts(base, contracts.infer_contract("bureau_balance", df, base.primary_key))
-    if contracts.surplus_rows(df, base.primary_key):
-        found.append(contracts.DriftFinding("bureau_balance", "primary_key_duplicates", ",".join(base.primary_key), "unique", "", "breaking"))
-    return spark.createDataFrame([asdict(f) for f in found], contracts.DRIFT_REPORT.rsplit(",", 1)[0]).select("kind", "column", "severity")
+    return contracts.drift_report(spark, _drifted(spark, sf))
 
 
-@query("select 1 as violations")
+@query(_drift_sql(_agreed_sql("application_train").replace("'application_train'", "'application'"), f"select 'application' as \"table\", c as \"column\", k as s_type, n as s_nullable from (values {', '.join(f"('{c}', '{s['type']}', {str(s['nullable']).lower()})" for c, s in home_credit.contract('application_test')['strict_schema']['columns'].items())}) t(c, k, n)"))
+def schema_versions_diff(spark: SparkSession, sf: str) -> DataFrame:
+    """Two stored versions, through the registry's files: the training table's contract, then the scoring population's."""
+    folder = tempfile.mkdtemp()  # configuration on the driver, no data
+    try:
+        registry = contracts.Registry(folder)
+        for table in ("application_train", "application_test"):
+            registry.write_version(contracts.Contract.from_dict(home_credit.contract(table) | {"table_name": "application"}), bump=table != "application_train")
+        return contracts.compare_versions(spark, "application", folder=folder)
+    finally:
+        shutil.rmtree(folder)
+
+
+@query(f"select 1 + (count(*) filter (STATUS is null) > 0)::int as violations, count(*) - count(distinct (SK_ID_BUREAU, MONTHS_BALANCE)) as repeated from {sql_view('bureau_balance')} v where exists (select 1 from {sql_view('bureau_balance')} w group by SK_ID_BUREAU, MONTHS_BALANCE having count(*) > 1)")
 def validate_frame_violations(spark: SparkSession, sf: str) -> DataFrame:
-    """The monthly rows keep to the contract but for the key."""
+    """The monthly rows keep to the contract but for the key, whose repeated rows are told."""
     df = view(spark, sf, "bureau_balance").select("SK_ID_BUREAU", F.col("MONTHS_BALANCE").cast("long").alias("MONTHS_BALANCE"), "STATUS")
     found = contracts.SchemaValidator.for_table("bureau_balance").validate_frame(df)
-    return spark.createDataFrame([(len(found),)], "violations int")
+    repeated = [int(re.search(r"has (\d+) duplicate", x)[1]) for x in found if "duplicate" in x]
+    return spark.createDataFrame([(len(found), sum(repeated))], "violations int, repeated long").where("repeated > 0")
+
+
+@query("select t as \"table\", (t = 'bureau_balance') as accepted from (values ('bureau_balance'), ('bureau'), ('installments_payments')) v(t)")
+def validate_columns(spark: SparkSession, sf: str) -> DataFrame:
+    """Which views of the test tables have the columns that their contract asks for, and no others."""
+    names = ("bureau_balance", "bureau", "installments_payments")
+    told = [(t, contracts.SchemaValidator.for_table(t).validate_columns(view(spark, sf, t).columns)) for t in names]
+    return spark.createDataFrame(told, "table string, accepted boolean")
 
 
 # ---------------------------------------------------------------------------------------------
@@ -392,50 +474,3 @@ def brier_score(spark: SparkSession, sf: str) -> DataFrame:
 @query(f"select cast(bin as integer) as bin, count(*) as accounts, round(avg(score), 8) as mean_score, round(avg(TARGET), 8) as observed_rate from (select *, ntile(10) over (order by score, SK_ID_CURR) as bin from {sql_view('scored')} s) t group by bin")
 def calibration_deciles(spark: SparkSession, sf: str) -> DataFrame:
     return _rounded(calibration(view(spark, sf, "scored")), "mean_score", "observed_rate")
-
-
-# ---------------------------------------------------------------------------------------------
-# Files and models (SQL has no twin for these)
-
-
-def _scratch(spark: SparkSession, name: str) -> str:
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir") or "file:///tmp/checkpoints/ledgerline"
-    return f"{base.rstrip('/')}/{name}"
-
-
-@query("select o_orderkey, o_totalprice, o_orderstatus from orders")
-def csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
-    path = _scratch(spark, "csv_roundtrip")
-    spark.read.parquet(f"{sf}/orders.parquet").select("o_orderkey", "o_totalprice", "o_orderstatus").write.mode("overwrite").option("header", True).csv(path)
-    return read_csv(spark, path)
-
-
-def _model(spark: SparkSession, sf: str) -> tuple[str, dict]:
-    path = _scratch(spark, "model")
-    record = mar_full(spark, sf)
-    metrics = default_model.train_model(spark, record, path, path, importances=False)
-    return path, metrics
-
-
-@query()
-def score_population(spark: SparkSession, sf: str) -> DataFrame:
-    """Every applicant, without the target, by a model of the default number of trees."""
-    path, _ = _model(spark, sf)
-    return default_model.score_frame(mar_full(spark, sf).drop("TARGET"), path)
-
-
-@query()
-def diagnose_status(spark: SparkSession, sf: str) -> DataFrame:
-    """Each check's verdict over the test tables."""
-    limits = diagnose.Thresholds()
-    verdicts = {
-        "stability": diagnose.check_stability(_report(spark, sf)),
-        "roll_rates": diagnose.check_roll_rates(roll_rate_stacked_sources(spark, sf), limits),
-        "vintage": diagnose.check_vintage(vintage_curves(spark, sf)),
-    }
-    return spark.createDataFrame([(k, v.status, len(v.findings)) for k, v in verdicts.items()], "name string, status string, findings int")
-
-
-@query("select TARGET, cast(round(0.2 * count(*)) as bigint) as held_out from (select case when c_acctbal < 0 then 1 else 0 end as TARGET from customer) c group by TARGET")
-def stratified_holdout(spark: SparkSession, sf: str) -> DataFrame:
-    return default_model.stratified_split(view(spark, sf, "application"))[1].groupBy("TARGET").agg(F.count("*").alias("held_out"))

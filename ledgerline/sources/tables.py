@@ -63,15 +63,19 @@ def write_report(df: DataFrame, folder: str, name: str) -> None:
     system.delete(side, False)
 
 
-def write_text(spark: SparkSession, text: str, path: str) -> None:
+def write_bytes(spark: SparkSession, data: bytes, path: str) -> None:
     at, system = _hadoop(spark, path)
     out = system.create(at, True)
     try:
-        out.write(bytearray(text.encode()))
+        out.write(bytearray(data))
     finally:
         out.close()
 
 
+def write_text(spark: SparkSession, text: str, path: str) -> None:
+    write_bytes(spark, text.encode(), path)
+
+
 def read_text(spark: SparkSession, path: str) -> str:
     """A small file (a config, metrics)."""
     return "\n".join(r.value for r in spark.read.option("wholetext", True).text(str(path)).collect())

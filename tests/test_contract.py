@@ -5,7 +5,7 @@ from pathlib import Path
 import duckdb
 import pytest
 
-from ledgerline.plans import contract
+from ledgerline.plans import contract, reports
 
 DATA = Path("/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not DATA.exists(), reason="needs the test tables")
@@ -24,9 +24,14 @@ def rows(values, columns):
     return sorted(tuple(str(v[i]) for i in order) for v in values)
 
 
-@pytest.mark.parametrize("name", [n for n in contract.ORACLE_SQL if n not in ("vintage_latest_vs_trailing",)])
+@pytest.mark.parametrize("name", list(contract.ORACLE_SQL))
 def test_equals_sql(spark, con, name):
     out = contract.QUERIES[name](spark, str(DATA))
     want = con.sql(contract.ORACLE_SQL[name])
     assert sorted(out.columns) == sorted(want.columns)
     assert rows([tuple(r) for r in out.collect()], out.columns) == rows(want.fetchall(), want.columns)
+
+
+def test_every_query_is_registered():
+    assert reports.diagnose_status is contract.QUERIES["diagnose_status"]
+    assert set(contract.QUERIES) - set(contract.ORACLE_SQL) == {"score_population"}

@@ -47,7 +47,7 @@ def test_scoring(spark, trained):
     new = spark.createDataFrame([(1, None, None, "never seen", "x"), (2, 0.5, 0.1, None, "x"), (3, 3.0, float("inf"), "c", "x")], "SK_ID_CURR long, signal double, noise double, segment string, other string")
     out = {r.SK_ID_CURR: r.score for r in dm.score_frame(new, path).collect()}
     assert len(out) == 3 and all(0 < s < 1 for s in out.values()) and out[3] > out[1]
-    with pytest.raises(ValueError, match="Cannot score: 1"):
+    with pytest.raises(ValueError, match="not there: signal"):
         dm.score_frame(new.drop("signal"), path)
 
 

@@ -5,7 +5,8 @@ from pathlib import Path
 import pytest
 
 from ledgerline.operators import default_model
-from ledgerline.plans import contract
+from ledgerline.plans import reports
+from ledgerline.plans.mapping import view
 
 DATA = Path("/root/testdata/sf0.001")
 
@@ -20,8 +21,8 @@ def test_all_applicants_are_scored(spark, monkeypatch):
         return train(*args, **options | {"trees": 2})  # what was asked for is looked at; two are enough for the rows
 
     monkeypatch.setattr(default_model, "train_model", noted)
-    out = contract.score_population(spark, str(DATA))
-    want = {r[0] for r in contract.view(spark, str(DATA), "application").select("SK_ID_CURR").collect()}
+    out = reports.score_population(spark, str(DATA))
+    want = {r[0] for r in view(spark, str(DATA), "application").select("SK_ID_CURR").collect()}
     got = [r.SK_ID_CURR for r in out.where("score between 0 and 1").collect()]
     assert len(got) == len(want) and set(got) == want
     assert all("trees" not in x for x in asked) and asked
