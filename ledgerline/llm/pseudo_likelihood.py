@@ -1,17 +1,25 @@
 """Document scores by masked pseudo-likelihood.
 
-A small network sees two tokens on either side of a masked one and predicts it: embeddings, one tanh
-layer, and a two-level softmax (a class of tokens, then the token within). A document's score is the sum
-over all its tokens of the log-probability of each, given both sides.
-
-Tokens are words between ASCII white space, A-Z lowered, hashed to ``CLASSES`` squared buckets. Buckets
-are numbered by how often they occur in the whole corpus, so classes hold tokens of like frequency.
-Every token of every document takes part in the fit: each round masks another set of places, one in
-``MASKED`` of all tokens, and there are as many rounds, so each place is a target once. In a round, every task trains its own copy by minibatches on its documents, and the copies'
-mean, weighted by what each has seen, starts the next round. The mean is formed by chunks of the
-weights in a shuffle, so the driver gets one model however many tasks there were.
-
-Defined results: a null or wordless text has no tokens, the score 0 and a null mean; a null doc_id is
+A network predicts a masked token from both sides: the embeddings of the two tokens before and the two
+after it, each in its own place, and the mean embedding of ``REACH`` tokens on either side; one tanh layer;
+a softmax in two levels (a class of tokens, then the token within). A document's score is the sum over all
+its tokens of the log-probability of each given its two sides.
+
+Tokens are words between ASCII white space, A-Z lowered. Words are counted over the whole corpus in a
+shuffle; the ``VOCABULARY`` - 1 most frequent ones (ties: the smaller hash) are tokens of their own, numbered
+by frequency. Any other word is the token ``other`` and is spelled: its probability is that of ``other`` times
+that of its bytes, each given the byte before, as counted in the corpus's other words. So all words have
+probabilities of their own, which add up to one.
+
+Every token of every document is a target of the fit, once. Documents are cut into segments of up to
+``SEGMENT`` tokens (each carries the tokens around it, so no context is lost). A hash of document and segment
+deals each segment to a round and to a copy of the network, and copies are as many as the counted
+tokens call for. In a round, each copy learns by Adagrad on its segments in the order of their hash, and the copies'
+mean, weighted by what each has seen, starts the next round. So the model does not depend on how rows lie in
+files or partitions. The mean is formed by chunks of the weights in a shuffle: the driver gets one model.
+
+Defined results: a null or wordless text has no tokens, the score 0 and a null mean; a very long text is cut
+into segments in the fit and into strips in scoring, with the same scores as in one piece; a null doc_id is
 carried through; repeated rows each count and each return a row; an empty table returns none; other columns are ignored.
 """
 
@@ -24,36 +32,57 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .support import SPACED, Words, as_bytes, pieces, small_batches, written
+from .support import SPACED, Words, as_bytes, discard, mix, pieces, release, small_batches, written
 
-CLASSES = 64
-BUCKETS = CLASSES * CLASSES
-SIDE = 2
-EMBEDDING = 8
-HIDDEN = 16
-#: One place in MASKED is a target in a round; as many rounds take every place.
-ROUNDS = 2
-MASKED = ROUNDS
-BATCH = 2048
-RATE = 0.15
-_SHAPES = {"embed": (BUCKETS + 1, EMBEDDING), "w1": (2 * SIDE * EMBEDDING, HIDDEN), "b1": (HIDDEN,), "wc": (HIDDEN, CLASSES), "bc": (CLASSES,), "ww": (CLASSES, HIDDEN, CLASSES), "bw": (CLASSES, CLASSES)}
-_CHUNK = 8192
+#: Classes of the softmax: so many of so many tokens each, frequent tokens first; frequent classes are small, so the mean cost of a token is low.
+CLASS_SIZES = ((16, 8), (16, 16), (16, 64), (16, 424))
+EDGES = np.cumsum([0] + [size for many, size in CLASS_SIZES for _ in range(many)])
+CLASSES, VOCABULARY = len(EDGES) - 1, int(EDGES[-1])
+#: Tokens around a place: those with a place of their own on each side, and those in the mean on each side.
+NEAR, REACH = 2, 8
+EMBEDDING, HIDDEN = 10, 20
+#: Tokens of a segment, of a minibatch, and of all that one copy of the network learns from; times that copies are averaged.
+SEGMENT, BATCH, COPY_TOKENS, ROUNDS = 2048, 3072, 2_000_000, 2
+RATE = 0.3
+#: Places that are scored at a time.
+STRIP = 4096
+_NONE = VOCABULARY  # what stands beyond either end of a document
+_SHAPES = {"embed": (VOCABULARY + 1, EMBEDDING), "w1": ((2 * NEAR + 1) * EMBEDDING, HIDDEN), "b1": (HIDDEN,), "wc": (HIDDEN, CLASSES), "bc": (CLASSES,), "ww": (VOCABULARY, HIDDEN), "bw": (VOCABULARY,)}
+_CLASS = np.repeat(np.arange(CLASSES), np.diff(EDGES))
+_CHUNK = 16_384
+
+
+# ---------------------------------------------------------------------------------------------
+# The network
+
+
+_ONES = np.ones(max(VOCABULARY, 1 << 16), np.float32)
+
+
+def _sums(x: np.ndarray, width: int) -> np.ndarray:
+    """Of each ``width`` consecutive rows."""
+    total = np.zeros((len(x) + 1, x.shape[1]))
+    np.cumsum(x, axis=0, out=total[1:])
+    return (total[width:] - total[:-width]).astype(np.float32)
 
 
 class Network:
+    """Works on strips: token numbers of one or more documents, ``REACH`` times ``_NONE`` around each."""
+
     def __init__(self, weights: dict[str, np.ndarray]) -> None:
         self.w = weights
 
     @classmethod
     def start(cls, counts: np.ndarray, seed: int = 1) -> Network:
-        """Small random weights, and biases that give the corpus's frequencies. counts: of tokens in their final order."""
+        """Small random weights, and biases that give the corpus's frequencies. counts: of tokens by number."""
         r = np.random.default_rng(seed)
-        w = {k: (r.standard_normal(s) * (0.3 if k == "embed" else 1 / np.sqrt(s[-2]) if len(s) > 1 else 0)).astype(np.float32) for k, s in _SHAPES.items()}
-        for k in ("wc", "ww"):
-            w[k] *= 0.1
-        p = (counts + 0.5).reshape(CLASSES, CLASSES)
-        w["bc"] = np.log(p.sum(1) / p.sum()).astype(np.float32)
-        w["bw"] = np.log(p / p.sum(1, keepdims=True)).astype(np.float32)
+        scale = {"embed": 0.3, "w1": 1 / np.sqrt(_SHAPES["w1"][0]), "wc": 0.1 / np.sqrt(HIDDEN), "ww": 0.1 / np.sqrt(HIDDEN)}
+        w = {k: (r.standard_normal(s) * scale.get(k, 0)).astype(np.float32) for k, s in _SHAPES.items()}
+        w["embed"][_NONE] = 0
+        p = counts + 0.5
+        of_class = np.add.reduceat(p, EDGES[:-1])
+        w["bc"] = np.log(of_class / p.sum()).astype(np.float32)
+        w["bw"] = np.log(p / of_class[_CLASS]).astype(np.float32)
         return cls(w)
 
     @classmethod
@@ -61,141 +90,254 @@ class Network:
         w, at = {}, 0
         for k, s in _SHAPES.items():
             n = int(np.prod(s))
-            w[k] = flat[at : at + n].reshape(s).astype(np.float32).copy()
+            w[k] = flat[at : at + n].reshape(s).astype(np.float32)
             at += n
         return cls(w)
 
     def packed(self) -> np.ndarray:
         return np.concatenate([self.w[k].ravel() for k in _SHAPES])
 
-    def _hidden(self, context: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        x = self.w["embed"][context].reshape(len(context), -1)
-        return x, np.tanh(x @ self.w["w1"] + self.w["b1"])
-
-    def log_probability(self, context: np.ndarray, token: np.ndarray) -> np.ndarray:
-        """Of each token given its context (n x 4 tokens; BUCKETS stands for none)."""
-        out = np.empty(len(token), np.float64)
-        for low in range(0, len(token), 8192):
-            c, t = context[low : low + 8192], token[low : low + 8192]
-            order = np.argsort(t, kind="stable")  # by class, and tokens within
-            _, h = self._hidden(c[order])
-            of, within = t[order] // CLASSES, t[order] % CLASSES
-            row = np.arange(len(t))
-            logits = h @ self.w["wc"] + self.w["bc"]
-            one = logits[row, of] - np.log(np.exp(logits).sum(1))  # logits are small: |h| < 1
-            two = np.empty_like(one)
-            cuts = np.searchsorted(of, np.arange(CLASSES + 1))
-            for k in np.flatnonzero(np.diff(cuts)):
-                a, b = cuts[k], cuts[k + 1]
-                logits = h[a:b] @ self.w["ww"][k] + self.w["bw"][k]
-                two[a:b] = logits[row[: b - a], within[a:b]] - np.log(np.exp(logits).sum(1))
-            out[low + order] = one.astype(np.float64) + two
+    def _inputs(self, strip: np.ndarray) -> np.ndarray:
+        """For each place but the outer ``REACH`` on either end: near embeddings, and the mean over both sides."""
+        e, n = self.w["embed"][strip], len(strip) - 2 * REACH
+        x = np.empty((n, 2 * NEAR + 1, EMBEDDING), np.float32)
+        shifts = [s for s in range(-NEAR, NEAR + 1) if s]
+        for k, s in enumerate(shifts):
+            x[:, k] = e[REACH + s : REACH + s + n]
+        x[:, -1] = (_sums(e, 2 * REACH + 1) - e[REACH : REACH + n]) / (2 * REACH)
+        return x.reshape(n, -1)
+
+    def log_probability(self, strip: np.ndarray) -> np.ndarray:
+        """Of each place but the outer ``REACH`` on either end; 0 for places that hold no token."""
+        out = np.zeros(len(strip) - 2 * REACH)
+        x, token = self._inputs(strip), strip[REACH:-REACH]
+        order = np.argsort(token, kind="stable")
+        order = order[: np.searchsorted(token, _NONE, sorter=order)]
+        h, t = np.tanh(x[order] @ self.w["w1"] + self.w["b1"]), token[order]
+        row = np.arange(len(t))
+        logits = h @ self.w["wc"] + self.w["bc"]
+        one = logits[row, _CLASS[t]] - np.log(np.exp(logits) @ _ONES[:CLASSES])  # logits are small, as |h| < 1
+        two = np.empty_like(one)
+        cuts = np.searchsorted(t, EDGES)
+        for k in np.flatnonzero(np.diff(cuts)):
+            a, b, low, high = cuts[k], cuts[k + 1], EDGES[k], EDGES[k + 1]
+            logits = h[a:b] @ self.w["ww"][low:high].T + self.w["bw"][low:high]
+            two[a:b] = logits[row[: b - a], t[a:b] - low] - np.log(np.exp(logits) @ _ONES[: high - low])
+        out[order] = one.astype(np.float64) + two
         return out
 
-    def learn(self, context: np.ndarray, token: np.ndarray, squares: dict[str, np.ndarray], rate: float) -> None:
-        """One step of Adagrad on one minibatch."""
+    def learn(self, strip: np.ndarray, target: np.ndarray, squares: dict[str, np.ndarray], rate: float) -> None:
+        """One step of Adagrad. target: places of the strip to predict."""
+        token = strip[target]
         order = np.argsort(token, kind="stable")
-        context, token = context[order], token[order]
-        x, h = self._hidden(context)
-        of, within, row, n = token // CLASSES, token % CLASSES, np.arange(len(token)), len(token)
+        target, token = target[order], token[order]
+        x = self._inputs(strip)[target - REACH]
+        h = np.tanh(x @ self.w["w1"] + self.w["b1"])
+        row, n = np.arange(len(token)), len(token)
 
         def spread(logits: np.ndarray, right: np.ndarray) -> np.ndarray:
-            e = np.exp(logits)
-            e /= e.sum(1, keepdims=True)
+            e = np.exp(logits, out=logits)
+            e /= (e @ _ONES[: e.shape[1]])[:, None]
             e[row[: len(right)], right] -= 1
-            return e / n
+            return e
 
-        g = {k: np.zeros_like(v) for k, v in self.w.items() if k not in ("w1", "b1", "wc", "bc")}
-        d = spread(h @ self.w["wc"] + self.w["bc"], of)
-        g["wc"], g["bc"], dh = h.T @ d, d.sum(0), d @ self.w["wc"].T
-        cuts = np.searchsorted(of, np.arange(CLASSES + 1))
+        g = {}
+        d = spread(h @ self.w["wc"] + self.w["bc"], _CLASS[token])
+        g["wc"], g["bc"], dh = h.T @ d, _ONES[:n] @ d, d @ self.w["wc"].T
+        cuts = np.searchsorted(token, EDGES)
         for k in np.flatnonzero(np.diff(cuts)):
-            a, b = cuts[k], cuts[k + 1]
-            d = spread(h[a:b] @ self.w["ww"][k] + self.w["bw"][k], within[a:b])
-            g["ww"][k], g["bw"][k] = h[a:b].T @ d, d.sum(0)
-            dh[a:b] += d @ self.w["ww"][k].T
+            a, b, low, high = cuts[k], cuts[k + 1], EDGES[k], EDGES[k + 1]
+            d = spread(h[a:b] @ self.w["ww"][low:high].T + self.w["bw"][low:high], token[a:b] - low)
+            dh[a:b] += d @ self.w["ww"][low:high]
+            for name, v in (("ww", d.T @ h[a:b]), ("bw", _ONES[: b - a] @ d)):
+                self._step(name, v / n, squares, rate, slice(low, high))
         dz = dh * (1 - h * h)
+        dx = np.zeros((len(strip) - 2 * REACH, 2 * NEAR + 1, EMBEDDING), np.float32)
+        dx[target - REACH] = (dz @ self.w["w1"].T).reshape(-1, 2 * NEAR + 1, EMBEDDING)
         g["w1"], g["b1"] = x.T @ dz, dz.sum(0)
-        np.add.at(g["embed"], context.ravel(), (dz @ self.w["w1"].T).reshape(-1, EMBEDDING))
         for k, v in g.items():
-            squares[k] += v * v
-            self.w[k] -= rate * v / (np.sqrt(squares[k]) + 1e-6)
+            self._step(k, v / n, squares, rate)
+        de, m = np.zeros((len(strip), EMBEDDING), np.float32), len(dx)
+        for k, s in enumerate(s for s in range(-NEAR, NEAR + 1) if s):
+            de[REACH + s : REACH + s + m] += dx[:, k]
+        mean = dx[:, -1] / (2 * REACH)
+        de += _sums(np.concatenate([around := np.zeros((2 * REACH, EMBEDDING), np.float32), mean, around]), 2 * REACH + 1)
+        de[REACH : REACH + m] -= mean
+        order = np.argsort(strip, kind="stable")
+        order = order[: np.searchsorted(strip, _NONE, sorter=order)]
+        held = strip[order]
+        head = np.flatnonzero(np.diff(held, prepend=-1))
+        self._step("embed", np.add.reduceat(de[order], head) / n, squares, rate, held[head])
 
+    def _step(self, name: str, gradient: np.ndarray, squares: dict[str, np.ndarray], rate: float, at=slice(None)) -> None:
+        squares[name][at] += gradient * gradient
+        self.w[name][at] -= rate * gradient / (np.sqrt(squares[name][at]) + 1e-6)
 
-def contexts(tokens: np.ndarray) -> np.ndarray:
-    """Two tokens before and two after each token of one document."""
-    padded = np.concatenate([np.full(SIDE, BUCKETS, tokens.dtype), tokens, np.full(SIDE, BUCKETS, tokens.dtype)])
-    n = len(tokens)
-    return np.stack([padded[k : k + n] for k in range(2 * SIDE + 1) if k != SIDE], 1)
 
+# ---------------------------------------------------------------------------------------------
+# Words
 
-def tokenised(documents: DataFrame) -> DataFrame:
-    """doc_id, tokens (packed 16-bit buckets by hash), n_tokens."""
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small_batches(batches):
-            out, n = [], []
-            for _, texts in pieces(x or b"" for x in as_bytes(batch.column(1))):
-                found = Words(texts, SPACED, lower=True)
-                buckets = (found.hashes() >> np.uint64(40)).astype(np.int64) % BUCKETS
-                for low, high in zip(found.first, found.first[1:], strict=False):
-                    out.append(buckets[low:high].astype("<u2").tobytes())
-                    n.append(int(high - low))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary()), pa.array(n, pa.int64())], ["doc_id", "tokens", "n_tokens"])
+def count_words(documents: DataFrame) -> DataFrame:
+    """h (a word's hash), n: how often it stands in the corpus. Tasks add up before the shuffle."""
 
-    kind = documents.schema["doc_id"].dataType.simpleString()
-    return documents.select("doc_id", F.col("text").cast("string")).mapInArrow(cut, f"doc_id {kind}, tokens binary, n_tokens long")
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held_h, held_n, waiting = [], [], 0
 
+        def added() -> tuple[np.ndarray, np.ndarray]:
+            h, at = np.unique(np.concatenate(held_h), return_inverse=True)
+            return h, np.bincount(at, np.concatenate(held_n)).astype(np.int64)
 
-def bucket_counts(tokens: DataFrame) -> np.ndarray:
-    """How often each bucket occurs in the corpus."""
+        for batch in small_batches(batches):
+            for _, texts in pieces(x or b"" for x in as_bytes(batch.column(0))):
+                h, n = np.unique(Words(texts, SPACED, lower=True).hashes(), return_counts=True)
+                held_h.append(h)
+                held_n.append(n)
+                waiting += len(h)
+                if waiting > 2_000_000:
+                    h, n = added()
+                    held_h, held_n, waiting = [h], [n], len(h)
+                    if waiting > 1_000_000:
+                        yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n)], ["h", "n"])
+                        held_h, held_n, waiting = [], [], 0
+        if held_h:
+            h, n = added()
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n)], ["h", "n"])
+
+    return documents.select(F.col("text").cast("string")).mapInArrow(count, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
+
+
+class Vocabulary:
+    """Numbers of words by hash; 0 is ``other``."""
+
+    def __init__(self, hashes: np.ndarray) -> None:
+        """hashes: of the words 1, 2, ... by falling frequency."""
+        order = np.argsort(hashes, kind="stable")
+        self.hashes, self.numbers = hashes[order], (order + 1).astype(np.int64)
+
+    def __call__(self, hashes: np.ndarray) -> np.ndarray:
+        if not len(self.hashes):
+            return np.zeros(len(hashes), np.int64)
+        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        return np.where(self.hashes[at] == hashes, self.numbers[at], 0)
+
+
+def vocabulary(documents: DataFrame, size: int = VOCABULARY) -> tuple[Vocabulary, np.ndarray]:
+    """The vocabulary, and how often each number stands in the corpus."""
+    counted = written(count_words(documents), "words")
+    total = counted.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    top = counted.orderBy(F.desc("n"), "h").limit(size - 1).toArrow()  # a bounded number of rows
+    counts = np.zeros(size, np.int64)
+    counts[1 : top.num_rows + 1] = top["n"].to_numpy()
+    counts[0] = total - counts.sum()
+    discard(documents.sparkSession, counted)
+    return Vocabulary(top["h"].to_numpy().view(np.uint64)), counts
+
+
+def spelling(found: Words, other: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of the bytes and the end of each word in ``other``: the byte before, the byte (256: begin, end), the word's place in ``other``."""
+    length = found.ends[other] - found.starts[other] + 1
+    word = np.repeat(np.arange(len(other)), length)
+    begin = np.cumsum(length) - length
+    within = np.arange(len(word)) - begin[word]
+    at = found.starts[other][word] + within
+    data = np.append(found.data, np.uint8(0)).astype(np.int64)
+    return np.where(within == 0, 256, data[at - 1]), np.where(within == length[word] - 1, 256, data[np.minimum(at, len(data) - 1)]), word
+
+
+# ---------------------------------------------------------------------------------------------
+# The fit
+
+
+def segments(tokens: np.ndarray, segment: int = SEGMENT) -> Iterator[np.ndarray]:
+    """Pieces of one document, with ``REACH`` places around each."""
+    padded = np.concatenate([np.full(REACH, _NONE), tokens, np.full(REACH, _NONE)])
+    for low in range(0, len(tokens), segment):
+        yield padded[low : min(low + segment, len(tokens)) + 2 * REACH]
+
+
+def dealt(documents: DataFrame, words: Vocabulary) -> DataFrame:
+    """kind 0: key (a hash of document and segment), part (the segment's tokens); kind 1: partial counts of byte pairs in other words (key, part: eight bytes)."""
+    held = documents.sparkSession.sparkContext.broadcast(words)
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(BUCKETS, np.int64)
-        for batch in batches:
-            for x in batch.column(0).to_pylist():
-                total += np.bincount(np.frombuffer(x, "<u2"), minlength=BUCKETS)
-        some = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], ["bucket", "n"])
-
-    rows = tokens.select("tokens").mapInArrow(count, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()  # a row for each bucket at most
-    out = np.zeros(BUCKETS, np.int64)
-    out[rows["bucket"].to_numpy()] = rows["n"].to_numpy()
-    return out
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number_of, pairs = held.value, np.zeros(257 * 257, np.int64)
+        for batch in small_batches(batches):
+            ids = batch.column(0).to_numpy().view(np.uint64)
+            keys, parts = [], []
+            for first, texts in pieces(x or b"" for x in as_bytes(batch.column(1))):
+                found = Words(texts, SPACED, lower=True)
+                numbers = number_of(found.hashes())
+                before, byte, _ = spelling(found, np.flatnonzero(numbers == 0))
+                pairs += np.bincount(before * 257 + byte, minlength=257 * 257)
+                for k, (low, high) in enumerate(zip(found.first, found.first[1:], strict=False)):
+                    for turn, part in enumerate(segments(numbers[low:high])):
+                        keys.append((int(ids[first + k]) + turn * 0x9E3779B97F4A7C15) % 2**64)
+                        parts.append(part.astype("<u2").tobytes())
+            yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(keys), np.int32)), pa.array(mix(np.array(keys, np.uint64)).view(np.int64)), pa.array(parts, pa.binary())], ["kind", "key", "part"])
+        some = np.flatnonzero(pairs)
+        yield pa.RecordBatch.from_arrays([pa.array(np.ones(len(some), np.int32)), pa.array(some), pa.array([pairs[k].tobytes() for k in some], pa.binary())], ["kind", "key", "part"])
+
+    return documents.select(F.xxhash64("doc_id", "text"), F.col("text").cast("string")).mapInArrow(cut, "kind int, key long, part binary")
+
+
+def byte_chances(parts: DataFrame) -> np.ndarray:
+    """Log-probability of each byte (256: the end) given the one before (256: the beginning)."""
+    rows = parts.where("kind = 1").select("key", "part").mapInArrow(_numbers, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).toArrow()  # 257 squared rows at most
+    counts = np.full(257 * 257, 0.1)
+    counts[rows["key"].to_numpy()] += rows["n"].to_numpy()
+    counts = counts.reshape(257, 257)
+    return np.log(counts / counts.sum(1, keepdims=True))
+
+
+def _numbers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([int.from_bytes(x, "little") for x in batch.column(1).to_pylist()], pa.int64())], ["key", "n"])
 
 
-def _round(held, number: int, rounds: int, masked: int, batch_size: int, rate: float):
-    """Chunks (chunk, weight, packed weights times weight) of the copy that a task has trained."""
+def _train(held, batch_size: int, rate: float):
+    """From (copy, key, part), sorted: chunks (chunk, weight, packed sums) of the weights of the copies that a task has trained."""
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        flat, number_of = held.value
-        net = Network.unpacked(flat)
-        squares = {k: np.full(v.shape, 1e-4, np.float32) for k, v in net.w.items()}
-        seen, held_c, held_t, waiting, document = 0, [], [], 0, 0
+        start = held.value
+        total, seen_by_all = np.zeros(len(start)), 0
+        now, net, squares, seen, strips, waiting = None, None, {}, 0, [], 0
+
+        def step() -> None:
+            nonlocal strips, waiting, seen
+            strip = np.concatenate(strips)
+            # a segment's outer places belong to its neighbours
+            inner = np.concatenate([np.r_[np.zeros(REACH, bool), np.ones(len(x) - 2 * REACH, bool), np.zeros(REACH, bool)] for x in strips])
+            net.learn(strip, np.flatnonzero(inner), squares, rate)
+            seen += waiting
+            strips, waiting = [], 0
+
+        def close() -> None:
+            nonlocal total, seen_by_all, seen
+            if waiting:
+                step()
+            if seen:
+                total += net.packed().astype(np.float64) * seen
+                seen_by_all += seen
+            seen = 0
+
         for batch in batches:
-            for x in batch.column(0).to_pylist():
-                tokens = number_of[np.frombuffer(x, "<u2")]
-                document += 1
-                # another set of places each round, none of them twice
-                at = np.arange((document * 7 + number * masked // max(1, rounds)) % masked, len(tokens), masked)
-                if len(at):
-                    held_c.append(contexts(tokens)[at])
-                    held_t.append(tokens[at])
-                    waiting += len(at)
+            for copy, part in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), strict=True):
+                if copy != now:
+                    if now is not None:
+                        close()
+                    now, net = copy, Network.unpacked(start)
+                    squares = {k: np.full(v.shape, 1e-4, np.float32) for k, v in net.w.items()}
+                strip = np.frombuffer(part, "<u2").astype(np.int64)
+                strips.append(strip)
+                waiting += len(strip) - 2 * REACH
                 if waiting >= batch_size:
-                    c, t = np.concatenate(held_c), np.concatenate(held_t)
-                    for low in range(0, len(t) - batch_size + 1, batch_size):
-                        net.learn(c[low : low + batch_size], t[low : low + batch_size], squares, rate)
-                        seen += batch_size
-                    rest = len(t) // batch_size * batch_size
-                    held_c, held_t, waiting = [c[rest:]], [t[rest:]], len(t) - rest
-        if waiting:
-            net.learn(np.concatenate(held_c), np.concatenate(held_t), squares, rate)
-            seen += waiting
-        if seen:
-            flat = net.packed().astype(np.float64) * seen
-            parts = [flat[k : k + _CHUNK].tobytes() for k in range(0, len(flat), _CHUNK)]
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(parts)), pa.int32()), pa.array(np.full(len(parts), seen, np.int64)), pa.array(parts, pa.binary())], ["chunk", "weight", "part"])
+                    step()
+        if now is not None:
+            close()
+        if seen_by_all:
+            parts = [total[k : k + _CHUNK].tobytes() for k in range(0, len(total), _CHUNK)]
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(parts)), pa.int32()), pa.array(np.full(len(parts), seen_by_all, np.int64)), pa.array(parts, pa.binary())], ["chunk", "weight", "part"])
 
     return train
 
@@ -215,47 +357,66 @@ def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 _PART = "chunk int, weight long, part binary"
 
 
-def fit(tokens: DataFrame, rounds: int = ROUNDS, masked: int = MASKED, batch_size: int = BATCH, rate: float = RATE) -> tuple[Network, np.ndarray]:
-    """The network, and each bucket's number, from the tokens of all documents."""
-    counts = bucket_counts(tokens)
-    order = np.lexsort((np.arange(BUCKETS), -counts))
-    number_of = np.empty(BUCKETS, np.int64)
-    number_of[order] = np.arange(BUCKETS)
-    net, spark = Network.start(counts[order]), tokens.sparkSession
+def fit(parts: DataFrame, counts: np.ndarray, rounds: int = ROUNDS, copy_tokens: int = COPY_TOKENS, batch_size: int = BATCH, rate: float = RATE) -> Network:
+    """From the segments of all documents (``dealt``); each is learned from in one of the rounds."""
+    net, spark = Network.start(counts), parts.sparkSession
+    copies = max(1, -(-int(counts.sum()) // copy_tokens))
+    turn = F.pmod(F.shiftrightunsigned("key", 32), F.lit(rounds))
     for k in range(rounds):
-        held = spark.sparkContext.broadcast((net.packed(), number_of))
-        copies = tokens.select("tokens").mapInArrow(_round(held, k, rounds, masked, batch_size, rate), _PART)
-        # square root of the number of copies in each sum, so neither step has many rows for one chunk
-        some = copies.withColumn("lane", F.pmod(F.spark_partition_id(), F.lit(32)))
-        near = some.repartition("chunk", "lane").select("chunk", "weight", "part").mapInArrow(_added, _PART)
+        held = spark.sparkContext.broadcast(net.packed())
+        mine = parts.where("kind = 0").where(turn == k).select(F.pmod("key", F.lit(copies)).alias("copy"), "key", "part")
+        sums = mine.repartition("copy").sortWithinPartitions("copy", "key", "part").mapInArrow(_train(held, batch_size, rate), _PART)
+        # square root of the number of tasks in each sum, so neither step has many rows for one chunk
+        near = sums.withColumn("lane", F.pmod(F.spark_partition_id(), F.lit(32))).repartition("chunk", "lane").select("chunk", "weight", "part").mapInArrow(_added, _PART)
         rows = near.repartition("chunk").mapInArrow(_added, _PART).toArrow().sort_by("chunk")
         if rows.num_rows:
             net = Network.unpacked(np.concatenate([np.frombuffer(x, np.float64) / w for x, w in zip(rows["part"].to_pylist(), rows["weight"].to_pylist(), strict=True)]))
-    return net, number_of
+        held.unpersist()
+        release(spark)
+    return net
+
 
+# ---------------------------------------------------------------------------------------------
+# Scores
 
-def score(tokens: DataFrame, net: Network, number_of: np.ndarray) -> DataFrame:
+
+def score(documents: DataFrame, net: Network, words: Vocabulary, chances: np.ndarray) -> DataFrame:
     """doc_id, n_tokens, log_probability (summed), mean_log_probability."""
-    held = tokens.sparkSession.sparkContext.broadcast((net.packed(), number_of))
+    held = documents.sparkSession.sparkContext.broadcast((net.packed(), words, chances))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        flat, numbers = held.value
+        flat, number_of, of_byte = held.value
         own = Network.unpacked(flat)
         for batch in small_batches(batches):
-            out = []
-            for _, group in pieces(batch.column(1).to_pylist(), 1 << 17):
-                each = [numbers[np.frombuffer(x, "<u2")] for x in group]
-                values = np.concatenate([[0.0], np.cumsum(own.log_probability(np.concatenate([contexts(x) for x in each]), np.concatenate(each)))])
-                ends = np.cumsum([len(x) for x in each])
-                out += (values[ends] - values[ends - [len(x) for x in each]]).tolist()
-            n = batch.column(2).to_numpy()
-            means = [x / k if k else None for x, k in zip(out, n, strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(out, pa.float64()), pa.array(means, pa.float64())], ["doc_id", "n_tokens", "log_probability", "mean_log_probability"])
-
-    kind = tokens.schema["doc_id"].dataType.simpleString()
-    return tokens.select("doc_id", "tokens", "n_tokens").mapInArrow(run, f"doc_id {kind}, n_tokens long, log_probability double, mean_log_probability double")
-
-
-def pseudo_likelihood(documents: DataFrame, rounds: int = ROUNDS, masked: int = MASKED) -> DataFrame:
-    tokens = written(tokenised(documents), "tokens")
-    return score(tokens, *fit(tokens, rounds, masked))
+            sums, sizes = np.zeros(batch.num_rows), np.zeros(batch.num_rows, np.int64)
+            for first, texts in pieces((x or b"" for x in as_bytes(batch.column(1))), 1 << 17):
+                found = Words(texts, SPACED, lower=True)
+                numbers, owner = number_of(found.hashes()), found.document_of()
+                sizes[first : first + len(texts)] = np.diff(found.first)
+                other = np.flatnonzero(numbers == 0)
+                before, byte, word = spelling(found, other)
+                sums[first : first + len(texts)] += np.bincount(owner[other][word], of_byte[before, byte], len(texts))
+                # a strip of all documents, with places between them
+                spot = np.arange(len(numbers)) + REACH * (owner + 1)
+                strip = np.full(len(numbers) + REACH * (len(texts) + 1), _NONE)
+                strip[spot] = numbers
+                values = np.concatenate([np.zeros(0), *(own.log_probability(strip[low : low + STRIP + 2 * REACH]) for low in range(0, len(strip) - 2 * REACH, STRIP))])
+                sums[first : first + len(texts)] += np.bincount(owner, values[spot - REACH], len(texts))
+            means = [x / k if k else None for x, k in zip(sums.tolist(), sizes.tolist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes), pa.array(sums), pa.array(means, pa.float64())], ["doc_id", "n_tokens", "log_probability", "mean_log_probability"])
+
+    kind = documents.schema["doc_id"].dataType.simpleString()
+    return documents.select("doc_id", F.col("text").cast("string")).mapInArrow(run, f"doc_id {kind}, n_tokens long, log_probability double, mean_log_probability double")
+
+
+def trained(documents: DataFrame, **options) -> tuple[Network, Vocabulary, np.ndarray]:
+    """What ``score`` needs, from all documents."""
+    words, counts = vocabulary(documents)
+    parts = written(dealt(documents, words), "segments")
+    out = fit(parts, counts, **options), words, byte_chances(parts)
+    discard(documents.sparkSession, parts)
+    return out
+
+
+def pseudo_likelihood(documents: DataFrame, **options) -> DataFrame:
+    return score(documents, *trained(documents, **options))
