@@ -9,7 +9,7 @@ document's posterior odds are its evidence times the prior odds of its path. Sum
 before they are shuffled, so a host with a third of all rows costs no more than another.
 
 Defined results: a null or wordless text has probability 0 and is rejected; a null source is the host ''
-and a null section the path ''; documents without labels take part in all but the fit; labels that are
+and a source without a path has the path '', whose posterior is its host's; a very long text is measured whole, as any other; documents without labels take part in all but the fit; labels that are
 null are ignored, and repeated ones count as often as they stand; without labels of both kinds a head has
 no evidence and rejects nothing; an empty table returns no rows; repeated documents each return a row.
 """
@@ -142,10 +142,9 @@ def host_of(source: str | Column = "source") -> Column:
     return F.coalesce(F.regexp_extract(column, r"^(?:[A-Za-z][A-Za-z0-9+.-]*://)?([^/?#]*)", 1), F.lit(""))
 
 
-def section_of(source: str = "source", otherwise: str = "lang") -> Column:
-    """The first folder of a path; of a source without a path, another column."""
-    folder = F.regexp_extract(F.col(source), r"^(?:[A-Za-z][A-Za-z0-9+.-]*://)?[^/?#]*/([^/?#]+)", 1)
-    return F.coalesce(F.nullif(folder, F.lit("")), F.col(otherwise).cast("string"), F.lit(""))
+def section_of(source: str = "source") -> Column:
+    """The first folder of a path; '' of a source without a path."""
+    return F.coalesce(F.regexp_extract(F.col(source), r"^(?:[A-Za-z][A-Za-z0-9+.-]*://)?[^/?#]*/([^/?#]+)", 1), F.lit(""))
 
 
 def _scored(rows: DataFrame, heads: tuple[Head, Head]) -> DataFrame:
@@ -180,7 +179,8 @@ def site_posteriors(scored: DataFrame) -> tuple[DataFrame, float]:
     strength = _strength(hosts.withColumn("mean", F.col("host_s") / F.col("host_n")), "host_n", "mean", overall)
     both = paths.join(hosts, "host").withColumn("host_posterior", (F.col("host_s") + strength * overall) / (F.col("host_n") + strength))
     below = _strength(both.withColumn("gap", F.col("s") / F.col("n") - F.col("host_posterior") + overall), "n", "gap", overall)
-    posterior = (F.col("s") + below * F.col("host_posterior")) / (F.col("n") + below)
+    shrunk = (F.col("s") + below * F.col("host_posterior")) / (F.col("n") + below)
+    posterior = F.when(F.col("section") == "", F.col("host_posterior")).otherwise(shrunk)  # without a path, the host's is the last level
     return both.select("host", "section", "n", "host_posterior", posterior.alias("path_posterior")), overall
 
 
@@ -208,8 +208,8 @@ def assess(documents: DataFrame, labels: DataFrame, rows: int = LABELLED_ROWS, t
 
 
 def keep_good(documents: DataFrame, labels: DataFrame, rows: int = LABELLED_ROWS, threshold: float = THRESHOLD) -> DataFrame:
-    """The documents that are not rejected, all columns. Evidence is computed once for the sites and once beside the texts, which thus stay where they are unless sites are too many for Spark to broadcast."""
+    """The documents that are not rejected, all columns. Evidence is computed once and written beside the rows, which the few site posteriors then meet."""
     heads = train(documents, labels, rows)
-    sites, overall = site_posteriors(_scored(_rows(documents, ["text"]), heads).select("host", "section", "p"))
-    sites = written(sites, "sites")
-    return _decided(_scored(_rows(documents, documents.columns), heads), sites, overall, threshold).where("keep").select("row.*")
+    scored = written(_scored(_rows(documents, documents.columns), heads), "evidence")
+    sites, overall = site_posteriors(scored.select("host", "section", "p"))
+    return _decided(scored, written(sites, "sites"), overall, threshold).where("keep").select("row.*")

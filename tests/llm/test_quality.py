@@ -59,7 +59,7 @@ def test_posteriors_equal_brute_force(spark):
     paths = {k: (n[k] * mean[k] + s * hosts[k[0]]) / (n[k] + s) for k in n}
     odds = lambda x: x / (1 - x)
     for r in out:
-        assert math.isclose(r.host_posterior, hosts[r.host], rel_tol=1e-6) and math.isclose(r.path_posterior, paths[r.host, r.section], rel_tol=1e-6)
+        assert math.isclose(r.host_posterior, hosts[r.host], rel_tol=1e-6) and math.isclose(r.path_posterior, paths[r.host, r.section] if r.section else hosts[r.host], rel_tol=1e-6)
         after = odds(min(1 - 1e-9, max(1e-9, r.p))) / odds(overall) * odds(r.path_posterior)
         assert math.isclose(r.posterior, after / (1 + after) if r.p else 0, rel_tol=1e-6)
     kept = quality.keep_good(frame, spark.createDataFrame(labels, LABELS))
@@ -74,6 +74,12 @@ def test_sparse_sites_shrink(spark):
     assert got["a"] == pytest.approx(0.9, abs=0.02) and got["b"] < got["c"] < overall
 
 
+def test_very_long_text_is_measured_whole():
+    """A word at the end of two million counts as one at the start does."""
+    dense, buckets = quality.features(b"plain words " * 1_000_000 + b"END")
+    assert dense[8] == pytest.approx(np.log1p(2_000_001)) and len(buckets) == 3
+
+
 def test_awkward_inputs(spark):
     frame = spark.createDataFrame(brute.documents(20), brute.SCHEMA)
     none = spark.createDataFrame([], LABELS)
