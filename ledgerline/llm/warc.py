@@ -8,10 +8,10 @@ same), timestamps in ISO form, record types, and SHA-1 digests of block and payl
 equal payloads one is a response, and the others are revisits that refer to it and carry no payload.
 
 Payloads are shuffled once, and only those of responses; by their unique identifier, so that no payload's
-copies meet. Archives are written by Spark's text writer (a record is a line that ends with CRLF CRLF, as
-WARC demands), so any file system that Spark knows will do, and task commits keep files whole.
+copies meet. Archives hold a gzip member for each record and are cut by bytes. Spark's text writer writes them,
+so any file system that Spark knows will do, and task commits keep files whole.
 
-Defined results: a null html is an empty payload; a null url is ``unknown:-``; a null page_id is the least
+Defined results: a null html is an empty payload; a very long one is a record of its own archive, which must stay under 2 GB; a null url is ``unknown:-``; a null page_id is the least
 and comes back null; rows that repeat a page_id are records of their own, one of which is the response;
 empty volumes and tables give no records; a damaged header or a length beyond the volume's end gives one
 row with ``problem`` and ends that volume; other columns are ignored.
@@ -25,6 +25,7 @@ import hashlib
 import re
 import urllib.parse
 import uuid
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -39,7 +40,9 @@ from .support import as_bytes, new_path, small_batches, written
 FIELDS = {1: "URL IP-address Archive-date Content-type Archive-length", 2: "URL IP-address Archive-date Content-type Result-code Checksum Location Offset Filename Archive-length"}
 PROFILE = "http://netpreserve.org/warc/1.0/revisit/identical-payload-digest"
 VOLUME_BYTES = 4 << 20
-FILE_RECORDS = 2000
+#: Bytes after which an archive is closed; with its last record, it must stay under the 2 GB of one row.
+FILE_BYTES = 32 << 20
+_EMPTY_MEMBER = zlib.compressobj(1, zlib.DEFLATED, 31).flush()
 PAGE_HEADER = "X-Page-Id"
 
 
@@ -224,8 +227,8 @@ def convert(volumes: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     def formatted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor().decompress
-        for batch in small_batches(batches, 256):
-            rows = [r | {"payload": unpack(r["payload"]) if r["payload"] is not None else None} for r in batch.to_pylist()]
+        for batch in small_batches(batches, 64):
+            rows = ({**r, "payload": unpack(r["payload"]) if r["payload"] is not None else None} for r in batch.to_pylist())
             yield pa.RecordBatch.from_arrays([pa.array([warc_record(r) for r in rows], pa.binary())], ["value"])
 
     columns = ["record_id", "kind", "uri", "ip", "date", "mime", "head", "payload_digest", "refers_to", "refers_uri", "refers_date", "payload"]
@@ -233,22 +236,62 @@ def convert(volumes: DataFrame) -> tuple[DataFrame, DataFrame]:
     return records, meta.where("problem is not null").select("record_id", "problem")
 
 
-def write_warc(records: DataFrame, path: str, file_records: int = FILE_RECORDS, compress: bool = True) -> None:
-    """Bytes pass through the text writer unchanged; CRLF CRLF ends each record."""
-    writer = records.select(F.col("value").cast("string")).write.option("lineSep", "\r\n\r\n").option("maxRecordsPerFile", file_records)
-    if compress:
-        writer = writer.option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED")
-    writer.text(path)
+def _bundled(file_bytes: int, compress: bool):
+    """From records, the contents of archives: each is closed once it holds ``file_bytes``."""
+
+    def bundle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in small_batches(batches, 64):
+            for record in batch.column(0).to_pylist():
+                member = record + b"\r\n\r\n"
+                if compress:
+                    deflate = zlib.compressobj(1, zlib.DEFLATED, 31)
+                    member = deflate.compress(member) + deflate.flush()
+                held.append(member)
+                size += len(member)
+                if size >= file_bytes:
+                    yield pa.RecordBatch.from_arrays([pa.array([b"".join(held)], pa.binary())], ["value"])
+                    held, size = [], 0
+        if held:
+            yield pa.RecordBatch.from_arrays([pa.array([b"".join(held)], pa.binary())], ["value"])
+
+    return bundle
+
+
+def write_warc(records: DataFrame, path: str, file_bytes: int = FILE_BYTES, compress: bool = True) -> None:
+    """Archives of about ``file_bytes``, with a gzip member for each record. Bytes pass through the text writer unchanged.
+
+    What the writer puts at the end of each file is an empty gzip member, or else another line end between records.
+    """
+    contents = records.select("value").mapInArrow(_bundled(file_bytes, compress), "value binary")
+    end = _EMPTY_MEMBER if compress else b"\r\n"
+    writer = contents.select(F.col("value").cast("string")).write.option("encoding", "ISO-8859-1").option("lineSep", end.decode("latin-1"))
+    writer.option("maxRecordsPerFile", 1).text(path)
 
 
 # ---------------------------------------------------------------------------------------------
 # Reading
 
 
+def _members(content: bytes) -> Iterator[bytes]:
+    view, at = memoryview(content), 0
+    while at < len(view):
+        inflate, parts = zlib.decompressobj(31), []
+        while not inflate.eof:
+            piece = view[at : at + (1 << 16)]
+            if not len(piece):
+                raise ValueError("a compressed record is cut off")
+            parts.append(inflate.decompress(piece))
+            at += len(piece) - len(inflate.unused_data)
+        yield b"".join(parts)
+
+
 def parse_warc(content: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """Headers (names in lower case) and block of each record, by declared lengths."""
+    """Headers (names in lower case) and block of each record, by declared lengths; of a compressed archive, one gzip member is unpacked at a time."""
     if content[:2] == b"\x1f\x8b":
-        content = gzip.decompress(content)
+        for member in _members(content):
+            yield from parse_warc(member)
+        return
     at = 0
     while (at := content.find(b"WARC/1.", at)) >= 0:
         end = content.index(b"\r\n\r\n", at)

@@ -64,6 +64,25 @@ def test_damaged_and_empty(spark, tmp_path):
     assert warc.page_records(empty, f"{tmp_path}/b").count() == 0
 
 
+@pytest.mark.parametrize("compress", [False, True])
+def test_archives_are_cut_by_bytes(spark, tmp_path, compress):
+    """Records larger than an archive's size stand alone; each record is a gzip member of its own."""
+    sizes = [10, 20_000, 300, 90_000, 50, 20_000, 20_000]
+    body = lambda k: b"".join(hashlib.sha256(b"%d %d" % (k, i)).digest() for i in range(sizes[k] // 32 + 1))
+    volume = warc.ArcVolume("v.arc", 1, "20000101000000")
+    for k in range(len(sizes)):
+        volume.add_page(k, f"http://h/{k}", body(k))
+    records, _ = warc.convert(spark.createDataFrame([("v.arc", volume.content())], "name string, content binary"))
+    warc.write_warc(records.coalesce(1), f"{tmp_path}/out", file_bytes=30_000, compress=compress)
+    files = [p.read_bytes() for p in (tmp_path / "out").glob("part-*")]
+    assert len(files) >= 2 and all(len(x) < 30_000 + 100_000 for x in files)
+    if compress:
+        members = [m for x in files for m in warc._members(x) if m]
+        assert all(m.startswith(b"WARC/1.0") and m.count(b"WARC-Record-ID:") == 1 for m in members) and len(members) == len(sizes) + 1
+    found = {r.page_id: bytes(r.payload) for r in warc.read_warc(spark, f"{tmp_path}/out").collect() if r.record_type == "response"}
+    assert found == {k: body(k) for k in range(len(sizes))}
+
+
 def test_archives_from_files(spark, tmp_path):
     for k, version in enumerate((1, 2)):
         volume = warc.ArcVolume(f"v{k}.arc", version, "19990102030405")
