@@ -9,7 +9,7 @@ Places: ``split`` gives the text between a rule's matches and ``regexp_extract_a
 running sums of their lengths (in code points) are the spans. Matches are leftmost and do not overlap
 within a rule, as in both functions.
 
-Defined results: a null text is an empty text; a null path or doc_id is carried through; rows that repeat
+Defined results: a null text is an empty text; a very long text is a blob like any other, scanned whole; a null path or doc_id is carried through; rows that repeat
 each return a row; an empty table returns none; other columns are ignored.
 """
 
@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .support import new_path, text_or_empty
+from .support import new_path, text_or_empty, written
 
 
 @dataclass(frozen=True)
@@ -42,6 +42,8 @@ RULES = (
     Rule("hex", 1, r"[0-9a-f]{24,}", 0, 24),
 )
 MASK = "[secret]"
+#: Addresses (of 64 characters) that are broadcast at most, to pick the texts to scan.
+BROADCAST_BLOBS = 200_000
 SCANNED = "blob string, kind string, version int"
 FOUND = "blob string, kind string, version int, start long, end long"
 
@@ -99,27 +101,38 @@ def scan(versions: DataFrame, ledger: Ledger, rules: tuple[Rule, ...] = RULES) -
     Returns blob, kind, version, start, end for all blobs in the ledger.
     """
     current = F.array(*(F.struct(F.lit(r.kind).alias("kind"), F.lit(r.version).alias("version")) for r in rules))
-    blobs = versions.select(content_address().alias("blob"), text_or_empty().alias("text")).groupBy("blob").agg(F.first("text").alias("text"))
-    known = ledger.scanned()
+    texts = versions.select(content_address().alias("blob"), text_or_empty().alias("text"))
+    addresses, known = texts.select("blob").distinct(), ledger.scanned()
     if known.isEmpty():
-        unseen = blobs.withColumn("pairs", current)
+        lacking = addresses.withColumn("pairs", current)
     else:
+        # addresses meet the ledger before any text is moved
         seen = known.groupBy("blob").agg(F.collect_set(F.struct("kind", "version")).alias("seen"))
-        lacking = F.array_except(current, F.coalesce("seen", F.array().cast("array<struct<kind:string,version:int>>")))
-        unseen = blobs.join(seen, "blob", "left").withColumn("pairs", lacking).where(F.size("pairs") > 0)
-    unseen = unseen.select("blob", "text", F.col("pairs.kind").alias("kinds"))
+        left = F.array_except(current, F.coalesce("seen", F.array().cast("array<struct<kind:string,version:int>>")))
+        lacking = written(addresses.join(seen, "blob", "left").select("blob", left.alias("pairs")).where(F.size("pairs") > 0), "unseen")
+        few = lacking.limit(BROADCAST_BLOBS + 1).count() <= BROADCAST_BLOBS
+        texts = texts.join(F.broadcast(lacking.select("blob")) if few else lacking.select("blob"), "blob", "left_semi")
+    blobs = texts.groupBy("blob").agg(F.first("text").alias("text"))
+    unseen = blobs.withColumn("kinds", F.array(*(F.lit(r.kind) for r in rules))) if known.isEmpty() else blobs.join(lacking, "blob").select("blob", "text", F.col("pairs.kind").alias("kinds"))
     ledger.append("findings", find(unseen, rules))
-    fresh = versions.select(content_address().alias("blob")).distinct().withColumn("pair", F.explode(current)).select("blob", "pair.*")
-    ledger.append("scanned", fresh.join(known, ["blob", "kind", "version"], "left_anti").select("blob", "kind", F.col("version").cast("int")))
+    ledger.append("scanned", lacking.select("blob", F.explode("pairs").alias("pair")).select("blob", "pair.kind", F.col("pair.version").cast("int").alias("version")))
     wanted = F.lit(False)
     for rule in rules:
         wanted = wanted | ((F.col("kind") == rule.kind) & (F.col("version") == rule.version))
     return ledger.findings().where(wanted)
 
 
-def spans(documents: DataFrame, ledger: Ledger | None = None, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """One row per document: doc_id, n_<kind> for each rule, spans (kind:start:end by start, then rule order, comma-joined)."""
-    found = scan(documents, ledger or Ledger(documents.sparkSession), rules)
+def spans(documents: DataFrame, ledger: Ledger | None = None, rules: tuple[Rule, ...] = RULES, increments: int = 1) -> DataFrame:
+    """One row per document: doc_id, n_<kind> for each rule, spans (kind:start:end by start, then rule order, comma-joined).
+
+    With ``increments``, the ledger first meets the documents up to a quantile of doc_id, as they would arrive, and
+    each later scan (the last is of them all) takes only blobs that it lacks.
+    """
+    ledger = ledger or Ledger(documents.sparkSession)
+    cuts = documents.approxQuantile("doc_id", [k / increments for k in range(1, increments)], 0.05) if increments > 1 else []
+    for cut in cuts:
+        scan(documents.where(F.col("doc_id") <= int(cut)), ledger, rules)
+    found = scan(documents, ledger, rules)
     rank = F.array_position(F.array(*(F.lit(r.kind) for r in rules)), F.col("kind"))
     counts = [F.count_if(F.col("kind") == r.kind).alias(f"n_{r.kind}") for r in rules]
     parts = F.array_sort(F.collect_list(F.struct("start", rank.alias("rank"), "end", "kind")))

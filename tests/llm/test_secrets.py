@@ -1,5 +1,7 @@
 import re
 
+import pytest
+
 from ledgerline.llm import secrets
 
 from . import brute
@@ -48,6 +50,18 @@ def test_ledger_scans_only_what_is_new(spark):
     assert again == out and ledger.scanned().count() == 11
 
 
+@pytest.mark.parametrize("blobs", [200_000, 0])
+def test_increments_give_the_same(spark, monkeypatch, blobs):
+    """Whether the addresses to scan are broadcast or joined."""
+    monkeypatch.setattr(secrets, "BROADCAST_BLOBS", blobs)
+    frame = spark.createDataFrame(rows(), brute.SCHEMA)
+    ledger = secrets.Ledger(spark)
+    one, three = (sorted(map(str, secrets.spans(frame, book, increments=n).collect())) for book, n in ((None, 1), (ledger, 3)))
+    assert one == three
+    blobs = frame.select(secrets.content_address()).distinct().count()
+    assert ledger.scanned().count() == ledger.scanned().distinct().count() == 3 * blobs
+
+
 def test_redaction_and_empty(spark):
     frame = spark.createDataFrame(rows(), brute.SCHEMA)
     out = secrets.redact(frame)
