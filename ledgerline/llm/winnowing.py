@@ -210,7 +210,8 @@ def _by_shuffle(documents: DataFrame, table: DataFrame, gram: int) -> DataFrame:
 def _held(benchmark: DataFrame, window: int, gram: int, broadcast_bytes: int):
     """The windows, and their broadcast index where it is small enough (else None)."""
     table = written(windows(benchmark, window, gram), "windows")
-    if table.count() * ROW_BYTES > broadcast_bytes:
+    size = table.agg(F.sum(F.octet_length(F.coalesce(F.col("item_id").cast("string"), F.lit(""))) + ROW_BYTES)).first()[0]
+    if (size or 0) > broadcast_bytes:
         return table, None
     return table, benchmark.sparkSession.sparkContext.broadcast(index_of(table.toArrow(), gram))
 
