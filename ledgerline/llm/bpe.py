@@ -240,8 +240,8 @@ def encode(documents: DataFrame, ranks_path: str | None = None, pattern: str | N
     return documents.select("doc_id", F.col("text").cast("string")).mapInArrow(coded, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
-def with_tokens(documents: DataFrame, ranks_path: str | None = None, pattern: str | None = None, column: str = "token_ids") -> DataFrame:
-    """All columns, and the ids of ``text`` as an array of int (a column of that name is replaced)."""
+def with_tokens(documents: DataFrame, ranks_path: str | None = None, pattern: str | None = None, column: str = "token_ids", verify: bool = False) -> DataFrame:
+    """All columns, and the ids of ``text`` as an array of int (a column of that name is replaced). With ``verify``, the ids are decoded, and a difference from the text raises."""
     held = _tables(documents, ranks_path, pattern)
     columns = [c for c in documents.columns if c != column]
     rows = documents.select(F.struct(*columns).alias("row"))
@@ -252,6 +252,8 @@ def with_tokens(documents: DataFrame, ranks_path: str | None = None, pattern: st
             done = 0
             for _, group in chunks([x or "" for x in batch.column(0).field("text").to_pylist()]):
                 ids = encoder.encode(group)
+                if verify and (wrong := sum(encoder.tables.decode(np.frombuffer(x, "<u4")) != text.encode() for x, text in zip(ids, group, strict=True))):
+                    raise ValueError(f"{wrong} texts do not come back from their ids")
                 offsets = np.concatenate([[0], np.cumsum([len(x) // 4 for x in ids])]).astype(np.int32)
                 values = pa.array(np.frombuffer(b"".join(ids), "<i4"))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(done, len(group)), pa.ListArray.from_arrays(pa.array(offsets), values)], ["row", "ids"])

@@ -9,13 +9,17 @@ Copies are no concern: equal fingerprints are one node. Keys met by very many fi
 pairs of blocks, so that no task holds such a key's rows together. Only a spanning forest of the links
 leaves a task, never all pairs.
 
-Defined results: a null or wordless text has the fingerprint zero, linked like any other; a null doc_id
+``similar_groups`` finds near copies in another sense, by the Jaccard similarity of their shingle sets, which at 0.8
+differ in some 15 % of the bits. Fingerprints there have as many segments as it takes to find such a pair.
+
+Defined results: a very long text is hashed block by block; a null or wordless text has the fingerprint zero, linked like any other; a null doc_id
 is carried through and is never a component's id unless the component has no other; repeated rows each
 return a row; an empty table returns none; other columns are ignored.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 
@@ -25,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .support import Forest, as_bytes, components, small_batches, written
+from .support import SPACED, Forest, Words, as_bytes, components, discard, mix, pieces, run_hashes, small_batches, written
 
 SHINGLE = 4
 DISTANCE = 4
@@ -34,6 +38,8 @@ SEED = 42
 SEGMENTS = ((0, 21), (21, 42), (42, 64))
 #: Fingerprints under one key that one task compares; keys with more are dealt as pairs of blocks.
 BUCKET_ROWS = 4096
+#: For near copies by shingle sets: words of a shingle, Jaccard similarity, the chance at which a pair right at that similarity is found (above it, it rises fast), and what is granted to the second fingerprint.
+SIMILAR_SHINGLE, SIMILARITY, FOUND, SIGMAS = 5, 0.8, 0.95, 4
 _SPACE = re.compile(rb"[\x09-\x0d\x20]")
 
 
@@ -105,8 +111,11 @@ def _near(keys: np.ndarray, values: np.ndarray, distance: int) -> tuple[np.ndarr
     return np.concatenate([none, *left]), np.concatenate([none, *right])
 
 
-def _linker(distance: int, limit: int | None):
-    """Over rows sorted by part: kind 0 rows are edges (a, b), kind 1 rows belong to a part of over ``limit`` rows."""
+def _linker(distance: int, limit: int | None, closest: bool = False):
+    """Over rows sorted by part: kind 0 rows are edges (a, b), kind 1 rows belong to a part of over ``limit`` rows.
+
+    Edges are a forest of all links that a task has met; with ``closest``, one for each batch of parts, grown from the least distance.
+    """
 
     def rows(kind: int, a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(np.full(len(a), kind, np.int32)), pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], ["kind", "a", "b"])
@@ -114,9 +123,19 @@ def _linker(distance: int, limit: int | None):
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forest, held_k, held_v, over = Forest(), np.zeros(0, np.int64), np.zeros(0, np.uint64), None
 
-        def take(keys: np.ndarray, values: np.ndarray) -> None:
-            for a, b in {*zip(*(x.view(np.int64).tolist() for x in _near(keys, values, distance)), strict=True)}:
-                forest.join(a, b)
+        def take(keys: np.ndarray, values: np.ndarray) -> Iterator[pa.RecordBatch]:
+            one, two = _near(keys, values, distance)
+            if not closest:
+                for a, b in {*zip(*(x.view(np.int64).tolist() for x in (one, two)), strict=True)}:
+                    forest.join(a, b)
+                return
+            tree, kept = Forest(), []
+            order = np.argsort(np.bitwise_count(one ^ two), kind="stable")
+            for a, b in zip(one[order].view(np.int64).tolist(), two[order].view(np.int64).tolist(), strict=True):
+                if tree.root(a) != tree.root(b):
+                    tree.join(a, b)
+                    kept.append((a, b))
+            yield rows(0, *(np.array([x[k] for x in kept], np.int64) for k in (0, 1)))
 
         for batch in batches:
             keys = np.concatenate([held_k, batch.column(0).to_numpy()])
@@ -140,11 +159,11 @@ def _linker(distance: int, limit: int | None):
             held_k, held_v = keys[last:].copy(), values[last:].copy()
             whole = ~large
             whole[last:] = False
-            take(keys[whole], values[whole])
+            yield from take(keys[whole], values[whole])
             if len(forest.parent) > 500_000:
                 yield rows(0, *(np.array(x, np.int64) for x in forest.edges()))
                 forest = Forest()
-        take(held_k, held_v)
+        yield from take(held_k, held_v)
         yield rows(0, *(np.array(x, np.int64) for x in forest.edges()))
 
     return link
@@ -156,6 +175,11 @@ def links(nodes: DataFrame, distance: int = DISTANCE, bucket_rows: int = BUCKET_
         raise ValueError("three segments with one wildcard serve distances up to 5")
     schema = "kind int, a long, b long"
     found = written(variants(nodes).repartition("part").sortWithinPartitions("part").select("part", "fp").mapInArrow(_linker(distance, bucket_rows), schema), "links")
+    return _dealt(found, distance, bucket_rows)
+
+
+def _dealt(found: DataFrame, distance: int, bucket_rows: int, closest: bool = False) -> DataFrame:
+    """src, dst: the edges that a linker found, and those among the rows of crowded parts, dealt as pairs of blocks."""
     edges = found.where("kind = 0").select(F.col("a").alias("src"), F.col("b").alias("dst"))
     crowded = found.where("kind = 1").select(F.col("a").alias("part"), F.col("b").alias("fp"))
     if crowded.isEmpty():
@@ -165,7 +189,7 @@ def links(nodes: DataFrame, distance: int = DISTANCE, bucket_rows: int = BUCKET_
     dealt = crowded.join(sizes, "part").withColumn("own", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     cell = dealt.select(F.xxhash64("part", F.least("own", "other"), F.greatest("own", "other")).alias("part"), "fp")
-    more = cell.repartition("part").sortWithinPartitions("part").mapInArrow(_linker(distance, None), schema)
+    more = cell.repartition("part").sortWithinPartitions("part").mapInArrow(_linker(distance, None, closest), "kind int, a long, b long")
     return edges.unionByName(more.select(F.col("a").alias("src"), F.col("b").alias("dst")))
 
 
@@ -180,11 +204,130 @@ def near_duplicates(documents: DataFrame, distance: int = DISTANCE, shingle: int
     return marked.join(classes, "fp").select("doc_id", "fp", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+# ---------------------------------------------------------------------------------------------
+# Similarity of shingle sets
+
+
+def chance(bits: int, similarity: float) -> float:
+    """That ``bits`` bits of two fingerprints differ in one at most, for sets of that Jaccard similarity (of like size)."""
+    flip = math.acos(2 * similarity / (1 + similarity)) / math.pi
+    return (1 - flip) ** bits + bits * flip * (1 - flip) ** (bits - 1)
+
+
+def plan(nodes: int, similarity: float, found: float) -> tuple[int, int]:
+    """Bits of a segment, which grow with the nodes so that unlike ones seldom meet, and how many segments it takes to find a pair at the threshold with the chance ``found``."""
+    bits = min(30, max(16, math.ceil(math.log2(max(1, nodes))) + 2))
+    return bits, math.ceil(math.log(1 - found) / math.log(1 - chance(bits, similarity)))
+
+
+def shingle_sets(documents: DataFrame, shingle: int) -> DataFrame:
+    """doc_id, grams: the distinct hashes of a text's shingles (packed, 64 bits, sorted); of fewer words, of the whole sequence."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small_batches(batches):
+            out = []
+            for _, texts in pieces(x or b"" for x in as_bytes(batch.column(1))):
+                found = Words(texts, SPACED, lower=True)
+                words = found.hashes(0)
+                grams = run_hashes(words, shingle)
+                for low, high in zip(found.first, found.first[1:], strict=False):
+                    if high - low >= shingle:
+                        own = grams[low : high - shingle + 1]
+                    else:
+                        own = run_hashes(words[low:high], int(high - low)) if high > low else words[:0]
+                    out.append(np.unique(own).tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], ["doc_id", "grams"])
+
+    return documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(cut, "doc_id long, grams binary")
+
+
+def wide_fingerprint(grams: np.ndarray, words: int) -> np.ndarray:
+    """So many 64-bit words; each bit is the majority of all shingles, each shingle's hash being mixed anew for each word."""
+    votes = np.zeros(64 * words, np.int64)
+    for low in range(0, len(grams), 1 << 13):
+        mixed = mix(grams[low : low + (1 << 13), None] + np.arange(1, words + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+        votes += np.unpackbits(mixed.view(np.uint8), axis=1, bitorder="little").sum(0, dtype=np.int32)
+    return np.packbits(2 * votes > len(grams), bitorder="little").view(np.uint64)
+
+
+def _keyed(bits: int, segments: int):
+    """From (node, grams): node, fp (64 bits to verify by), keys (one for each segment and wildcard)."""
+    words = -(-bits * segments // 64)
+
+    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        weights = np.uint64(1) << np.arange(bits, dtype=np.uint64)
+        number = (np.arange(segments, dtype=np.uint64)[:, None] * np.uint64(64) + np.arange(bits, dtype=np.uint64)) << np.uint64(32)
+        for batch in small_batches(batches):
+            fps, keys = [], []
+            for x in batch.column(1).to_pylist():
+                wide = wide_fingerprint(np.frombuffer(x, np.uint64), words + 1)
+                flat = np.unpackbits(wide[1:].view(np.uint8), bitorder="little")[: bits * segments].reshape(segments, bits)
+                value = flat @ weights
+                keys.append((value[:, None] & ~weights | number).ravel().view(np.int64))
+                fps.append(wide[0])
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(keys) + 1, dtype=np.int32) * bits * segments), pa.array(np.concatenate([np.zeros(0, np.int64), *keys])))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.array(fps, np.uint64).view(np.int64)), lists], ["node", "fp", "keys"])
+
+    return keyed
+
+
+def _alike(similarity: float):
+    """Pairs (src, dst, a, b: shingle sets) of at least that Jaccard similarity."""
+
+    def alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small_batches(batches):
+            keep = []
+            for a, b in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
+                one, two = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
+                both = len(np.intersect1d(one, two, assume_unique=True))
+                keep.append(both >= similarity * (len(one) + len(two) - both))
+            yield batch.filter(pa.array(keep, pa.bool_())).select([0, 1])
+
+    return alike
+
+
+def similar_groups(documents: DataFrame, shingle: int = SIMILAR_SHINGLE, similarity: float = SIMILARITY, found: float = FOUND, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+    """doc_id, component_id: groups of documents joined by pairs whose sets of shingles have at least that Jaccard similarity.
+
+    Copies are one node. Candidates agree, but for one bit, in a segment of a wide fingerprint, and in a second
+    fingerprint of 64 bits differ no more than pairs at the threshold do (``SIGMAS`` standard deviations are
+    granted); then the sets themselves are compared. Where many candidates meet under one key, they are joined by the closest first, and only
+    a forest of them goes on to that comparison.
+    """
+    spark = documents.sparkSession
+    sets = written(shingle_sets(documents, shingle).withColumn("node", F.xxhash64("grams")), "shingles")
+    nodes = written(sets.groupBy("node").agg(F.min("doc_id").alias("least"), F.first("grams").alias("grams")), "nodes")
+    bits, segments = plan(nodes.count(), similarity, found)
+    flip = math.acos(2 * similarity / (1 + similarity)) / math.pi
+    distance = math.floor(64 * flip + SIGMAS * math.sqrt(64 * flip * (1 - flip)))
+    marked = written(nodes.select("node", "grams").mapInArrow(_keyed(bits, segments), "node long, fp long, keys array<long>"), "marks")
+    kinds = "kind int, a long, b long"
+    classes = written(marked.groupBy("fp").agg(F.min("node").alias("head")), "classes")
+    keys = marked.join(classes.select(F.col("head").alias("node")), "node").select("fp", F.explode("keys").alias("part"))
+    met = written(keys.select("fp", "part").repartition("part").sortWithinPartitions("part").select("part", "fp").mapInArrow(_linker(distance, bucket_rows, True), kinds), "met")
+    near = _dealt(met, distance, bucket_rows, True).select(F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst")).distinct()
+    head = lambda c: classes.select(F.col("fp").alias(c), F.col("head").alias(f"{c}_node"))
+    pairs = near.join(head("src"), "src").join(head("dst"), "dst").select(F.col("src_node").alias("src"), F.col("dst_node").alias("dst"))
+    # texts with the same fingerprint are compared with the one that stands for it
+    same = marked.select("node", "fp").join(classes, "fp").where("node <> head").select(F.col("node").alias("src"), F.col("head").alias("dst"))
+    pairs = written(pairs.unionByName(same), "pairs")
+    discard(spark, marked, met)
+    held = lambda c, d: nodes.select(F.col("node").alias(c), F.col("grams").alias(d))
+    edges = pairs.join(held("src", "a"), "src").join(held("dst", "b"), "dst").select("src", "dst", "a", "b").mapInArrow(_alike(similarity), "src long, dst long")
+    reached = components(written(edges, "alike")).withColumnRenamed("component", "root")
+    grouped = nodes.select("node", "least").join(reached, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    heads = grouped.groupBy("root").agg(F.min("least").alias("component_id"))
+    named = written(grouped.join(heads, "root").select("node", "component_id"), "named")
+    out = written(sets.select("doc_id", "node").join(named, "node").select("doc_id", "component_id"), "groups")
+    discard(spark, sets, nodes, classes, pairs, named)
+    return out
+
+
 def deduplicate(documents: DataFrame, **options) -> DataFrame:
-    """One document of each component stays: that with the smallest doc_id (of rows that repeat it, one).
+    """One document of each group of ``similar_groups`` stays: that with the smallest doc_id.
 
-    Rows without a doc_id stay, as no group can name them.
+    Of rows that repeat a doc_id, one stays. Rows without a doc_id stay, as no group can name them.
     """
-    kept = near_duplicates(documents.select("doc_id", "text"), **options).where("doc_id = component_id").select("doc_id").distinct()
+    kept = similar_groups(documents.select("doc_id", "text"), **options).where("doc_id = component_id").select("doc_id").distinct()
     named = documents.where("doc_id is not null").dropDuplicates(["doc_id"]).join(kept, "doc_id", "left_semi")
     return named.select(documents.columns).unionByName(documents.where("doc_id is null"))

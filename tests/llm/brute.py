@@ -52,5 +52,15 @@ def lowered(text):
     return re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
 
 
+def shingles(text, size=5):
+    """Of lowered words; of fewer, the whole sequence."""
+    w = lowered(text).encode().split()
+    return {tuple(w[i : i + size]) for i in range(len(w) - size + 1)} if len(w) >= size else {tuple(w)} - {()}
+
+
+def jaccard(a, b):
+    return len(a & b) / len(a | b) if a | b else 1.0
+
+
 def words9(text):
     return re.findall("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", lowered(text))

@@ -7,7 +7,7 @@ import public_tokenizers
 import tiktoken
 
 import corpus_pipeline
-from ledgerline.llm import bpe, quality, simhash
+from ledgerline.llm import bpe, quality
 
 from . import brute
 from .test_quality import LABELS, corpus
@@ -30,8 +30,8 @@ def test_equals_plain_stages(spark, tmp_path):
 
     keep = {(r.doc_id): r.keep for r in quality.assess(frame, label_frame).collect()}
     left = [r for r in rows if keep[r[0]]]
-    prints = [simhash.fingerprint((r[1] or "").encode()) for r in left]
-    pairs = [(a, b) for a in range(len(left)) for b in range(a + 1, len(left)) if (prints[a] ^ prints[b]).bit_count() <= 4]
+    sets = [brute.shingles(r[1]) for r in left]
+    pairs = [(a, b) for a in range(len(left)) for b in range(a + 1, len(left)) if brute.jaccard(sets[a], sets[b]) >= 0.8]
     group, seen, stay = brute.roots(len(left), pairs), set(), []
     for r, g in zip(left, group, strict=True):
         least = min((left[j][0] for j in range(len(left)) if group[j] == g and left[j][0] is not None), default=None)

@@ -1,3 +1,6 @@
+import random
+
+import numpy as np
 from itertools import combinations
 
 import pytest
@@ -49,4 +52,53 @@ def test_one_stays_of_each_group(spark):
     frame = spark.createDataFrame(brute.documents(), brute.SCHEMA)
     kept = simhash.deduplicate(frame)
     assert kept.columns == frame.columns
-    assert sorted(r.doc_id for r in kept.collect()) == sorted({r.component_id for r in simhash.near_duplicates(frame).collect()})
+    assert sorted(r.doc_id for r in kept.collect()) == sorted({r.component_id for r in simhash.similar_groups(frame).collect()})
+
+
+def near_copies(seed=4):
+    """Texts and copies of them with words changed here and there, or a stretch replaced; some are just below the threshold."""
+    r = random.Random(seed)
+    words = lambda k: ["".join(r.choice("abcdefghijk") for _ in range(5)) for _ in range(k)]
+    texts = [None, "", " \t", "one two", "One TWO", "one two three"]
+    for _ in range(40):
+        base = words(r.randint(60, 300))
+        texts.append(" ".join(base))
+        for k in range(r.randint(0, 3)):
+            copy = list(base)
+            if k % 2:
+                at = r.randrange(len(copy) - 20)
+                copy[at : at + len(copy) // r.choice([12, 20, 40])] = words(4)
+            else:
+                for _ in range(max(1, len(copy) // r.choice([25, 50, 80, 120]))):
+                    copy[r.randrange(len(copy))] = r.choice(words(1))
+            texts.append(" ".join(copy))
+    return [(i, t) for i, t in enumerate(texts)] + [(5000 + i, t) for i, t in enumerate(texts[10:20])] + [(None, texts[12])]
+
+
+def test_similar_groups_equal_brute_force(spark):
+    rows = near_copies()
+    sets = [brute.shingles(t) for _, t in rows]
+    pairs = [(a, b) for a in range(len(rows)) for b in range(a + 1, len(rows)) if brute.jaccard(sets[a], sets[b]) >= 0.8]
+    assert any(0.8 <= brute.jaccard(sets[a], sets[b]) < 0.9 for a, b in pairs)
+    groups = brute.roots(len(rows), pairs)
+    least = [min((rows[j][0] for j in range(len(rows)) if groups[j] == g and rows[j][0] is not None), default=None) for g in groups]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    for bucket_rows in (simhash.BUCKET_ROWS, 4):
+        got = sorted(((r.doc_id, r.component_id) for r in simhash.similar_groups(frame, found=0.9999, bucket_rows=bucket_rows).collect()), key=str)
+        assert got == sorted(zip([r[0] for r in rows], least, strict=True), key=str)
+    kept = [r.doc_id for r in simhash.deduplicate(frame, found=0.9999).collect()]
+    assert sorted(map(str, kept)) == sorted(str(r[0]) for r, x in zip(rows, least, strict=True) if r[0] is None or r[0] == x)
+    assert simhash.similar_groups(frame.limit(0)).count() == 0
+
+
+def test_chance_of_a_meeting():
+    """Fingerprints of sets at the threshold meet as often as the plan reckons."""
+    r = np.random.default_rng(1)
+    bits, segments = 20, 200
+    near = []
+    for _ in range(40):
+        grams = r.integers(0, 1 << 63, 900).astype(np.uint64)
+        a, b = (simhash.wide_fingerprint(x, bits * segments // 64 + 1) for x in (grams[:810], grams[90:]))  # Jaccard 0.8
+        differ = np.unpackbits((a ^ b).view(np.uint8))[: bits * segments].reshape(segments, bits).sum(1)
+        near.append(np.mean(differ <= 1))
+    assert abs(np.mean(near) - simhash.chance(bits, 0.8)) < 0.02
