@@ -14,8 +14,10 @@ count, are laid end to end (as 16-byte symbols aligned to the anchor) in texts o
 texts get suffix arrays. Suffixes that share 24 symbols are neighbours there; which of the sixteen
 400-byte strings around those 384 bytes are equal is then checked byte for byte.
 
-Anchors with very many distinct contexts (``CONTEXTS``) would make one task's text too long. Their strings
-are counted by 128-bit hashes in a plain shuffle instead, which Spark aggregates before it sends them.
+Anchors with very many distinct contexts (``CONTEXTS``) would make one task's text too long. Their contexts
+are cut into runs of strings whose starts lie in one range relative to the anchor; equal strings agree in the
+bytes that all strings of a range share, so runs are dealt by those, and each deal gets its suffix arrays. Ranges
+shrink where a deal is still too large. So a passage in any number of documents goes the same way.
 
 Defined results: a null text is an empty one; texts under 400 bytes lose nothing; matches never cross
 documents; a null doc_id is carried through; repeated rows each return a row, and repeat each other's
@@ -24,6 +26,7 @@ strings; an empty table returns none; other columns are ignored.
 
 from __future__ import annotations
 
+import hashlib
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -31,7 +34,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from .support import as_bytes, discard, mix, pieces, powers, release, small_batches, text_or_empty, written
 
@@ -40,6 +42,8 @@ GRAM = 16
 SYMBOL = 16
 #: Distinct contexts under one anchor that one task takes.
 CONTEXTS = 16_384
+#: Starts in the first range of a crowded anchor's runs.
+RUN = 16
 #: Symbols of a text that gets a suffix array (one anchor's contexts stay together).
 SYMBOLS = 150_000
 
@@ -313,23 +317,55 @@ def _sorted_contexts(length: int, symbols: int):
     return search
 
 
-def _counted(contexts: DataFrame, length: int) -> DataFrame:
-    """The same as _sorted_contexts, for anchors with too many contexts for one task: strings are counted by 128 bits of hash."""
+_RUN = "g long, d long, h long, c long, n long, before long, after long, context binary"
 
-    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small_batches(batches, 256):
-            for row in batch.to_pylist():
-                data = np.frombuffer(row["context"], np.uint8)
-                low = np.arange(row["before"] + row["after"] + 1)
-                hashes = [pa.array(_span(_sums(data, k), low, low + length, k).view(np.int64)) for k in (0, 1)]
-                same = [pa.array(np.full(len(low), row[k], np.int64)) for k in ("h", "c", "n")]
-                yield pa.RecordBatch.from_arrays([*same, pa.array(low - row["before"]), *hashes], ["h", "c", "n", "place", "one", "two"])
 
-    rows = written(contexts.mapInArrow(spread, "h long, c long, n long, place long, one long, two long"), "strings")
-    often = rows.groupBy("one", "two").agg(F.sum("n").alias("times")).where("times > 1").select("one", "two")
-    hits = rows.join(often, ["one", "two"], "left_semi")
-    run = F.col("place") - F.row_number().over(Window.partitionBy("h", "c").orderBy("place"))
-    return hits.withColumn("run", run).groupBy("h", "c", "run").agg(F.min("place").alias("first"), F.max("place").alias("last")).select("h", "c", "first", "last")
+def _split(width: int, length: int):
+    """Contexts (h, c, n, before, after, context) cut into runs of strings whose starts lie in one range of ``width`` places relative to the anchor.
+
+    Equal strings lie in the same range and agree from its last start to its first end, so a run goes (g) where
+    all runs with the same bytes there go. d tells unlike runs apart.
+    """
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        short = lambda *parts: int.from_bytes(hashlib.blake2b(b"|".join(parts), digest_size=8).digest(), "little", signed=True)
+        for batch in small_batches(batches, 128):
+            out: list[tuple] = []
+            for h, c, n, before, after, context in zip(*(column.to_pylist() for column in batch.columns), strict=True):
+                for number in range(-before // width, after // width + 1):
+                    first, last = number * width, number * width + width - 1
+                    low, high = max(-before, first), min(after, last)
+                    own = context[before + low : before + high + length]
+                    group = short(b"%d %d" % (h, number), context[before + last : before + first + length])
+                    out.append((group, short(b"%d %d" % (low, high), own), h, c, n, -low, high, own))
+            kinds = [pa.int64()] * 7 + [pa.binary()]
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], kind) for k, kind in enumerate(kinds)], [x.split()[0] for x in _RUN.split(", ")])
+
+    return split
+
+
+def _in_runs(contexts: DataFrame, length: int, most: int, symbols: int, width: int = RUN) -> DataFrame:
+    """The same as _sorted_contexts, for anchors with too many contexts for one task: their runs are sorted, by ranges that shrink until no more than ``most`` unlike runs meet (of one string each, only equal ones do)."""
+    runs = written(contexts.select("h", "c", "n", "before", "after", "context").mapInArrow(_split(width, length), _RUN), "runs")
+    one = [F.first(x).alias(x) for x in ("before", "after", "context")]
+    distinct = written(runs.groupBy("g", "d").agg(F.least(F.sum("n"), F.lit(2).cast("long")).alias("n"), *one), "distinct")
+    groups = distinct.groupBy("g").agg(F.sum("n").alias("times"), F.count("*").alias("kinds")).where("times > 1").select("g", "kinds")
+    met = distinct.join(groups, "g").select(F.col("g").alias("h"), F.col("d").alias("c"), "n", "before", "after", "context", "kinds")
+    if width == 1:
+        marks = met.where("n > 1").select("h", "c", (-F.col("before")).alias("first"), F.col("after").alias("last"))
+    else:
+        marks = _solved(met.where(F.col("kinds") <= most), length, symbols)
+        crowded = met.where(F.col("kinds") > most)
+        if not crowded.isEmpty():
+            marks = marks.unionByName(_in_runs(crowded, length, most, symbols, width // 4))
+    of = runs.select(F.col("g").alias("run_h"), F.col("d").alias("run_c"), "h", "c")
+    found = marks.select(F.col("h").alias("run_h"), F.col("c").alias("run_c"), "first", "last")
+    return of.join(found, ["run_h", "run_c"]).select("h", "c", "first", "last")
+
+
+def _solved(contexts: DataFrame, length: int, symbols: int) -> DataFrame:
+    together = contexts.repartition("h").sortWithinPartitions("h").select("h", "c", "n", "before", "after", "context")
+    return together.mapInArrow(_sorted_contexts(length, symbols), _FOUND)
 
 
 def _cover(length: int):
@@ -383,10 +419,10 @@ def cleaned_texts(documents: DataFrame, length: int = LENGTH, contexts: int = CO
     cut = written(asked.unionByName(given).repartition("key").sortWithinPartitions("key", "kind").mapInArrow(_cut(length), "h long, c long, n long, before long, after long, context binary"), "cut")
     release(spark)
     crowded = wanted.where(F.col("kinds") > contexts).select("h").distinct()
-    usual = cut.join(crowded, "h", "left_anti")
-    marks = usual.repartition("h").sortWithinPartitions("h").select("h", "c", "n", "before", "after", "context").mapInArrow(_sorted_contexts(length, symbols), _FOUND)
-    if not crowded.isEmpty():
-        marks = marks.unionByName(_counted(cut.join(crowded, "h", "left_semi"), length))
+    if crowded.isEmpty():
+        marks = _solved(cut, length, symbols)
+    else:
+        marks = _solved(cut.join(crowded, "h", "left_anti"), length, symbols).unionByName(_in_runs(cut.join(crowded, "h", "left_semi"), length, contexts, symbols))
     marks = written(marks, "marks")
     discard(spark, wanted, cut)
     spans = found.join(marks, ["h", "c"]).select("key", F.lit(0).alias("kind"), (F.col("place") + F.col("first")).alias("low"), (F.col("place") + F.col("last")).alias("high"), F.lit(None).cast("string").alias("text"))

@@ -19,7 +19,7 @@ COLUMNS = "doc_id long, text string, lang string, source string, n_chars long"
 def test_equals_plain_stages(spark, tmp_path):
     rows, labels = corpus(n=250)
     rows = [r[:5] for r in rows]
-    rows += [(1000 + i, r[1] + " tail", *r[2:]) for i, r in enumerate(rows[:20])] + [(2000 + i, r[1] + " " + (t or ""), *r[2:]) for i, (r, t) in enumerate(zip(rows[30:], TEXTS, strict=False))]
+    rows += [(1000 + i, r[1] + " tail", *r[2:]) for i, r in enumerate(rows[:20])] + [(2000 + i, " ".join(r[1].split()[::-1]) + " " + (t or ""), *r[2:]) for i, (r, t) in enumerate(zip(rows[30:], TEXTS, strict=False))]
     rows += [(None, rows[40][1], "en", None, None), (3000, None, None, None, None), rows[3]]
     items = [(1, " ".join(rows[60][1].split()[5:30])), (2, " ".join(rows[61][1].split()[5:9]))]
     frame, label_frame = spark.createDataFrame(rows, COLUMNS), spark.createDataFrame(labels, LABELS)

@@ -52,7 +52,7 @@ def plain(data, length=400):
     return sorted((str(r[0]), len(t), len(g), sum(i - 1 not in g for i in g), brute.sha(bytes(x for i, x in enumerate(t) if i not in g))) for r, t, g in zip(data, texts, gone, strict=True))
 
 
-@pytest.mark.parametrize(("contexts", "symbols"), [(16_384, 150_000), (5, 10), (0, 10)])
+@pytest.mark.parametrize(("contexts", "symbols"), [(16_384, 150_000), (5, 10), (1, 10), (0, 10)])
 def test_equals_brute_force(spark, contexts, symbols):
     data = rows()
     out = sa.deduplicate(spark.createDataFrame(data, brute.SCHEMA).repartition(3), contexts=contexts, symbols=symbols, digest=True)
