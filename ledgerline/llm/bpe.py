@@ -3,8 +3,8 @@
 A text is cut into pieces by the tokenizer's pattern. Distinct pieces that have not been met lately are
 padded to the width of their length bucket and stacked. Each round finds every row's leftmost pair of least rank
 (by a hash table of token pairs), merges it and closes the gap, so every row that is not done loses one
-column. Pieces longer than the widest bucket go one by one through a heap with the same order of merges;
-that takes n log n steps where a matrix would take n squared.
+column. A piece longer than the widest bucket is a matrix of its own: its rows are stretches of the piece, each
+with the least of its ranks, so that a round takes a row's work and not the whole piece's. Long texts are taken piece by piece.
 
 Defined results: a null text is an empty one, which has no tokens; a null doc_id is carried through;
 repeated rows each return a row; an empty table returns none; other columns are ignored (``encode``) or
@@ -15,7 +15,6 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import heapq
 from collections.abc import Iterator
 from itertools import islice
 
@@ -29,6 +28,8 @@ from .support import pieces as chunks
 from .support import small_batches
 
 WIDTHS = (2, 3, 4, 5, 6, 7, 8, 10, 12, 16, 24, 32, 64, 128)
+#: Cells of a row in the matrix of a long piece.
+BLOCK = 512
 #: Cells of a matrix; pieces kept with their ids by each worker.
 MATRIX_CELLS, KEPT_PIECES = 1 << 18, 200_000
 #: Characters from which on a text is encoded in parts.
@@ -135,28 +136,53 @@ class Tables:
         return out
 
     def long_piece(self, piece: bytes) -> bytes:
-        """The same merges in the same order, by a heap of (rank, place) over a linked list."""
-        ranks, n = self.ranks, len(piece)
-        after, before, end = list(range(1, n + 1)), list(range(-1, n - 1)), list(range(1, n + 1))
-        heap = [(ranks[piece[i : i + 2]], i, i + 2) for i in range(n - 1) if piece[i : i + 2] in ranks]
-        heapq.heapify(heap)
-        alive = [True] * n
-        while heap:
-            _, i, stop = heapq.heappop(heap)
-            j = after[i] if alive[i] else n
-            if j >= n or end[j] != stop:
-                continue
-            end[i], alive[j], after[i] = stop, False, after[j]
-            if after[i] < n:
-                before[after[i]] = i
-            for a in (before[i], i):
-                if a >= 0 and (b := after[a]) < n and (rank := ranks.get(piece[a : end[b]])) is not None:
-                    heapq.heappush(heap, (rank, a, end[b]))
-        out, i = [], 0
-        while i < n:
-            out.append(ranks[piece[i : end[i]]])
-            i = after[i]
-        return np.array(out, "<u4").tobytes()
+        """The same rounds for one piece that is a matrix itself: ``BLOCK`` cells a row, each row with the least of its ranks, so a round looks at the rows' least and at one row."""
+        n, blocks = len(piece), -(-len(piece) // BLOCK)
+        ids = np.full((blocks, BLOCK), -1, np.int32)
+        ids.ravel()[:n] = self.single[np.frombuffer(piece, np.uint8)]
+        flat = ids.ravel()[:n]
+        ranks = np.full((blocks, BLOCK), NONE, np.int32)
+        ranks.ravel()[: n - 1] = self.pair_ranks(flat[:-1], flat[1:])
+        size = np.full(blocks, BLOCK)
+        size[-1] = n - (blocks - 1) * BLOCK
+        least, words, found = ranks.min(1), self.vocabulary, self.ranks.get
+        # rows that have run empty are passed over
+        after, before = list(range(1, blocks + 1)), list(range(-1, blocks - 1))
+
+        def drop(row: int, cell: int) -> None:
+            last = size[row] - 1
+            ids[row, cell:last], ranks[row, cell:last] = ids[row, cell + 1 : last + 1].copy(), ranks[row, cell + 1 : last + 1].copy()
+            ids[row, last], ranks[row, last] = -1, NONE
+            size[row] = last
+            if not last:
+                up, down = before[row], after[row]
+                if up >= 0:
+                    after[up] = down
+                if down < blocks:
+                    before[down] = up
+
+        def rank(one: int, two: int) -> int:
+            return found(words[one] + words[two], NONE)
+
+        while (best := least[row := int(least.argmin())]) != NONE:
+            cell = int(ranks[row].argmin())  # the leftmost of the least
+            ids[row, cell] = best
+            if cell + 1 < size[row]:
+                drop(row, cell + 1)
+            else:
+                drop(other := after[row], 0)
+                least[other] = ranks[other].min()
+            if cell + 1 < size[row]:
+                ranks[row, cell] = rank(best, ids[row, cell + 1])
+            else:
+                ranks[row, cell] = rank(best, ids[after[row], 0]) if after[row] < blocks else NONE
+            if cell:
+                ranks[row, cell - 1] = rank(ids[row, cell - 1], best)
+            elif (up := before[row]) >= 0:
+                ranks[up, size[up] - 1] = rank(ids[up, size[up] - 1], best)
+                least[up] = ranks[up].min()
+            least[row] = ranks[row].min()
+        return ids[ids >= 0].astype("<u4").tobytes()
 
     def pieces(self, distinct: list[bytes]) -> list[bytes]:
         """The ids of each piece."""
