@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .support import SPACED, Forest, Words, as_bytes, components, discard, mix, pieces, run_hashes, small_batches, written
+from .support import SPACED, Forest, Words, as_bytes, components, discard, mix, pieces, release, run_hashes, small_batches, written
 
 SHINGLE = 4
 DISTANCE = 4
@@ -40,6 +40,8 @@ SEGMENTS = ((0, 21), (21, 42), (42, 64))
 BUCKET_ROWS = 4096
 #: For near copies by shingle sets: words of a shingle, Jaccard similarity, the chance at which a pair right at that similarity is found (above it, it rises fast), and what is granted to the second fingerprint.
 SIMILAR_SHINGLE, SIMILARITY, FOUND, SIGMAS = 5, 0.8, 0.95, 4
+#: Names (of eight bytes) of the sets to compare that are broadcast at most.
+BROADCAST_NODES = 1_000_000
 _SPACE = re.compile(rb"[\x09-\x0d\x20]")
 
 
@@ -220,25 +222,53 @@ def plan(nodes: int, similarity: float, found: float) -> tuple[int, int]:
     return bits, math.ceil(math.log(1 - found) / math.log(1 - chance(bits, similarity)))
 
 
-def shingle_sets(documents: DataFrame, shingle: int) -> DataFrame:
-    """doc_id, grams: the distinct hashes of a text's shingles (packed, 64 bits, sorted); of fewer words, of the whole sequence."""
+def _shingles(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
+    """Batches, and of each text (the last column) the distinct hashes of its lowered words' shingles, sorted; of fewer words, of the whole sequence."""
+    for batch in small_batches(batches):
+        out = []
+        for _, texts in pieces(x or b"" for x in as_bytes(batch.column(batch.num_columns - 1))):
+            found = Words(texts, SPACED, lower=True)
+            words = found.hashes(0)
+            grams = run_hashes(words, shingle)
+            for low, high in zip(found.first, found.first[1:], strict=False):
+                own = grams[low : high - shingle + 1] if high - low >= shingle else run_hashes(words[low:high], int(high - low)) if high > low else words[:0]
+                out.append(np.unique(own))
+        yield batch, out
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small_batches(batches):
-            out = []
-            for _, texts in pieces(x or b"" for x in as_bytes(batch.column(1))):
-                found = Words(texts, SPACED, lower=True)
-                words = found.hashes(0)
-                grams = run_hashes(words, shingle)
-                for low, high in zip(found.first, found.first[1:], strict=False):
-                    if high - low >= shingle:
-                        own = grams[low : high - shingle + 1]
-                    else:
-                        own = run_hashes(words[low:high], int(high - low)) if high > low else words[:0]
-                    out.append(np.unique(own).tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], ["doc_id", "grams"])
-
-    return documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(cut, "doc_id long, grams binary")
+
+def _node(grams: np.ndarray) -> int:
+    """Names a set of shingles."""
+    return xxhash.xxh64_intdigest(grams.tobytes())
+
+
+def _signed(values: list[int]) -> pa.Array:
+    return pa.array(np.array(values, np.uint64).view(np.int64))
+
+
+def _marked(shingle: int, words: int):
+    """From (doc_id, text): doc_id, node, fp (64 bits to verify by), wide (the words that are cut into segments)."""
+
+    def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, sets in _shingles(batches, shingle):
+            prints = [wide_fingerprint(x, words + 1) for x in sets]
+            columns = [batch.column(0), _signed([_node(x) for x in sets]), _signed([x[0] for x in prints]), pa.array([x[1:].tobytes() for x in prints], pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "node", "fp", "wide"])
+
+    return marked
+
+
+def _sets(shingle: int):
+    """From texts: node, grams (32 bits of each hash, packed). A set that the task has met is not told again while it is kept in mind."""
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        met: set[int] = set()
+        for _, found in _shingles(batches, shingle):
+            named = {_node(x): x for x in found}
+            fresh = {k: x for k, x in named.items() if k not in met}
+            met = (met if len(met) < 1_000_000 else set()) | fresh.keys()
+            yield pa.RecordBatch.from_arrays([_signed(list(fresh)), pa.array([np.unique((x >> np.uint64(32)).astype(np.uint32)).tobytes() for x in fresh.values()], pa.binary())], ["node", "grams"])
+
+    return sets
 
 
 def wide_fingerprint(grams: np.ndarray, words: int) -> np.ndarray:
@@ -251,22 +281,18 @@ def wide_fingerprint(grams: np.ndarray, words: int) -> np.ndarray:
 
 
 def _keyed(bits: int, segments: int):
-    """From (node, grams): node, fp (64 bits to verify by), keys (one for each segment and wildcard)."""
-    words = -(-bits * segments // 64)
+    """From (fp, wide): part, fp for each segment and wildcard."""
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights = np.uint64(1) << np.arange(bits, dtype=np.uint64)
         number = (np.arange(segments, dtype=np.uint64)[:, None] * np.uint64(64) + np.arange(bits, dtype=np.uint64)) << np.uint64(32)
-        for batch in small_batches(batches):
-            fps, keys = [], []
-            for x in batch.column(1).to_pylist():
-                wide = wide_fingerprint(np.frombuffer(x, np.uint64), words + 1)
-                flat = np.unpackbits(wide[1:].view(np.uint8), bitorder="little")[: bits * segments].reshape(segments, bits)
-                value = flat @ weights
-                keys.append((value[:, None] & ~weights | number).ravel().view(np.int64))
-                fps.append(wide[0])
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(keys) + 1, dtype=np.int32) * bits * segments), pa.array(np.concatenate([np.zeros(0, np.int64), *keys])))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.array(fps, np.uint64).view(np.int64)), lists], ["node", "fp", "keys"])
+        for batch in small_batches(batches, 256):
+            if not batch.num_rows:
+                continue
+            wide = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint8).reshape(batch.num_rows, -1)
+            flat = np.unpackbits(wide, axis=1, bitorder="little")[:, : bits * segments].reshape(-1, segments, bits)
+            keys = ((flat @ weights)[:, :, None] & ~weights | number).reshape(batch.num_rows, -1)
+            yield pa.RecordBatch.from_arrays([pa.array(keys.ravel().view(np.int64)), pa.array(np.repeat(batch.column(0).to_numpy(), keys.shape[1]))], ["part", "fp"])
 
     return keyed
 
@@ -278,7 +304,7 @@ def _alike(similarity: float):
         for batch in small_batches(batches):
             keep = []
             for a, b in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                one, two = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
+                one, two = np.frombuffer(a, np.uint32), np.frombuffer(b, np.uint32)
                 both = len(np.intersect1d(one, two, assume_unique=True))
                 keep.append(both >= similarity * (len(one) + len(two) - both))
             yield batch.filter(pa.array(keep, pa.bool_())).select([0, 1])
@@ -295,31 +321,36 @@ def similar_groups(documents: DataFrame, shingle: int = SIMILAR_SHINGLE, similar
     a forest of them goes on to that comparison.
     """
     spark = documents.sparkSession
-    sets = written(shingle_sets(documents, shingle).withColumn("node", F.xxhash64("grams")), "shingles")
-    nodes = written(sets.groupBy("node").agg(F.min("doc_id").alias("least"), F.first("grams").alias("grams")), "nodes")
-    bits, segments = plan(nodes.count(), similarity, found)
+    bits, segments = plan(documents.count(), similarity, found)
     flip = math.acos(2 * similarity / (1 + similarity)) / math.pi
     distance = math.floor(64 * flip + SIGMAS * math.sqrt(64 * flip * (1 - flip)))
-    marked = written(nodes.select("node", "grams").mapInArrow(_keyed(bits, segments), "node long, fp long, keys array<long>"), "marks")
+    texts = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    marked = written(texts.mapInArrow(_marked(shingle, -(-bits * segments // 64)), "doc_id long, node long, fp long, wide binary"), "marks")
+    nodes = written(marked.groupBy("node").agg(F.min("doc_id").alias("least"), F.min("fp").alias("fp"), F.min("wide").alias("wide")), "nodes")
+    classes = written(nodes.groupBy("fp").agg(F.min(F.struct("node", "wide")).alias("one")).select("fp", F.col("one.node").alias("head"), "one.wide"), "classes")
+    keys = classes.select("fp", "wide").mapInArrow(_keyed(bits, segments), "part long, fp long")
     kinds = "kind int, a long, b long"
-    classes = written(marked.groupBy("fp").agg(F.min("node").alias("head")), "classes")
-    keys = marked.join(classes.select(F.col("head").alias("node")), "node").select("fp", F.explode("keys").alias("part"))
-    met = written(keys.select("fp", "part").repartition("part").sortWithinPartitions("part").select("part", "fp").mapInArrow(_linker(distance, bucket_rows, True), kinds), "met")
+    met = written(keys.repartition("part").sortWithinPartitions("part").mapInArrow(_linker(distance, bucket_rows, True), kinds), "met")
+    release(spark)
     near = _dealt(met, distance, bucket_rows, True).select(F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst")).distinct()
     head = lambda c: classes.select(F.col("fp").alias(c), F.col("head").alias(f"{c}_node"))
     pairs = near.join(head("src"), "src").join(head("dst"), "dst").select(F.col("src_node").alias("src"), F.col("dst_node").alias("dst"))
     # texts with the same fingerprint are compared with the one that stands for it
-    same = marked.select("node", "fp").join(classes, "fp").where("node <> head").select(F.col("node").alias("src"), F.col("head").alias("dst"))
+    same = nodes.select("node", "fp").join(classes.select("fp", "head"), "fp").where("node <> head").select(F.col("node").alias("src"), F.col("head").alias("dst"))
     pairs = written(pairs.unionByName(same), "pairs")
-    discard(spark, marked, met)
-    held = lambda c, d: nodes.select(F.col("node").alias(c), F.col("grams").alias(d))
-    edges = pairs.join(held("src", "a"), "src").join(held("dst", "b"), "dst").select("src", "dst", "a", "b").mapInArrow(_alike(similarity), "src long, dst long")
-    reached = components(written(edges, "alike")).withColumnRenamed("component", "root")
+    wanted = written(pairs.select(F.col("src").alias("node")).unionByName(pairs.select(F.col("dst").alias("node"))).distinct(), "wanted")
+    few = wanted.limit(BROADCAST_NODES + 1).count() <= BROADCAST_NODES
+    held = documents.select(F.col("text").cast("string")).mapInArrow(_sets(shingle), "node long, grams binary").join(F.broadcast(wanted) if few else wanted, "node", "left_semi")
+    held = written(held.groupBy("node").agg(F.min("grams").alias("grams")), "sets")
+    side = lambda c, d: held.select(F.col("node").alias(c), F.col("grams").alias(d))
+    edges = pairs.join(side("src", "a"), "src").join(side("dst", "b"), "dst").select("src", "dst", "a", "b").mapInArrow(_alike(similarity), "src long, dst long")
+    edges = written(edges, "alike")
+    reached = components(edges).withColumnRenamed("component", "root")
     grouped = nodes.select("node", "least").join(reached, "node", "left").withColumn("root", F.coalesce("root", "node"))
     heads = grouped.groupBy("root").agg(F.min("least").alias("component_id"))
     named = written(grouped.join(heads, "root").select("node", "component_id"), "named")
-    out = written(sets.select("doc_id", "node").join(named, "node").select("doc_id", "component_id"), "groups")
-    discard(spark, sets, nodes, classes, pairs, named)
+    out = written(marked.select("doc_id", "node").join(named, "node").select("doc_id", "component_id"), "groups")
+    discard(spark, marked, nodes, classes, met, pairs, wanted, held, edges, named)
     return out
 
 
