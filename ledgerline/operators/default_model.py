@@ -96,24 +96,29 @@ def _scores(model: PipelineModel, df: DataFrame) -> DataFrame:
 
 
 def permutation_importance(model: PipelineModel, sample: DataFrame, features: list[str], strings: set[str], seed: int, repeats: int = 2, top: int = 15) -> list[dict[str, Any]]:
-    """How far the AUC drops when a feature's values are dealt to other rows of a bounded sample."""
-    sample = _ranked(sample, _shuffled(seed)).persist()
-    base = discrimination(_scores(model, sample)).first().auc
-    out = []
-    for c in features:
-        moved = [c] if c in strings else [c, f"{c}__missing"]
-        drops = []
-        for k in range(repeats):
-            other = _ranked(sample.select(ID, *moved), F.xxhash64(F.lit(seed + 1 + k), F.lit(c), F.col(ID))).drop(ID)
-            drops.append(base - discrimination(_scores(model, sample.drop(*moved).join(other, "__turn"))).first().auc)
-        out.append({"feature": c, "auc_drop": float(sum(drops) / repeats)})
-    sample.unpersist()
-    return sorted(out, key=lambda x: (-x["auc_drop"], x["feature"]))[:top]
-
-
-def _ranked(df: DataFrame, by) -> DataFrame:
-    """Adds a row number; for samples of bounded size."""
-    return df.drop("__turn").withColumn("__turn", F.row_number().over(Window.orderBy(by, ID)))
+    """How far the AUC drops when a feature's values are dealt to other rows of a bounded sample; all features and repeats in one job."""
+    turn = F.row_number().over(Window.orderBy(_shuffled(seed), ID))  # the sample's size is bounded
+    rows = sample.withColumn("__turn", turn).persist()
+    # trial 0 of the feature '' is the sample as it is
+    trials = F.explode(F.array(F.struct(F.lit("").alias("feature"), F.lit(0).alias("trial")), *(F.struct(F.lit(c).alias("feature"), F.lit(k).alias("trial")) for c in features for k in range(repeats))))
+    dealt = rows.select("__turn", F.col(ID).alias("__id"), trials.alias("x")).select("__turn", "__id", "x.*")
+    order = Window.partitionBy("feature", "trial").orderBy(F.xxhash64(F.lit(seed + 1), "feature", "trial", "__id"), "__id")
+    dealt = dealt.select("feature", "trial", "__turn", F.row_number().over(order).alias("__other"))
+    given = rows.select(F.col("__turn").alias("__other"), *(F.col(f"`{c}`").alias(f"{c}__moved") for c in rows.columns if c not in (ID, TARGET, "__turn")))
+    both = dealt.join(rows, "__turn").join(given, "__other")
+    moved = {c: F.when(F.col("feature") == c.removesuffix("__missing"), F.col(f"`{c}__moved`")).otherwise(F.col(f"`{c}`")) for c in rows.columns if c not in (ID, TARGET, "__turn")}
+    scored = model.transform(both.select("feature", "trial", ID, TARGET, *(v.alias(c) for c, v in moved.items())))
+    steps = scored.groupBy("feature", "trial", vector_to_array("probability")[1].alias("score")).agg(F.sum(TARGET).cast("double").alias("bad"), F.sum(1 - F.col(TARGET)).cast("double").alias("good"))
+    up = Window.partitionBy("feature", "trial").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
+    pairs = steps.withColumn("below", F.coalesce(F.sum("good").over(up), F.lit(0.0)))
+    auc = F.try_divide(F.sum(F.col("bad") * (F.col("below") + F.col("good") / 2)), F.sum("bad") * F.sum("good"))
+    found = {(r.feature, r.trial): r.auc for r in pairs.groupBy("feature", "trial").agg(auc.alias("auc")).collect()}  # a row per feature and repeat
+    rows.unpersist()
+    base = found.get(("", 0))
+    if base is None:
+        return []
+    drops = [{"feature": c, "auc_drop": float(sum(base - found[c, k] for k in range(repeats)) / repeats)} for c in features]
+    return sorted(drops, key=lambda x: (-x["auc_drop"], x["feature"]))[:top]
 
 
 def train_model(spark: SparkSession, record: DataFrame, processed: str, models: str, holdout: float = 0.2, seed: int = SEED, importance_sample: int = 10_000, trees: int = 40, importances: bool = True) -> dict[str, Any]:

@@ -93,11 +93,11 @@ def mar_full(spark: SparkSession, sf: str) -> DataFrame:
     return _plain(master_record.master_record(view(spark, sf, "application"), *parts))
 
 
-@query(f"select * exclude (TARGET) from ({_MAR}) m where SK_ID_CURR % 5 = 0")
+@query(f"select * exclude (TARGET) from ({_MAR}) m")
 def mar_scoring_population(spark: SparkSession, sf: str) -> DataFrame:
-    """The scoring population is every fifth applicant: another table in the real data, not a sample of one."""
+    """An application without a target, as the scoring population is."""
     parts = (view(spark, sf, n) for n in ("bureau", "bureau_balance", "installments_payments", "previous_application"))
-    return _plain(master_record.master_record(view(spark, sf, "application").where("SK_ID_CURR % 5 = 0").drop("TARGET"), *parts))
+    return _plain(master_record.master_record(view(spark, sf, "application").drop("TARGET"), *parts))
 
 
 @query(f"select SK_ID_CURR, TARGET, SEGMENT, NATION, 0::bigint as bureau_total_delinquent_months from {sql_view('application')} a")
@@ -108,9 +108,11 @@ def mar_without_history_tables(spark: SparkSession, sf: str) -> DataFrame:
     return bare.join(late, "SK_ID_CURR", "left").select(*bare.columns, F.coalesce("bureau_total_delinquent_months", F.lit(0).cast("long")).alias("bureau_total_delinquent_months"))
 
 
-@query(f"select SK_ID_CURR, TARGET, SEGMENT, NATION from {sql_view('application')} a where not exists (select 1 from {sql_view('bureau')} b where b.SK_ID_CURR = a.SK_ID_CURR) and not exists (select 1 from {sql_view('previous_application')} p where p.SK_ID_CURR = a.SK_ID_CURR)")
+@query(f"select SK_ID_CURR, TARGET, SEGMENT, NATION from {sql_view('application')} a where not exists (select 1 from {sql_view('bureau')} b where b.SK_ID_CURR = a.SK_ID_CURR and CREDIT_ACTIVE = 'Sold') and not exists (select 1 from {sql_view('previous_application')} p where p.SK_ID_CURR = a.SK_ID_CURR and AMT_APPLICATION > 300000)")
 def no_history_applicants(spark: SparkSession, sf: str) -> DataFrame:
-    return master_record.without_history(view(spark, sf, "application"), view(spark, sf, "bureau"), view(spark, sf, "previous_application"))
+    """No sold account, and no large application before."""
+    sold, large = view(spark, sf, "bureau").where("CREDIT_ACTIVE = 'Sold'"), view(spark, sf, "previous_application").where("AMT_APPLICATION > 300000")
+    return master_record.without_history(view(spark, sf, "application"), sold, large)
 
 
 # ---------------------------------------------------------------------------------------------

@@ -218,13 +218,15 @@ def _processed(spark: SparkSession, sf: str, tables: dict[str, str]) -> str:
 _HISTORY = ("bureau", "bureau_balance", "installments_payments", "previous_application")
 
 
-@query(f"select * exclude (TARGET) replace (round(bureau_sum_credit_sum_debt, 2) as bureau_sum_credit_sum_debt, round(bureau_sum_credit_sum, 2) as bureau_sum_credit_sum, round(bureau_total_overdue_balance, 2) as bureau_total_overdue_balance, round(ip_total_payment_deficit, 2) as ip_total_payment_deficit, round(prev_mean_amt_application, 2) as prev_mean_amt_application), 'master_analytical_record_test' as record from ({_MAR}) m")
+@query(f"select * exclude (TARGET), 'master_analytical_record_test' as record from ({_MAR}) m")
 def record_files(spark: SparkSession, sf: str) -> DataFrame:
-    """From the files of a folder to the scoring population's record, under its own name. Files hold doubles, so sums are rounded."""
-    folder = _processed(spark, sf, {k: k for k in _HISTORY})
+    """From the files of a folder to the scoring population's record, under its own name."""
+    folder = _scratch(spark, "processed")
+    for name in _HISTORY:
+        write_table(view(spark, sf, name), folder, name)
     write_table(view(spark, sf, "application").drop("TARGET"), folder, "application_test")
     path = master_record.build_master_record(spark, folder, "application_test")
-    return _rounded_numbers(spark.read.parquet(path), 2).withColumn("record", F.lit(path.rsplit("/", 1)[-1].removesuffix(".parquet")))
+    return _plain(spark.read.parquet(path)).withColumn("record", F.lit(path.rsplit("/", 1)[-1].removesuffix(".parquet")))
 
 
 @query(" union all ".join(f"select * from ({_vintage_sql(s, 3, s)}) {s}" for s in ("bureau", "credit_card")))
