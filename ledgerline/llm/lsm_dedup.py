@@ -13,7 +13,7 @@ where the bucketed table of runs has its buckets; the history itself is not shuf
 worked off in slices, so files of one slice only take room at a time. Buckets are even, as they are dealt
 by hash; a window that many documents share is some bytes for each in one bucket.
 
-Defined results: a null text has no words; documents with a null doc_id have no place in the order, so
+Defined results: a null text has no words; a very long text's windows are taken whole, as any other's; documents with a null doc_id have no place in the order, so
 nothing is removed from them and they are no history; rows that repeat a doc_id are one document for the
 order, and each returns a row; an empty table returns none; other columns are ignored.
 """

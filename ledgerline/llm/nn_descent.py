@@ -18,7 +18,7 @@ in parts, anew each round; blocks have a bounded size.
 
 Defined results: vectors that are null, empty or zero, or hold null or non-finite components, and rows
 without a label, link with nothing (component_id is their own vec_id); vectors of unlike length do not
-link; rows that repeat a vec_id and vector link as copies do; a null vec_id is carried through and is a
+link; very long vectors are compared as any others; rows that repeat a vec_id and vector link as copies do; a null vec_id is carried through and is a
 component's id only if it has no other; an empty table returns none; other columns are ignored.
 """
 

@@ -19,7 +19,7 @@ are cut into runs of strings whose starts lie in one range relative to the ancho
 bytes that all strings of a range share, so runs are dealt by those, and each deal gets its suffix arrays. Ranges
 shrink where a deal is still too large. So a passage in any number of documents goes the same way.
 
-Defined results: a null text is an empty one; texts under 400 bytes lose nothing; matches never cross
+Defined results: a null text is an empty one; a very long text is cut into overlapping slices, with the same results; texts under 400 bytes lose nothing; matches never cross
 documents; a null doc_id is carried through; repeated rows each return a row, and repeat each other's
 strings; an empty table returns none; other columns are ignored.
 """

@@ -46,6 +46,8 @@ def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 def shared_folder(spark: SparkSession) -> str:
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not found and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
     return (found or LOCAL_FOLDER).rstrip("/")
 
 

@@ -9,7 +9,7 @@ agree in two independent 64-bit hashes over all its words.
 The benchmark's index is broadcast while its size, which is counted first, stays within a bound. Beyond
 the bound, fingerprints and then windows are joined by shuffles, with the same results.
 
-Defined results: a null text has no words; a null item_id is no item; items that repeat an id are one
+Defined results: a null text has no words; a very long text is taken whole; a null item_id is no item; items that repeat an id are one
 item with the windows of all; repeated documents each return a row; a null doc_id is carried through; an
 empty benchmark hits nothing; an empty table of documents returns no rows; other columns are ignored.
 """
