@@ -1,6 +1,6 @@
 """Exact order statistics from frequency tables, without sorting a feature's values in one task.
 
-Approximate quantiles (a small sketch per feature) cut each feature's range into buckets; running counts
+Approximate quantiles (a small sketch per feature, evaluated once) cut each feature's range into buckets; running counts
 are taken within buckets, and a window over the buckets' totals, which are few, gives where each starts.
 """
 
@@ -21,6 +21,11 @@ def cut_marks(value: Column) -> Column:
     return F.filter(marks, lambda _, k: F.pmod(k + 1, step) == 0)
 
 
+def bucket(marks: list | None, value: Column) -> Column:
+    """How many marks a value exceeds. Marks are constants here: a sketch depends on the order in which tasks' results arrive, so one that a plan evaluates twice may cut differently."""
+    return F.size(F.filter(F.lit(list(marks)), lambda m: m < value)) if marks else F.lit(0)
+
+
 def values_at_ranks(counts: DataFrame, ranks: dict[str, list[int]]) -> dict[str, dict[int, object]]:
     """counts: (feature, value, n), each value once. For each feature, the values at 0-based ranks of its sorted rows."""
     spark = counts.sparkSession
@@ -28,9 +33,9 @@ def values_at_ranks(counts: DataFrame, ranks: dict[str, list[int]]) -> dict[str,
     if not wanted:
         return {}
     number = F.col("value").cast("double")
-    marks = counts.groupBy("feature").agg(cut_marks(number).alias("marks"))
-    asked = spark.createDataFrame(list(wanted.items()), "feature string, ranks array<long>")  # a row per feature
-    dealt = counts.join(F.broadcast(marks.join(asked, "feature")), "feature").withColumn("bucket", F.size(F.filter("marks", lambda m: m < number)))
+    marks = {r.feature: r.marks for r in counts.groupBy("feature").agg(cut_marks(number).alias("marks")).collect()}  # see bucket
+    asked = spark.createDataFrame([(f, r, marks[f] or []) for f, r in wanted.items() if f in marks], "feature string, ranks array<long>, marks array<double>")  # a row per feature
+    dealt = counts.join(F.broadcast(asked), "feature").withColumn("bucket", F.size(F.filter("marks", lambda m: m < number)))
     totals = dealt.groupBy("feature", "bucket").agg(F.sum("n").alias("total"))
     starts = totals.select("feature", "bucket", (F.sum("total").over(Window.partitionBy("feature").orderBy("bucket")) - F.col("total")).alias("start"))
     within = Window.partitionBy("feature", "bucket").orderBy("value")

@@ -10,15 +10,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .ranks import cut_marks
+from .ranks import bucket, cut_marks
 
 
 def running(df: DataFrame, score: str, outcome: str) -> DataFrame:
     """score, bad, good, and how many of either have a higher score (bad_above, good_above); no window spans all scores."""
     counts = df.groupBy(F.col(score).alias("score")).agg(F.sum(F.col(outcome).cast("long")).alias("bad"), F.sum((1 - F.col(outcome)).cast("long")).alias("good"))
-    marks = counts.agg(cut_marks(F.col("score")).alias("marks"))
-    # one row, with a bounded number of marks
-    dealt = counts.join(F.broadcast(marks)).withColumn("bucket", F.size(F.filter("marks", lambda m: m < F.col("score")))).drop("marks")
+    marks = counts.agg(cut_marks(F.col("score")).alias("marks")).first().marks
+    dealt = counts.withColumn("bucket", bucket(marks, F.col("score")))
     totals = dealt.groupBy("bucket").agg(F.sum("bad").alias("b"), F.sum("good").alias("g"))
     up = Window.orderBy(F.desc("bucket"))  # over the buckets
     above = totals.select("bucket", (F.sum("b").over(up) - F.col("b")).alias("b_above"), (F.sum("g").over(up) - F.col("g")).alias("g_above"))
@@ -59,8 +58,8 @@ def calibration(df: DataFrame, score: str = "score", outcome: str = "TARGET", ke
 
     Groups follow from each row's rank: rows are counted by bucket first, so no window spans all rows.
     """
-    marks = df.agg(cut_marks(F.col(score)).alias("marks"), F.count("*").alias("n"))
-    dealt = df.join(F.broadcast(marks)).withColumn("bucket", F.size(F.filter("marks", lambda m: m < F.col(score))))
+    cut = df.agg(cut_marks(F.col(score)).alias("marks"), F.count("*").alias("n")).first()
+    dealt = df.withColumn("n", F.lit(cut.n)).withColumn("bucket", bucket(cut.marks, F.col(score)))
     totals = dealt.groupBy("bucket").agg(F.count("*").alias("size"))
     starts = totals.select("bucket", (F.sum("size").over(Window.orderBy("bucket")) - F.col("size")).alias("start"))
     rank = F.col("start") + F.row_number().over(Window.partitionBy("bucket").orderBy(score, key)) - 1

@@ -296,9 +296,7 @@ _FIRST = f"select feature_name, position, contribution, row_number() over (parti
 @query(f"select feature_name, cast(position as integer) as position from ({_FIRST}) f where k = 1")
 def psi_top_driver(spark: SparkSession, sf: str) -> DataFrame:
     """The place of the bin that contributes most, of every feature; of bins alike, the first."""
-    bins = _bins(spark, sf, *_FEATURES)
-    top = _report(spark, sf).select("feature_name", F.col("top_driver").alias("bin"))
-    return bins.select("feature_name", "bin", "position").join(top, ["feature_name", "bin"]).select("feature_name", "position")
+    return stability.drivers(_bins(spark, sf, *_FEATURES)).select("feature_name", "position")
 
 
 @query("select o_orderkey, l_discount * 4 as psi, case when l_discount is null or isnan(l_discount) then 'UNKNOWN' when l_discount * 4 < 0.1 then 'STABLE' when l_discount * 4 < 0.25 then 'MODERATE_SHIFT' else 'SIGNIFICANT_DRIFT' end as drift_status from (select l_orderkey as o_orderkey, cast(l_discount as double) as l_discount from lineitem) l")
