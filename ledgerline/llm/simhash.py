@@ -10,7 +10,8 @@ pairs of blocks, so that no task holds such a key's rows together. Only a spanni
 leaves a task, never all pairs.
 
 ``similar_groups`` finds near copies in another sense, by the Jaccard similarity of their shingle sets, which at 0.8
-differ in some 15 % of the bits. Fingerprints there have as many segments as it takes to find such a pair.
+differ in some 15 % of the bits. Fingerprints there have as many segments as it takes to find such a pair, and what
+they miss is found by shingles that the sets' prefixes share, so that no link is left out.
 
 Defined results: a very long text is hashed block by block; a null or wordless text has the fingerprint zero, linked like any other; a null doc_id
 is carried through and is never a component's id unless the component has no other; repeated rows each
@@ -40,6 +41,8 @@ SEGMENTS = ((0, 21), (21, 42), (42, 64))
 BUCKET_ROWS = 4096
 #: For near copies by shingle sets: words of a shingle, Jaccard similarity, the chance at which a pair right at that similarity is found (above it, it rises fast), and what is granted to the second fingerprint.
 SIMILAR_SHINGLE, SIMILARITY, FOUND, SIGMAS = 5, 0.8, 0.95, 4
+#: Sets that tell which shingles are common, and shingles to know so, so that rare ones come first (no result depends on them).
+ORDER_SETS, ORDER_GRAMS = 20_000, 100_000
 #: Names (of eight bytes) of the sets to compare that are broadcast at most.
 BROADCAST_NODES = 1_000_000
 _SPACE = re.compile(rb"[\x09-\x0d\x20]")
@@ -312,13 +315,157 @@ def _alike(similarity: float):
     return alike
 
 
+def _compared(sets: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame:
+    """src, dst: those of the written pairs whose sets (node, grams) are alike."""
+    wanted = written(pairs.select(F.col("src").alias("node")).unionByName(pairs.select(F.col("dst").alias("node"))).distinct(), "wanted")
+    few = wanted.limit(BROADCAST_NODES + 1).count() <= BROADCAST_NODES
+    held = sets.join(F.broadcast(wanted) if few else wanted, "node", "left_semi")
+    side = lambda c, d: held.select(F.col("node").alias(c), F.col("grams").alias(d))
+    out = pairs.join(side("src", "a"), "src").join(side("dst", "b"), "dst").select("src", "dst", "a", "b").mapInArrow(_alike(similarity), "src long, dst long")
+    out = written(out, "alike")
+    discard(sets.sparkSession, wanted)
+    return out
+
+
+def _common(sets: DataFrame, nodes: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles that a share of the sets repeats, sorted, and how often. Only the order of shingles follows from it, and any order gives the same links."""
+
+    def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(b"".join(batch.column(0).to_pylist()), np.uint32).astype(np.int64))], ["gram"])
+
+    share = sets.where(F.pmod(F.xxhash64("node"), F.lit(max(1, nodes // ORDER_SETS))) == 0)
+    counts = share.select("grams").mapInArrow(grams, "gram long").groupBy("gram").agg(F.count("*").alias("n")).where("n > 2")
+    found = counts.orderBy(F.desc("n"), "gram").limit(ORDER_GRAMS).collect()  # bounded
+    found.sort(key=lambda r: r.gram)
+    return np.array([r.gram for r in found], np.uint32), np.array([r.n for r in found], np.int64)
+
+
+def _prefixed(similarity: float, common: np.ndarray, counts: np.ndarray):
+    """From (node, root, grams): part (a shingle), node, root, place (the set's size, and where the shingle stands) for each shingle of the prefix.
+
+    Sets of at least that similarity share a shingle among the first of both, in any order that is the same for all sets; here rare ones come first.
+    """
+
+    def prefixed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small_batches(batches):
+            heads, places = [], []
+            for packed in batch.column(2).to_pylist():
+                grams = np.frombuffer(packed, np.uint32)
+                n, often = len(grams), np.zeros(len(grams), np.int64)
+                if n and len(common):
+                    at = np.minimum(np.searchsorted(common, grams), len(common) - 1)
+                    often = np.where(common[at] == grams, counts[at], 0)
+                first = min(n, n - math.ceil(similarity * n - 1e-9) + 1)
+                heads.append(grams[np.lexsort((grams, often))[:first]].astype(np.int64))
+                places.append((n << 32) + np.arange(first, dtype=np.int64))
+            sizes = [len(x) for x in heads]
+            if sum(sizes):
+                own = [pa.array(np.repeat(batch.column(k).to_numpy(), sizes)) for k in (0, 1)]
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(heads)), *own, pa.array(np.concatenate(places))], ["part", "node", "root", "place"])
+
+    return prefixed
+
+
+def _parts(batches: Iterator[pa.RecordBatch], limit: int | None) -> Iterator[tuple[bool, list[np.ndarray]]]:
+    """Columns of rows that are sorted by the first one: whole parts of equal values, or (True) rows of parts over ``limit``."""
+    held, over = None, None
+    for batch in batches:
+        columns = [x.to_numpy() for x in batch.columns]
+        if held is not None:
+            columns = [np.concatenate(x) for x in zip(held, columns, strict=True)]
+        if over is not None:  # the part goes on
+            n = int(np.searchsorted(columns[0], over, "right"))
+            yield True, [x[:n] for x in columns]
+            columns = [x[n:] for x in columns]
+        held, keys = columns, columns[0]
+        if not len(keys):
+            continue
+        over = None
+        begins = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+        sizes = np.diff(np.r_[begins, len(keys)])
+        large = np.repeat(sizes > limit, sizes) if limit else np.zeros(len(keys), bool)
+        last = begins[-1]
+        if large[-1]:
+            over, last = keys[-1], len(keys)
+        if large.any():
+            yield True, [x[large] for x in columns]
+        held = [x[last:].copy() for x in columns]
+        whole = ~large
+        whole[last:] = False
+        yield False, [x[whole] for x in columns]
+    if held is not None:
+        yield False, held
+
+
+_MET = "kind int, a long, b long, c long, d long"
+
+
+def _meeting(similarity: float, limit: int | None):
+    """Over (part, node, root, place) sorted by part: kind 0 rows are nodes a, b of different roots c, d, whose sizes and places allow that similarity; kind 1 rows belong to a part of over ``limit`` rows."""
+
+    def rows(kind: int, columns: list[np.ndarray]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(np.full(len(columns[0]), kind, np.int32)), *(pa.array(x) for x in columns)], ["kind", "a", "b", "c", "d"])
+
+    def meeting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for crowded, columns in _parts(batches, limit):
+            if crowded:
+                yield rows(1, columns)
+                continue
+            keys, node, root, place = columns
+            size, left = place >> 32, (place >> 32) - (place & 0xFFFFFFFF)
+            at, gap, found, held = np.arange(len(keys)), 1, [], 0
+            while len(at := at[at + gap < len(keys)]):
+                at = at[keys[at] == keys[at + gap]]
+                to = at + gap
+                # at the first shingle that two sets share, no more can be common than follow it in both
+                may = (root[at] != root[to]) & (np.minimum(left[at], left[to]) >= similarity / (1 + similarity) * (size[at] + size[to]) - 1e-9)
+                if may.any():
+                    one, two = at[may], to[may]
+                    one, two = np.where(node[one] < node[two], one, two), np.where(node[one] < node[two], two, one)
+                    found.append(np.stack([node[one], node[two], root[one], root[two]]))
+                    held += len(one)
+                if held > 200_000:
+                    yield rows(0, list(np.unique(np.concatenate(found, 1), axis=1)))
+                    found, held = [], 0
+                gap += 1
+            if held:
+                yield rows(0, list(np.unique(np.concatenate(found, 1), axis=1)))
+
+    return meeting
+
+
+def _completed(sets: DataFrame, roots: DataFrame, nodes: int, similarity: float, bucket_rows: int) -> DataFrame:
+    """src, dst: roots that a pair of alike sets joins, of all pairs of sets (node, grams) under different roots (node, root). None is missed."""
+    spark = sets.sparkSession
+    head = sets.join(roots, "node").select("node", "root", "grams").mapInArrow(_prefixed(similarity, *_common(sets, nodes)), "part long, node long, root long, place long")
+    met = written(head.repartition("part").sortWithinPartitions("part").mapInArrow(_meeting(similarity, bucket_rows), _MET), "shared")
+    release(spark)
+    pairs = met.where("kind = 0").select("a", "b", "c", "d")
+    crowded = met.where("kind = 1").selectExpr("a as part", "b as node", "c as root", "d as place")
+    if not crowded.isEmpty():
+        half = max(1, bucket_rows // 2)
+        sizes = crowded.groupBy("part").agg(F.ceil(F.count("*") / half).cast("int").alias("blocks"), F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("part", "blocks")
+        dealt = crowded.join(sizes, "part").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+        dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        cell = dealt.select(F.xxhash64("part", F.least("own", "other"), F.greatest("own", "other")).alias("part"), "node", "root", "place")
+        more = cell.repartition("part").sortWithinPartitions("part").mapInArrow(_meeting(similarity, None), _MET)
+        pairs = pairs.unionByName(more.select("a", "b", "c", "d"))
+    pairs = written(pairs.distinct().toDF("src", "dst", "one", "two"), "shared_pairs")
+    alike = _compared(sets, pairs.select("src", "dst"), similarity)
+    out = written(pairs.join(alike, ["src", "dst"]).select(F.col("one").alias("src"), F.col("two").alias("dst")).distinct(), "joined")
+    discard(spark, met, pairs, alike)
+    return out
+
+
 def similar_groups(documents: DataFrame, shingle: int = SIMILAR_SHINGLE, similarity: float = SIMILARITY, found: float = FOUND, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
-    """doc_id, component_id: groups of documents joined by pairs whose sets of shingles have at least that Jaccard similarity.
+    """doc_id, component_id: groups of documents joined by all pairs whose sets of shingles have at least that Jaccard similarity.
 
     Copies are one node. Candidates agree, but for one bit, in a segment of a wide fingerprint, and in a second
     fingerprint of 64 bits differ no more than pairs at the threshold do (``SIGMAS`` standard deviations are
     granted); then the sets themselves are compared. Where many candidates meet under one key, they are joined by the closest first, and only
-    a forest of them goes on to that comparison.
+    a forest of them goes on to that comparison. So links may be lost in three places: by chance, by the second fingerprint, and where the
+    comparison refuses a branch of the forest. ``_completed`` finds all that are left, exactly: pairs of different groups that share a shingle of their prefixes.
     """
     spark = documents.sparkSession
     bits, segments = plan(documents.count(), similarity, found)
@@ -338,19 +485,21 @@ def similar_groups(documents: DataFrame, shingle: int = SIMILAR_SHINGLE, similar
     # texts with the same fingerprint are compared with the one that stands for it
     same = nodes.select("node", "fp").join(classes.select("fp", "head"), "fp").where("node <> head").select(F.col("node").alias("src"), F.col("head").alias("dst"))
     pairs = written(pairs.unionByName(same), "pairs")
-    wanted = written(pairs.select(F.col("src").alias("node")).unionByName(pairs.select(F.col("dst").alias("node"))).distinct(), "wanted")
-    few = wanted.limit(BROADCAST_NODES + 1).count() <= BROADCAST_NODES
-    held = documents.select(F.col("text").cast("string")).mapInArrow(_sets(shingle), "node long, grams binary").join(F.broadcast(wanted) if few else wanted, "node", "left_semi")
-    held = written(held.groupBy("node").agg(F.min("grams").alias("grams")), "sets")
-    side = lambda c, d: held.select(F.col("node").alias(c), F.col("grams").alias(d))
-    edges = pairs.join(side("src", "a"), "src").join(side("dst", "b"), "dst").select("src", "dst", "a", "b").mapInArrow(_alike(similarity), "src long, dst long")
-    edges = written(edges, "alike")
+    discard(spark, met, classes)
+    sets = documents.select(F.col("text").cast("string")).mapInArrow(_sets(shingle), "node long, grams binary")
+    sets = written(sets.groupBy("node").agg(F.min("grams").alias("grams")), "sets")
+    release(spark)
+    edges = _compared(sets, pairs, similarity)
     reached = components(edges).withColumnRenamed("component", "root")
-    grouped = nodes.select("node", "least").join(reached, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    grouped = written(nodes.select("node", "least").join(reached, "node", "left").withColumn("root", F.coalesce("root", "node")), "grouped")
+    discard(spark, nodes, pairs, edges)
+    joined = _completed(sets, grouped.select("node", "root"), grouped.count(), similarity, bucket_rows)
+    last = components(joined).withColumnRenamed("node", "root")
+    grouped = grouped.join(last, "root", "left").select("node", "least", F.coalesce("component", "root").alias("root"))
     heads = grouped.groupBy("root").agg(F.min("least").alias("component_id"))
     named = written(grouped.join(heads, "root").select("node", "component_id"), "named")
     out = written(marked.select("doc_id", "node").join(named, "node").select("doc_id", "component_id"), "groups")
-    discard(spark, marked, nodes, classes, met, pairs, wanted, held, edges, named)
+    discard(spark, marked, sets, joined, named)
     return out
 
 

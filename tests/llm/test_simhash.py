@@ -102,3 +102,37 @@ def test_chance_of_a_meeting():
         differ = np.unpackbits((a ^ b).view(np.uint8))[: bits * segments].reshape(segments, bits).sum(1)
         near.append(np.mean(differ <= 1))
     assert abs(np.mean(near) - simhash.chance(bits, 0.8)) < 0.02
+
+
+def expected_groups(rows):
+    sets = [brute.shingles(t) for _, t in rows]
+    groups = brute.roots(len(rows), [(a, b) for a, b in combinations(range(len(rows)), 2) if brute.jaccard(sets[a], sets[b]) >= 0.8])
+    return [min(rows[j][0] for j in range(len(rows)) if groups[j] == g) for g in groups]
+
+
+@pytest.mark.parametrize("bucket_rows", [4096, 4])
+def test_no_link_is_lost_that_fingerprints_miss(spark, bucket_rows):
+    """One segment finds few pairs; texts around the threshold also make the comparison refuse branches of a forest."""
+    r = random.Random(8)
+    rows = [x for x in near_copies(11) if x[0] is not None]
+    shared = " ".join(f"line{i}" for i in range(40))
+    for k in range(12):
+        base = [f"{k}w{r.randrange(50)}" for _ in range(80)]
+        for j in range(5):
+            copy = list(base)
+            for _ in range(j):
+                copy[r.randrange(80)] = f"new{r.random()}"
+            rows.append((9000 + 10 * k + j, shared + " " + " ".join(copy)))
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = {r.doc_id: r.component_id for r in simhash.similar_groups(frame, found=0.05, bucket_rows=bucket_rows).collect()}
+    assert got == dict(zip([x[0] for x in rows], expected_groups(rows), strict=True))
+    assert len(set(got.values())) < len({t for _, t in rows}) - 20
+
+
+def test_links_behind_one_fingerprint(spark, monkeypatch):
+    """Texts of one fingerprint are compared with each other too, not only with the one that stands for it."""
+    monkeypatch.setattr(simhash, "wide_fingerprint", lambda grams, words: np.zeros(words, np.uint64))
+    rows = [x for x in near_copies(12) if x[0] is not None]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r.component_id for r in simhash.similar_groups(frame).collect()}
+    assert got == dict(zip([x[0] for x in rows], expected_groups(rows), strict=True))
