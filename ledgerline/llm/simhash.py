@@ -342,31 +342,39 @@ def _common(sets: DataFrame, nodes: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _prefixed(similarity: float, common: np.ndarray, counts: np.ndarray):
-    """From (node, root, grams): part (a shingle), node, root, place (the set's size, and where the shingle stands) for each shingle of the prefix.
+    """From (node, grams): node, size, prefix (the set's shingles that come first, packed).
 
     Sets of at least that similarity share a shingle among the first of both, in any order that is the same for all sets; here rare ones come first.
     """
 
     def prefixed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches):
-            heads, places = [], []
-            for packed in batch.column(2).to_pylist():
+            heads, sizes = [], []
+            for packed in batch.column(1).to_pylist():
                 grams = np.frombuffer(packed, np.uint32)
                 n, often = len(grams), np.zeros(len(grams), np.int64)
                 if n and len(common):
                     at = np.minimum(np.searchsorted(common, grams), len(common) - 1)
                     often = np.where(common[at] == grams, counts[at], 0)
                 first = min(n, n - math.ceil(similarity * n - 1e-9) + 1)
-                heads.append(grams[np.lexsort((grams, often))[:first]].astype(np.int64))
-                places.append((n << 32) + np.arange(first, dtype=np.int64))
-            sizes = [len(x) for x in heads]
-            if sum(sizes):
-                own = [pa.array(np.repeat(batch.column(k).to_numpy(), sizes)) for k in (0, 1)]
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(heads)), *own, pa.array(np.concatenate(places))], ["part", "node", "root", "place"])
+                heads.append(grams[np.lexsort((grams, often))[:first]].tobytes())
+                sizes.append(n)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(heads, pa.binary())], ["node", "size", "prefix"])
 
     return prefixed
 
 
+def _spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From (node, root, size, prefix): part (a shingle), node, root, place (the set's size, and where the shingle stands)."""
+    for batch in small_batches(batches):
+        heads = [np.frombuffer(x, np.uint32) for x in batch.column(3).to_pylist()]
+        sizes = [len(x) for x in heads]
+        if sum(sizes):
+            node, root, size = (np.repeat(batch.column(k).to_numpy(), sizes) for k in range(3))
+            place = (size << 32) + np.concatenate([np.arange(n, dtype=np.int64) for n in sizes])
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (np.concatenate(heads).astype(np.int64), node, root, place)], ["part", "node", "root", "place"])
+
+
 def _parts(batches: Iterator[pa.RecordBatch], limit: int | None) -> Iterator[tuple[bool, list[np.ndarray]]]:
     """Columns of rows that are sorted by the first one: whole parts of equal values, or (True) rows of parts over ``limit``."""
     held, over = None, None
@@ -438,7 +446,10 @@ def _meeting(similarity: float, limit: int | None):
 def _completed(sets: DataFrame, roots: DataFrame, nodes: int, similarity: float, bucket_rows: int) -> DataFrame:
     """src, dst: roots that a pair of alike sets joins, of all pairs of sets (node, grams) under different roots (node, root). None is missed."""
     spark = sets.sparkSession
-    head = sets.join(roots, "node").select("node", "root", "grams").mapInArrow(_prefixed(similarity, *_common(sets, nodes)), "part long, node long, root long, place long")
+    first = sets.select("node", "grams").mapInArrow(_prefixed(similarity, *_common(sets, nodes)), "node long, size long, prefix binary")
+    first = written(first.join(roots, "node").select("node", "root", "size", "prefix"), "prefixes")
+    release(spark)
+    head = first.mapInArrow(_spread, "part long, node long, root long, place long")
     met = written(head.repartition("part").sortWithinPartitions("part").mapInArrow(_meeting(similarity, bucket_rows), _MET), "shared")
     release(spark)
     pairs = met.where("kind = 0").select("a", "b", "c", "d")
@@ -454,7 +465,7 @@ def _completed(sets: DataFrame, roots: DataFrame, nodes: int, similarity: float,
     pairs = written(pairs.distinct().toDF("src", "dst", "one", "two"), "shared_pairs")
     alike = _compared(sets, pairs.select("src", "dst"), similarity)
     out = written(pairs.join(alike, ["src", "dst"]).select(F.col("one").alias("src"), F.col("two").alias("dst")).distinct(), "joined")
-    discard(spark, met, pairs, alike)
+    discard(spark, first, met, pairs, alike)
     return out
 
 
@@ -480,19 +491,23 @@ def similar_groups(documents: DataFrame, shingle: int = SIMILAR_SHINGLE, similar
     met = written(keys.repartition("part").sortWithinPartitions("part").mapInArrow(_linker(distance, bucket_rows, True), kinds), "met")
     release(spark)
     near = _dealt(met, distance, bucket_rows, True).select(F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst")).distinct()
-    head = lambda c: classes.select(F.col("fp").alias(c), F.col("head").alias(f"{c}_node"))
-    pairs = near.join(head("src"), "src").join(head("dst"), "dst").select(F.col("src_node").alias("src"), F.col("dst_node").alias("dst"))
+    near = written(near, "near")
     # texts with the same fingerprint are compared with the one that stands for it
     same = nodes.select("node", "fp").join(classes.select("fp", "head"), "fp").where("node <> head").select(F.col("node").alias("src"), F.col("head").alias("dst"))
-    pairs = written(pairs.unionByName(same), "pairs")
-    discard(spark, met, classes)
+    same = written(same, "same")
+    discard(spark, met)
     sets = documents.select(F.col("text").cast("string")).mapInArrow(_sets(shingle), "node long, grams binary")
     sets = written(sets.groupBy("node").agg(F.min("grams").alias("grams")), "sets")
     release(spark)
-    edges = _compared(sets, pairs, similarity)
+    named = classes.select("fp", F.col("head").alias("node"))
+    heads = sets.join(named, "node").select(F.col("fp").alias("node"), "grams")
+    close = _compared(heads, near, similarity)
+    side = lambda c: named.select(F.col("fp").alias(c), F.col("node").alias(f"{c}_node"))
+    edges = close.join(side("src"), "src").join(side("dst"), "dst").select(F.col("src_node").alias("src"), F.col("dst_node").alias("dst"))
+    edges = written(edges.unionByName(_compared(sets, same, similarity)), "links")
     reached = components(edges).withColumnRenamed("component", "root")
     grouped = written(nodes.select("node", "least").join(reached, "node", "left").withColumn("root", F.coalesce("root", "node")), "grouped")
-    discard(spark, nodes, pairs, edges)
+    discard(spark, nodes, classes, near, same, close, edges)
     joined = _completed(sets, grouped.select("node", "root"), grouped.count(), similarity, bucket_rows)
     last = components(joined).withColumnRenamed("node", "root")
     grouped = grouped.join(last, "root", "left").select("node", "least", F.coalesce("component", "root").alias("root"))
