@@ -178,7 +178,7 @@ def arc_records(volumes: DataFrame, payload: bool) -> DataFrame:
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pack = zstandard.ZstdCompressor(level=1).compress if payload else None
-        for batch in batches:
+        for batch in small_batches(batches, 1):  # a volume at a time is copied out of its batch
             for name, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 rows = []
                 for r in parse_arc(content):
@@ -312,9 +312,12 @@ def read_warc(spark: SparkSession, path: str, payload: bool = True) -> DataFrame
     """
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        def closed(rows: list[tuple]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], f.type) for k, f in enumerate(shape)], schema=shape)
+
+        for batch in small_batches(batches, 1):  # an archive at a time is copied out of its batch
             for content in batch.column(0).to_pylist():
-                rows = []
+                rows, size = [], 0
                 for headers, block in parse_warc(content):
                     head, body = split_block(block)
                     kind, said = headers["warc-type"], headers.get("warc-payload-digest", "").removeprefix("sha1:")
@@ -322,8 +325,12 @@ def read_warc(spark: SparkSession, path: str, payload: bool = True) -> DataFrame
                     revisit = kind == "revisit"
                     if said and not revisit and said != digest(body):
                         raise ValueError(f"digest of {headers['warc-record-id']} differs")
-                    rows.append((headers["warc-record-id"], kind, headers.get("warc-target-uri"), headers["warc-date"], page_number(head), int(length[1]) if revisit and length else len(body), said if revisit else digest(body), headers.get("warc-refers-to"), None if revisit else body))
-                yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], f.type) for k, f in enumerate(shape)], schema=shape)
+                    rows.append((headers["warc-record-id"], kind, headers.get("warc-target-uri"), headers["warc-date"], page_number(head), int(length[1]) if revisit and length else len(body), said if revisit else digest(body), headers.get("warc-refers-to"), body if payload and not revisit else None))
+                    size += len(body) if payload else 0
+                    if size >= VOLUME_BYTES:  # an archive may unpack to many times its bytes
+                        yield closed(rows)
+                        rows, size = [], 0
+                yield closed(rows)
 
     text, number = pa.string(), pa.int64()
     names = ["record_id", "record_type", "uri", "date", "page_id", "payload_bytes", "payload_digest", "refers_to_id"]

@@ -1,7 +1,9 @@
 import base64
 import gzip
 import hashlib
+import tracemalloc
 
+import pyarrow as pa
 import pytest
 
 from ledgerline.llm import warc
@@ -95,3 +97,50 @@ def test_archives_from_files(spark, tmp_path):
     assert problems.count() == 0 and found[1].record_type == "response" and bytes(found[1].payload) == b"equal"
     assert found[0].record_type == "revisit" and found[0].refers_to_id == found[1].record_id and found[0].payload_bytes == 5
     assert found[0].date == "1999-01-02T03:04:05Z"
+
+
+class Plan:
+    """Stands for any DataFrame or reader, and keeps the function that its tasks would run."""
+
+    def __getattr__(self, name):
+        return lambda *args: self.__dict__.update(task=args[0]) or self if name == "mapInArrow" else self
+
+    def __call__(self, *args):
+        return self
+
+
+def peak(task, *arrays):
+    """MB that a task holds at most beside its input; its rows are dropped as they come."""
+    batch = pa.RecordBatch.from_arrays(list(arrays), [f"c{k}" for k in range(len(arrays))])
+    tracemalloc.start()
+    rows = sum(out.num_rows for out in task(iter([batch])))
+    most = tracemalloc.get_traced_memory()[1] / 1e6
+    tracemalloc.stop()
+    return rows, most
+
+
+def archive(pages, size):
+    """A small archive of pages that unpack to many times its bytes."""
+    head = b"HTTP/1.1 200 OK\r\n\r\n"
+    bodies = [b"%06d" % k + b"x" * size for k in range(pages)]
+    row = lambda k: {"record_id": f"r{k}", "kind": "response", "uri": "u", "ip": "i", "date": "d", "mime": "m", "head": head, "payload_digest": warc.digest(bodies[k]), "refers_to": None, "payload": bodies[k]}
+    return b"".join(gzip.compress(warc.warc_record(row(k)) + b"\r\n\r\n", 1) for k in range(pages))
+
+
+@pytest.mark.parametrize("payload", [False, True])
+def test_an_archive_is_not_held_unpacked(payload):
+    content = archive(60, 1_000_000)
+    plan = Plan()
+    plan.read = plan
+    rows, most = peak(warc.read_warc(plan, "", payload).task, pa.array([content], pa.binary()))
+    assert rows == 60 and most < 30
+
+
+def test_volumes_are_parsed_one_at_a_time():
+    volumes = []
+    for k in range(30):
+        volume = warc.ArcVolume(f"v{k}.arc", 1, "20000101000000")
+        volume.add_page(k, "http://a/", b"x" * 1_000_000)
+        volumes.append(volume.content())
+    rows, most = peak(warc.arc_records(Plan(), False).task, pa.array([f"v{k}" for k in range(30)]), pa.array(volumes, pa.binary()))
+    assert rows == 60 and most < 15
