@@ -50,15 +50,14 @@ _NONE = VOCABULARY  # what stands beyond either end of a document
 _SHAPES = {"embed": (VOCABULARY + 1, EMBEDDING), "w1": ((2 * NEAR + 1) * EMBEDDING, HIDDEN), "b1": (HIDDEN,), "wc": (HIDDEN, CLASSES), "bc": (CLASSES,), "ww": (VOCABULARY, HIDDEN), "bw": (VOCABULARY,)}
 _CLASS = np.repeat(np.arange(CLASSES), np.diff(EDGES))
 _CHUNK = 16_384
+#: Rows of weights that a step takes at a time, so that they stay in the cache.
+_ROWS = 1024
 
 
 # ---------------------------------------------------------------------------------------------
 # The network
 
 
-_ONES = np.ones(max(VOCABULARY, 1 << 16), np.float32)
-
-
 def _sums(x: np.ndarray, width: int) -> np.ndarray:
     """Of each ``width`` consecutive rows."""
     total = np.zeros((len(x) + 1, x.shape[1]))
@@ -66,6 +65,11 @@ def _sums(x: np.ndarray, width: int) -> np.ndarray:
     return (total[width:] - total[:-width]).astype(np.float32)
 
 
+def _by_token(tokens: np.ndarray) -> np.ndarray:
+    """A stable order; numpy sorts 16-bit numbers by radix."""
+    return np.argsort(tokens.astype(np.uint16), kind="stable")
+
+
 class Network:
     """Works on strips: token numbers of one or more documents, ``REACH`` times ``_NONE`` around each."""
 
@@ -99,7 +103,7 @@ class Network:
 
     def _inputs(self, strip: np.ndarray) -> np.ndarray:
         """For each place but the outer ``REACH`` on either end: near embeddings, and the mean over both sides."""
-        e, n = self.w["embed"][strip], len(strip) - 2 * REACH
+        e, n = self.w["embed"].take(strip, axis=0), len(strip) - 2 * REACH
         x = np.empty((n, 2 * NEAR + 1, EMBEDDING), np.float32)
         shifts = [s for s in range(-NEAR, NEAR + 1) if s]
         for k, s in enumerate(shifts):
@@ -107,71 +111,101 @@ class Network:
         x[:, -1] = (_sums(e, 2 * REACH + 1) - e[REACH : REACH + n]) / (2 * REACH)
         return x.reshape(n, -1)
 
-    def log_probability(self, strip: np.ndarray) -> np.ndarray:
+    def _hidden(self, x: np.ndarray) -> np.ndarray:
+        h = x @ self.w["w1"]
+        h += self.w["b1"]
+        return np.tanh(h, out=h)
+
+    def factors(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """What a softmax's sum takes: the words' weights, a column each, and the factors that the biases of classes and words are in their terms."""
+        return np.ascontiguousarray(self.w["ww"].T), np.exp(self.w["bc"]), np.exp(self.w["bw"])
+
+    def log_probability(self, strip: np.ndarray, factors: tuple[np.ndarray, np.ndarray, np.ndarray] | None = None) -> np.ndarray:
         """Of each place but the outer ``REACH`` on either end; 0 for places that hold no token."""
         out = np.zeros(len(strip) - 2 * REACH)
         x, token = self._inputs(strip), strip[REACH:-REACH]
-        order = np.argsort(token, kind="stable")
+        order = _by_token(token)
         order = order[: np.searchsorted(token, _NONE, sorter=order)]
-        h, t = np.tanh(x[order] @ self.w["w1"] + self.w["b1"]), token[order]
-        row = np.arange(len(t))
-        logits = h @ self.w["wc"] + self.w["bc"]
-        one = logits[row, _CLASS[t]] - np.log(np.exp(logits) @ _ONES[:CLASSES])  # logits are small, as |h| < 1
-        two = np.empty_like(one)
+        w, t = self.w, token[order]
+        h = self._hidden(x).take(order, axis=0)
+        columns, of_class, of_word = factors or self.factors()
+        one, two = np.exp(h @ w["wc"]) @ of_class, np.empty(len(t), np.float32)  # logits are small, as |h| < 1
         cuts = np.searchsorted(t, EDGES)
         for k in np.flatnonzero(np.diff(cuts)):
             a, b, low, high = cuts[k], cuts[k + 1], EDGES[k], EDGES[k + 1]
-            logits = h[a:b] @ self.w["ww"][low:high].T + self.w["bw"][low:high]
-            two[a:b] = logits[row[: b - a], t[a:b] - low] - np.log(np.exp(logits) @ _ONES[: high - low])
-        out[order] = one.astype(np.float64) + two
+            e = h[a:b] @ columns[:, low:high]
+            two[a:b] = np.exp(e, out=e) @ of_word[low:high]
+        logits = np.einsum("ij,ij->i", h, np.ascontiguousarray(w["wc"].T).take(_CLASS[t], axis=0)) + w["bc"][_CLASS[t]], np.einsum("ij,ij->i", h, w["ww"].take(t, axis=0)) + w["bw"][t]
+        out[order] = (logits[0] - np.log(one)).astype(np.float64) + (logits[1] - np.log(two))
         return out
 
     def learn(self, strip: np.ndarray, target: np.ndarray, squares: dict[str, np.ndarray], rate: float) -> None:
         """One step of Adagrad. target: places of the strip to predict."""
-        token = strip[target]
-        order = np.argsort(token, kind="stable")
+        token, w = strip[target], self.w
+        order = _by_token(token)
         target, token = target[order], token[order]
-        x = self._inputs(strip)[target - REACH]
-        h = np.tanh(x @ self.w["w1"] + self.w["b1"])
-        row, n = np.arange(len(token)), len(token)
-
-        def spread(logits: np.ndarray, right: np.ndarray) -> np.ndarray:
-            e = np.exp(logits, out=logits)
-            e /= (e @ _ONES[: e.shape[1]])[:, None]
-            e[row[: len(right)], right] -= 1
-            return e
+        x, n = self._inputs(strip), len(token)
+        h = self._hidden(x).take(target - REACH, axis=0)
+        with_one = np.concatenate([h, np.ones((n, 1), np.float32)], axis=1)  # the last column is for biases
+        columns, of_class, of_word = self.factors()
+
+        def spread(a: int, b: int, columns: np.ndarray, scaled: np.ndarray, factor: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            """Of the logarithm of the softmax's sum: the gradient by h; that by weights and bias, over their factor, a column each (a mean over all n)."""
+            e = h[a:b] @ columns
+            np.exp(e, out=e)
+            part = 1 / (e @ factor)[:, None]
+            return (e @ scaled) * part, (with_one[a:b] * (part / n)).T @ e
 
         g = {}
-        d = spread(h @ self.w["wc"] + self.w["bc"], _CLASS[token])
-        g["wc"], g["bc"], dh = h.T @ d, _ONES[:n] @ d, d @ self.w["wc"].T
-        cuts = np.searchsorted(token, EDGES)
-        for k in np.flatnonzero(np.diff(cuts)):
-            a, b, low, high = cuts[k], cuts[k + 1], EDGES[k], EDGES[k + 1]
-            d = spread(h[a:b] @ self.w["ww"][low:high].T + self.w["bw"][low:high], token[a:b] - low)
-            dh[a:b] += d @ self.w["ww"][low:high]
-            for name, v in (("ww", d.T @ h[a:b]), ("bw", _ONES[: b - a] @ d)):
-                self._step(name, v / n, squares, rate, slice(low, high))
-        dz = dh * (1 - h * h)
-        dx = np.zeros((len(strip) - 2 * REACH, 2 * NEAR + 1, EMBEDDING), np.float32)
-        dx[target - REACH] = (dz @ self.w["w1"].T).reshape(-1, 2 * NEAR + 1, EMBEDDING)
-        g["w1"], g["b1"] = x.T @ dz, dz.sum(0)
+        classes, cuts = _CLASS[token], np.searchsorted(token, EDGES)
+        some = np.flatnonzero(np.diff(cuts))
+        wc = np.ascontiguousarray(w["wc"].T)
+        dh, d = spread(0, n, w["wc"], wc * of_class[:, None], of_class)
+        dh -= wc.take(classes, axis=0)
+        d *= of_class
+        head = np.flatnonzero(np.diff(token, prepend=-1))
+        own = np.add.reduceat(with_one, head) / n  # by word
+        d[:, some] -= np.add.reduceat(own, np.searchsorted(token[head], EDGES)[some]).T
+        g["wc"], g["bc"] = d[:-1], d[-1]
+        scaled, d = w["ww"] * of_word[:, None], np.zeros((HIDDEN + 1, VOCABULARY), np.float32)
+        for k in some:
+            a, b, at = cuts[k], cuts[k + 1], slice(EDGES[k], EDGES[k + 1])
+            part, d[:, at] = spread(a, b, columns[:, at], scaled[at], of_word[at])
+            dh[a:b] += part
+        d *= of_word
+        dh -= w["ww"].take(token, axis=0)
+        words = {"ww": np.ascontiguousarray(d[:-1].T), "bw": d[-1]}
+        words["ww"][token[head]] -= own[:, :-1]
+        words["bw"][token[head]] -= own[:, -1]
+        for name, v in words.items():
+            for low in range(0, VOCABULARY, _ROWS):
+                at = slice(low, low + _ROWS)
+                self._step(name, v[at], squares, rate, at)
+        dz = np.zeros((len(x), HIDDEN), np.float32)  # by place, and 0 where there is no target
+        dz[target - REACH] = dh * (1 - h * h)
+        dx = (dz @ w["w1"].T).reshape(-1, 2 * NEAR + 1, EMBEDDING)
+        g["w1"], g["b1"] = x.T @ dz / n, dz.sum(0) / n
         for k, v in g.items():
-            self._step(k, v / n, squares, rate)
+            self._step(k, v, squares, rate)
         de, m = np.zeros((len(strip), EMBEDDING), np.float32), len(dx)
         for k, s in enumerate(s for s in range(-NEAR, NEAR + 1) if s):
             de[REACH + s : REACH + s + m] += dx[:, k]
         mean = dx[:, -1] / (2 * REACH)
         de += _sums(np.concatenate([around := np.zeros((2 * REACH, EMBEDDING), np.float32), mean, around]), 2 * REACH + 1)
         de[REACH : REACH + m] -= mean
-        order = np.argsort(strip, kind="stable")
+        order = _by_token(strip)
         order = order[: np.searchsorted(strip, _NONE, sorter=order)]
         held = strip[order]
         head = np.flatnonzero(np.diff(held, prepend=-1))
-        self._step("embed", np.add.reduceat(de[order], head) / n, squares, rate, held[head])
+        self._step("embed", np.add.reduceat(de.take(order, axis=0), head) / n, squares, rate, held[head])
 
     def _step(self, name: str, gradient: np.ndarray, squares: dict[str, np.ndarray], rate: float, at=slice(None)) -> None:
-        squares[name][at] += gradient * gradient
-        self.w[name][at] -= rate * gradient / (np.sqrt(squares[name][at]) + 1e-6)
+        move = gradient * gradient
+        squares[name][at] += move
+        np.sqrt(squares[name][at], out=move)
+        move += 1e-6
+        np.divide(rate * gradient, move, out=move)
+        self.w[name][at] -= move
 
 
 # ---------------------------------------------------------------------------------------------
@@ -208,18 +242,29 @@ def count_words(documents: DataFrame) -> DataFrame:
 
 
 class Vocabulary:
-    """Numbers of words by hash; 0 is ``other``."""
+    """Numbers of words by hash; 0 is ``other``. A table by a hash's first ``BITS`` bits tells where to look."""
+
+    BITS = 17
 
     def __init__(self, hashes: np.ndarray) -> None:
         """hashes: of the words 1, 2, ... by falling frequency."""
         order = np.argsort(hashes, kind="stable")
         self.hashes, self.numbers = hashes[order], (order + 1).astype(np.int64)
+        place = np.searchsorted(self.hashes, np.arange(1 << self.BITS, dtype=np.uint64) << np.uint64(64 - self.BITS))
+        many = np.diff(place, append=len(hashes))
+        self.first, self.crowded, self.most = np.minimum(place, max(len(hashes) - 1, 0)).astype(np.int32), many > 1, int(many.max())
 
     def __call__(self, hashes: np.ndarray) -> np.ndarray:
         if not len(self.hashes):
             return np.zeros(len(hashes), np.int64)
-        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
-        return np.where(self.hashes[at] == hashes, self.numbers[at], 0)
+        slot = (hashes >> np.uint64(64 - self.BITS)).astype(np.int32)
+        at = self.first[slot]
+        out = np.where(self.hashes[at] == hashes, self.numbers[at], 0)
+        rest = np.flatnonzero(self.crowded[slot] & (out == 0))
+        for step in range(1, self.most):  # words whose hashes begin alike
+            more = np.minimum(at[rest] + step, len(self.hashes) - 1)
+            out[rest] += np.where(self.hashes[more] == hashes[rest], self.numbers[more], 0) * (out[rest] == 0)
+        return out
 
 
 def vocabulary(documents: DataFrame, size: int = VOCABULARY) -> tuple[Vocabulary, np.ndarray]:
@@ -237,12 +282,14 @@ def vocabulary(documents: DataFrame, size: int = VOCABULARY) -> tuple[Vocabulary
 def spelling(found: Words, other: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of the bytes and the end of each word in ``other``: the byte before, the byte (256: begin, end), the word's place in ``other``."""
     length = found.ends[other] - found.starts[other] + 1
-    word = np.repeat(np.arange(len(other)), length)
-    begin = np.cumsum(length) - length
-    within = np.arange(len(word)) - begin[word]
-    at = found.starts[other][word] + within
-    data = np.append(found.data, np.uint8(0)).astype(np.int64)
-    return np.where(within == 0, 256, data[at - 1]), np.where(within == length[word] - 1, 256, data[np.minimum(at, len(data) - 1)]), word
+    word = np.repeat(np.arange(len(other), dtype=np.int32), length)
+    last = np.cumsum(length)
+    begin = last - length
+    at = np.arange(len(word)) + np.repeat(found.starts[other] - begin, length)
+    data = np.append(found.data, np.uint8(0)).astype(np.int32)
+    before, byte = data[at - 1], data[at]
+    before[begin], byte[last - 1] = 256, 256
+    return before, byte, word
 
 
 # ---------------------------------------------------------------------------------------------
@@ -307,7 +354,10 @@ def _train(held, batch_size: int, rate: float):
             nonlocal strips, waiting, seen
             strip = np.concatenate(strips)
             # a segment's outer places belong to its neighbours
-            inner = np.concatenate([np.r_[np.zeros(REACH, bool), np.ones(len(x) - 2 * REACH, bool), np.zeros(REACH, bool)] for x in strips])
+            inner, at = np.ones(len(strip), bool), 0
+            for x in strips:
+                inner[at : at + REACH] = inner[at + len(x) - REACH : at + len(x)] = False
+                at += len(x)
             net.learn(strip, np.flatnonzero(inner), squares, rate)
             seen += waiting
             strips, waiting = [], 0
@@ -387,6 +437,7 @@ def score(documents: DataFrame, net: Network, words: Vocabulary, chances: np.nda
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         flat, number_of, of_byte = held.value
         own = Network.unpacked(flat)
+        factors = own.factors()
         for batch in small_batches(batches):
             sums, sizes = np.zeros(batch.num_rows), np.zeros(batch.num_rows, np.int64)
             for first, texts in pieces((x or b"" for x in as_bytes(batch.column(1))), 1 << 17):
@@ -395,12 +446,12 @@ def score(documents: DataFrame, net: Network, words: Vocabulary, chances: np.nda
                 sizes[first : first + len(texts)] = np.diff(found.first)
                 other = np.flatnonzero(numbers == 0)
                 before, byte, word = spelling(found, other)
-                sums[first : first + len(texts)] += np.bincount(owner[other][word], of_byte[before, byte], len(texts))
+                sums[first : first + len(texts)] += np.bincount(owner[other][word], of_byte.ravel()[before * 257 + byte], len(texts))
                 # a strip of all documents, with places between them
                 spot = np.arange(len(numbers)) + REACH * (owner + 1)
                 strip = np.full(len(numbers) + REACH * (len(texts) + 1), _NONE)
                 strip[spot] = numbers
-                values = np.concatenate([np.zeros(0), *(own.log_probability(strip[low : low + STRIP + 2 * REACH]) for low in range(0, len(strip) - 2 * REACH, STRIP))])
+                values = np.concatenate([np.zeros(0), *(own.log_probability(strip[low : low + STRIP + 2 * REACH], factors) for low in range(0, len(strip) - 2 * REACH, STRIP))])
                 sums[first : first + len(texts)] += np.bincount(owner, values[spot - REACH], len(texts))
             means = [x / k if k else None for x, k in zip(sums.tolist(), sizes.tolist(), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes), pa.array(sums), pa.array(means, pa.float64())], ["doc_id", "n_tokens", "log_probability", "mean_log_probability"])

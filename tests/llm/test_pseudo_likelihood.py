@@ -131,3 +131,30 @@ def test_long_text_scores_as_in_one_piece(trained):
     whole = net.log_probability(np.concatenate([pad, tokens, pad]))
     cut = np.concatenate([net.log_probability(x) for x in pl.segments(tokens)])
     assert np.allclose(whole, cut, atol=1e-5)
+
+
+def test_a_step_takes_the_weights_of_all_classes_in_few_parts(monkeypatch):
+    """Of a minibatch that meets every class; a step for each class took more time than its products."""
+    met = []
+    monkeypatch.setattr(pl.Network, "_step", lambda self, name, gradient, squares, rate, at=slice(None): met.append((name, gradient.size)))
+    pad = np.full(pl.REACH, pl.VOCABULARY)
+    strip = np.concatenate([pad, np.arange(pl.VOCABULARY), pad])
+    pl.Network.start(np.ones(pl.VOCABULARY)).learn(strip, np.arange(pl.REACH, len(strip) - pl.REACH), {}, 0.1)
+    assert len(met) < 32 and sum(n for name, n in met if name == "ww") == pl.VOCABULARY * pl.HIDDEN
+
+
+def test_words_whose_hashes_begin_alike_are_told_apart():
+    r = np.random.default_rng(4)
+    known = np.unique(np.concatenate([r.integers(0, 2**64, 3000, np.uint64), np.uint64(2**64 - 1) - np.arange(9, dtype=np.uint64), np.arange(7, dtype=np.uint64)]))
+    r.shuffle(known)
+    asked = np.concatenate([known, known + np.uint64(1), known ^ np.uint64(1 << 20), r.integers(0, 2**64, 500, np.uint64)])
+    plain = {h: k + 1 for k, h in enumerate(known.tolist())}
+    for hashes in (known, known[:1], known[:0]):
+        numbers = pl.Vocabulary(hashes)(asked)
+        assert numbers.tolist() == [n if (n := plain.get(h, 0)) <= len(hashes) else 0 for h in asked.tolist()]
+
+
+def test_spelling_is_of_each_byte_and_the_end():
+    found = pl.Words([b"ab \xff", b"", b"c"], pl.SPACED, lower=True)
+    for other, want in (([0, 1, 2], [(256, 97, 0), (97, 98, 0), (98, 256, 0), (256, 255, 1), (255, 256, 1), (256, 99, 2), (99, 256, 2)]), ([2], [(256, 99, 0), (99, 256, 0)]), ([], [])):
+        assert list(zip(*(x.tolist() for x in pl.spelling(found, np.array(other, np.int64))), strict=True)) == want
