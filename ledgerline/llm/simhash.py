@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .support import SPACED, Forest, Words, as_bytes, components, discard, mix, pieces, release, run_hashes, small_batches, written
+from .support import SPACED, Forest, Words, as_bytes, components, discard, gathered, mix, pieces, release, run_hashes, small_batches, written
 
 SHINGLE = 4
 DISTANCE = 4
@@ -45,6 +45,8 @@ SIMILAR_SHINGLE, SIMILARITY, FOUND, SIGMAS = 5, 0.8, 0.95, 4
 ORDER_SETS, ORDER_GRAMS = 20_000, 100_000
 #: Names (of eight bytes) of the sets to compare that are broadcast at most.
 BROADCAST_NODES = 1_000_000
+#: Links that one task joins to components, where steps of all tasks would move little.
+FEW_EDGES = 100_000
 _SPACE = re.compile(rb"[\x09-\x0d\x20]")
 
 
@@ -317,12 +319,13 @@ def _alike(similarity: float):
 
 def _compared(sets: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame:
     """src, dst: those of the written pairs whose sets (node, grams) are alike."""
-    wanted = written(pairs.select(F.col("src").alias("node")).unionByName(pairs.select(F.col("dst").alias("node"))).distinct(), "wanted")
+    many = pairs.count()
+    wanted = written(pairs.select(F.col("src").alias("node")).unionByName(pairs.select(F.col("dst").alias("node"))).distinct(), "wanted", rows=many)
     few = wanted.limit(BROADCAST_NODES + 1).count() <= BROADCAST_NODES
     held = sets.join(F.broadcast(wanted) if few else wanted, "node", "left_semi")
     side = lambda c, d: held.select(F.col("node").alias(c), F.col("grams").alias(d))
     out = pairs.join(side("src", "a"), "src").join(side("dst", "b"), "dst").select("src", "dst", "a", "b").mapInArrow(_alike(similarity), "src long, dst long")
-    out = written(out, "alike")
+    out = written(out, "alike", rows=many)
     discard(sets.sparkSession, wanted)
     return out
 
@@ -447,10 +450,10 @@ def _completed(sets: DataFrame, roots: DataFrame, nodes: int, similarity: float,
     """src, dst: roots that a pair of alike sets joins, of all pairs of sets (node, grams) under different roots (node, root). None is missed."""
     spark = sets.sparkSession
     first = sets.select("node", "grams").mapInArrow(_prefixed(similarity, *_common(sets, nodes)), "node long, size long, prefix binary")
-    first = written(first.join(roots, "node").select("node", "root", "size", "prefix"), "prefixes")
+    first = written(first.join(roots, "node").select("node", "root", "size", "prefix"), "prefixes", rows=nodes)
     release(spark)
     head = first.mapInArrow(_spread, "part long, node long, root long, place long")
-    met = written(head.repartition("part").sortWithinPartitions("part").mapInArrow(_meeting(similarity, bucket_rows), _MET), "shared")
+    met = written(head.repartition("part").sortWithinPartitions("part").mapInArrow(_meeting(similarity, bucket_rows), _MET), "shared", rows=nodes, work=True)
     release(spark)
     pairs = met.where("kind = 0").select("a", "b", "c", "d")
     crowded = met.where("kind = 1").selectExpr("a as part", "b as node", "c as root", "d as place")
@@ -462,9 +465,9 @@ def _completed(sets: DataFrame, roots: DataFrame, nodes: int, similarity: float,
         cell = dealt.select(F.xxhash64("part", F.least("own", "other"), F.greatest("own", "other")).alias("part"), "node", "root", "place")
         more = cell.repartition("part").sortWithinPartitions("part").mapInArrow(_meeting(similarity, None), _MET)
         pairs = pairs.unionByName(more.select("a", "b", "c", "d"))
-    pairs = written(pairs.distinct().toDF("src", "dst", "one", "two"), "shared_pairs")
+    pairs = written(pairs.distinct().toDF("src", "dst", "one", "two"), "shared_pairs", rows=met.count())
     alike = _compared(sets, pairs.select("src", "dst"), similarity)
-    out = written(pairs.join(alike, ["src", "dst"]).select(F.col("one").alias("src"), F.col("two").alias("dst")).distinct(), "joined")
+    out = written(pairs.join(alike, ["src", "dst"]).select(F.col("one").alias("src"), F.col("two").alias("dst")).distinct(), "joined", rows=nodes)
     discard(spark, first, met, pairs, alike)
     return out
 
@@ -479,41 +482,42 @@ def similar_groups(documents: DataFrame, shingle: int = SIMILAR_SHINGLE, similar
     comparison refuses a branch of the forest. ``_completed`` finds all that are left, exactly: pairs of different groups that share a shingle of their prefixes.
     """
     spark = documents.sparkSession
-    bits, segments = plan(documents.count(), similarity, found)
+    rows = documents.count()
+    bits, segments = plan(rows, similarity, found)
     flip = math.acos(2 * similarity / (1 + similarity)) / math.pi
     distance = math.floor(64 * flip + SIGMAS * math.sqrt(64 * flip * (1 - flip)))
     texts = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    marked = written(texts.mapInArrow(_marked(shingle, -(-bits * segments // 64)), "doc_id long, node long, fp long, wide binary"), "marks")
-    nodes = written(marked.groupBy("node").agg(F.min("doc_id").alias("least"), F.min("fp").alias("fp"), F.min("wide").alias("wide")), "nodes")
-    classes = written(nodes.groupBy("fp").agg(F.min(F.struct("node", "wide")).alias("one")).select("fp", F.col("one.node").alias("head"), "one.wide"), "classes")
+    marked = written(texts.mapInArrow(_marked(shingle, -(-bits * segments // 64)), "doc_id long, node long, fp long, wide binary"), "marks", rows=rows)
+    nodes = written(marked.groupBy("node").agg(F.min("doc_id").alias("least"), F.min("fp").alias("fp"), F.min("wide").alias("wide")), "nodes", rows=rows)
+    classes = written(nodes.groupBy("fp").agg(F.min(F.struct("node", "wide")).alias("one")).select("fp", F.col("one.node").alias("head"), "one.wide"), "classes", rows=rows)
     keys = classes.select("fp", "wide").mapInArrow(_keyed(bits, segments), "part long, fp long")
     kinds = "kind int, a long, b long"
-    met = written(keys.repartition("part").sortWithinPartitions("part").mapInArrow(_linker(distance, bucket_rows, True), kinds), "met")
+    met = written(keys.repartition("part").sortWithinPartitions("part").mapInArrow(_linker(distance, bucket_rows, True), kinds), "met", rows=rows, work=True)
     release(spark)
     near = _dealt(met, distance, bucket_rows, True).select(F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst")).distinct()
-    near = written(near, "near")
+    near = written(near, "near", rows=met.count())
     # texts with the same fingerprint are compared with the one that stands for it
     same = nodes.select("node", "fp").join(classes.select("fp", "head"), "fp").where("node <> head").select(F.col("node").alias("src"), F.col("head").alias("dst"))
-    same = written(same, "same")
+    same = written(same, "same", rows=rows)
     discard(spark, met)
     sets = documents.select(F.col("text").cast("string")).mapInArrow(_sets(shingle), "node long, grams binary")
-    sets = written(sets.groupBy("node").agg(F.min("grams").alias("grams")), "sets")
+    sets = written(sets.groupBy("node").agg(F.min("grams").alias("grams")), "sets", rows=rows)
     release(spark)
     named = classes.select("fp", F.col("head").alias("node"))
     heads = sets.join(named, "node").select(F.col("fp").alias("node"), "grams")
     close = _compared(heads, near, similarity)
     side = lambda c: named.select(F.col("fp").alias(c), F.col("node").alias(f"{c}_node"))
     edges = close.join(side("src"), "src").join(side("dst"), "dst").select(F.col("src_node").alias("src"), F.col("dst_node").alias("dst"))
-    edges = written(edges.unionByName(_compared(sets, same, similarity)), "links")
-    reached = components(edges).withColumnRenamed("component", "root")
-    grouped = written(nodes.select("node", "least").join(reached, "node", "left").withColumn("root", F.coalesce("root", "node")), "grouped")
+    edges = written(edges.unionByName(_compared(sets, same, similarity)), "links", rows=rows)
+    reached = components(edges, few=FEW_EDGES).withColumnRenamed("component", "root")
+    grouped = written(nodes.select("node", "least").join(reached, "node", "left").withColumn("root", F.coalesce("root", "node")), "grouped", rows=rows)
     discard(spark, nodes, classes, near, same, close, edges)
     joined = _completed(sets, grouped.select("node", "root"), grouped.count(), similarity, bucket_rows)
-    last = components(joined).withColumnRenamed("node", "root")
+    last = components(joined, few=FEW_EDGES).withColumnRenamed("node", "root")
     grouped = grouped.join(last, "root", "left").select("node", "least", F.coalesce("component", "root").alias("root"))
     heads = grouped.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = written(grouped.join(heads, "root").select("node", "component_id"), "named")
-    out = written(marked.select("doc_id", "node").join(named, "node").select("doc_id", "component_id"), "groups")
+    named = written(grouped.join(heads, "root").select("node", "component_id"), "named", rows=rows)
+    out = written(marked.select("doc_id", "node").join(named, "node").select("doc_id", "component_id"), "groups", rows=rows)
     discard(spark, marked, sets, joined, named)
     return out
 
@@ -525,4 +529,4 @@ def deduplicate(documents: DataFrame, **options) -> DataFrame:
     """
     kept = similar_groups(documents.select("doc_id", "text"), **options).where("doc_id = component_id").select("doc_id").distinct()
     named = documents.where("doc_id is not null").dropDuplicates(["doc_id"]).join(kept, "doc_id", "left_semi")
-    return named.select(documents.columns).unionByName(documents.where("doc_id is null"))
+    return gathered(named.select(documents.columns).unionByName(documents.where("doc_id is null")), kept.count())

@@ -136,3 +136,30 @@ def test_links_behind_one_fingerprint(spark, monkeypatch):
     frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     got = {r.doc_id: r.component_id for r in simhash.similar_groups(frame).collect()}
     assert got == dict(zip([x[0] for x in rows], expected_groups(rows), strict=True))
+
+
+def test_near_dedup_of_few_rows_writes_few_files(spark, monkeypatch):
+    """However wide the shuffle is, a table of some rows is a file or two; 60 partitions made up to 60 files of each table."""
+    rows = [x for x in near_copies(13) if x[0] is not None]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(60)
+    held = {"spark.sql.shuffle.partitions": "60", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before, files = {k: spark.conf.get(k) for k in held}, {}
+
+    def counted(df, name, *args, **more):
+        out = written(df, name, *args, **more)
+        files[name] = max(files.get(name, 0), len(out.inputFiles()))
+        return out
+
+    written = simhash.written
+    monkeypatch.setattr(simhash, "written", counted)
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        out = simhash.deduplicate(frame)
+        assert out.rdd.getNumPartitions() == 1
+        got = sorted(r.doc_id for r in out.collect())
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert got == sorted(set(expected_groups(rows)))
+    assert len(files) >= 15 and max(files.values()) == 1

@@ -26,6 +26,26 @@ def test_components(spark, kind):
     assert {r.node: r.component for r in su.components(edges).collect()} == want
 
 
+    before = su.new_path
+    names = []
+    try:
+        su.new_path = lambda session, name: names.append(name) or before(session, name)
+        assert {r.node: r.component for r in su.components(edges, few=len(pairs)).collect()} == want
+    finally:
+        su.new_path = before
+    assert len(names) == 2  # the forests, and all of them joined
+
+
+def test_short_tables_have_few_files(spark):
+    frame = spark.range(5000).repartition(40)
+    files = lambda df: len(df.inputFiles())
+    assert files(su.written(frame, "wide")) == 40
+    for work in (False, True):
+        out = su.written(frame, "few", rows=5000, work=work)
+        assert files(out) == 2 and sorted(r.id for r in out.collect()) == list(range(5000))
+    assert files(su.written(frame, "long", rows=10**9)) == files(su.written(frame, "long", rows=10**9, work=True)) == 40
+
+
 def test_no_edges(spark):
     assert su.components(spark.createDataFrame([], "src long, dst long")).count() == 0
 
