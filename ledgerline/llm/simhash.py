@@ -325,7 +325,7 @@ def _compared(sets: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame
     held = sets.join(F.broadcast(wanted) if few else wanted, "node", "left_semi")
     side = lambda c, d: held.select(F.col("node").alias(c), F.col("grams").alias(d))
     out = pairs.join(side("src", "a"), "src").join(side("dst", "b"), "dst").select("src", "dst", "a", "b").mapInArrow(_alike(similarity), "src long, dst long")
-    out = written(out, "alike", rows=many)
+    out = written(out, "alike", rows=many, work=True)
     discard(sets.sparkSession, wanted)
     return out
 
