@@ -61,6 +61,22 @@ def test_equals_brute_force(spark, contexts, symbols):
     assert 10 < sum(x[2] > 0 for x in got) < len(got)
 
 
+@pytest.mark.parametrize("contexts", [20, 5, 1])
+def test_equals_brute_force_where_joins_become_broadcasts_at_run_time(spark, contexts):
+    """Spark then reads join inputs by the task that wrote them, and no longer by key."""
+    settings = {"spark.sql.shuffle.partitions": "8", "spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "10m", "spark.sql.files.openCostInBytes": "1g"}
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        data = rows()
+        out = sa.deduplicate(spark.createDataFrame(data, brute.SCHEMA).repartition(3), contexts=contexts, digest=True)
+        assert sorted((str(r.doc_id), r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in out.collect()) == plain(data)
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def test_long_text_in_slices(spark):
     r = random.Random(2)
     text = bytes(r.randrange(97, 123) for _ in range(600_000)).decode()
